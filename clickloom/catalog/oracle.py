@@ -147,8 +147,8 @@ SELECT CAST(step AS INTEGER) AS step, CAST(from_page AS BIGINT) AS from_page,
 FROM flow CROSS JOIN moves GROUP BY ALL"""
 
 
-ORDERS_SIDES = f"""s1 AS ({ORDERS_DATASET["source1_sql"]}),
-s2 AS ({ORDERS_DATASET["source2_sql"]})"""
+ORDERS_SIDES = f"""s1 AS ({ORDERS_DATASET["source1_sql"].format(orders="orders")}),
+s2 AS ({ORDERS_DATASET["source2_sql"].format(orders="orders")})"""
 
 ORDERS_PAIRS = f"""{ORDERS_SIDES},
 ranked AS (
@@ -249,7 +249,7 @@ def oracle_sql() -> dict[str, str]:
   CAST(date AS VARCHAR) AS date, {_time('action_time')} AS action_time) FROM actions""",
         "scan_users": f"{_with(USERS)}SELECT * FROM users",
         "scan_products": f"{_with(PRODUCTS)}SELECT * FROM products",
-        "sql_source": f"{_with(USERS, 'user_info_table AS (SELECT * FROM users)')}{TOP_USERS_SQL}",
+        "sql_source": f"{_with(USERS)}{TOP_USERS_SQL.format(user_info_table='users')}",
         "action_kinds": """SELECT k.kind, count(e.event_id) AS actions
 FROM (VALUES ('search', 'view'), ('click', 'click'), ('order', 'signup'),
   ('pay', 'purchase'), ('none', 'error')) k(kind, event_type)
@@ -261,6 +261,14 @@ LEFT JOIN events e ON e.event_type = k.event_type GROUP BY k.kind""",
         "session_user_check": f"""{_with(_actions())}
 SELECT count(*) AS sessions, count(*) FILTER (WHERE users > 1) AS mixed_user_sessions
 FROM (SELECT session_id, count(DISTINCT user_id) AS users FROM actions GROUP BY session_id)""",
+        "session_terms": f"""{_with(_actions())}
+SELECT session_id, 'search_keywords' AS list, search_keyword AS term,
+  {_time('min(action_time)')} AS first_seen
+FROM actions WHERE search_keyword IS NOT NULL GROUP BY session_id, search_keyword
+UNION ALL
+SELECT session_id, 'click_categories', CAST(click_category_id AS VARCHAR),
+  {_time('min(action_time)')}
+FROM actions WHERE click_category_id <> -1 GROUP BY session_id, click_category_id""",
         "session_keywords": f"{_with(_actions(), TERMS)}SELECT * FROM keyword_lists",
         "session_categories": f"{_with(_actions(), TERMS)}SELECT * FROM category_lists",
         "session_user_join": f"""{_with(_actions(), USERS, SUMMARY, JOINED)}

@@ -40,14 +40,14 @@ FULL_FILTER = SessionFilter(
 
 TOP_USERS_SQL = """
 select user_id, username, age, professional, city
-from user_info_table order by age desc, user_id limit 15
+from {user_info_table} order by age desc, user_id limit 15
 """
 
 # Two states of the whole orders table: the second has other keys for some orders, some
 # orders moved onto the next key, and some changed or missing values.
 ORDERS_DATASET = {
     "source1_sql": """
-        select o_orderkey, o_orderstatus, o_totalprice, o_orderdate from orders""",
+        select o_orderkey, o_orderstatus, o_totalprice, o_orderdate from {orders}""",
     "source2_sql": """
         select case when o_orderkey % 97 = 0 then -1 - o_orderkey
                     when o_orderkey % 101 = 0 then o_orderkey + 1
@@ -56,7 +56,7 @@ ORDERS_DATASET = {
                case when o_orderkey % 50 = 0 then o_totalprice + 1
                     else o_totalprice end as o_totalprice,
                o_orderdate
-        from orders""",
+        from {orders}""",
     "identifier": "o_orderkey",
 }
 
@@ -96,8 +96,7 @@ def scan_products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sql_source(spark: SparkSession, folder: str) -> DataFrame:
-    warehouse.register_model(spark, folder)
-    return fetch(spark, [TOP_USERS_SQL])[0]
+    return fetch(spark, [TOP_USERS_SQL], user_info_table=_users(spark, folder))[0]
 
 
 def action_kinds(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,6 +116,11 @@ def session_user_check(spark: SparkSession, folder: str) -> DataFrame:
     return sessions.mixed_user_sessions(_actions(spark, folder))
 
 
+def session_terms(spark: SparkSession, folder: str) -> DataFrame:
+    terms = sessions.session_terms(_actions(spark, folder))
+    return terms.withColumn("first_seen", format_action_time(F.col("first_seen")))
+
+
 def session_keywords(spark: SparkSession, folder: str) -> DataFrame:
     return sessions.session_term_lists(_actions(spark, folder), "search_keywords")
 
@@ -192,13 +196,13 @@ def top_products_by_city(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _orders_sides(spark: SparkSession, folder: str) -> list[DataFrame]:
-    warehouse.table(spark, folder, "orders").createOrReplaceTempView("orders")
-    return fetch(spark, [ORDERS_DATASET["source1_sql"], ORDERS_DATASET["source2_sql"]])
+    texts = [ORDERS_DATASET["source1_sql"], ORDERS_DATASET["source2_sql"]]
+    return fetch(spark, texts, orders=warehouse.table(spark, folder, "orders"))
 
 
 def _orders_recon(spark: SparkSession, folder: str) -> recon.Reconciliation:
-    warehouse.table(spark, folder, "orders").createOrReplaceTempView("orders")
-    return reconcile_dataset(spark, ORDERS_DATASET)
+    orders = warehouse.table(spark, folder, "orders")
+    return reconcile_dataset(spark, ORDERS_DATASET, orders=orders)
 
 
 def recon_missing_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -288,6 +292,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         session_actions,
         session_summary,
         session_user_check,
+        session_terms,
         session_keywords,
         session_categories,
         session_user_join,

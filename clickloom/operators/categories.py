@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.text import split_ids
-from clickloom.operators.sessions import has_click
+from clickloom.operators.sessions import has_click, has_order, has_pay
 
 _COUNTS = {"click": "click_count", "order": "order_count", "pay": "pay_count"}
 
@@ -24,7 +24,8 @@ def category_counts(actions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.lit("pay"),
         F.col("pay_category_ids").cast("string"),
     ).alias("kind", "ids")
-    named = actions.select(*by, ids).where("ids is not null and ids <> ''")
+    relevant = actions.where(has_click() | has_order() | has_pay())
+    named = relevant.select(*by, ids).where("ids is not null and ids <> ''")
     single = named.select(*by, "kind", F.explode(split_ids(F.col("ids"))).alias("id"))
     return single.groupBy(*by, F.col("id").cast("bigint").alias("category_id")).agg(
         *[F.count_if(F.col("kind") == kind).alias(name) for kind, name in _COUNTS.items()]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.buckets import STEP, VISIT, Buckets
+from clickloom.functions.text import encode_counts
 
 _LENGTHS = {VISIT: "visit_length", STEP: "step_length"}
 
@@ -39,6 +40,12 @@ def session_counters(sessions: DataFrame, *, compat_zero_bucket: bool = False) -
     return counters.groupBy("counter").agg(F.sum("count").alias("sessions"))
 
 
+def counters_json(counters: DataFrame) -> DataFrame:
+    """All counters as one JSON text with sorted names; there are at most 70."""
+    entries = F.collect_list(F.struct("counter", "sessions"))
+    return counters.agg(encode_counts(F.map_from_entries(entries)).alias("counters"))
+
+
 def ratio_row(
     sessions: DataFrame, task_id: str, buckets: Buckets, *, compat_zero_bucket: bool = False
 ) -> DataFrame:

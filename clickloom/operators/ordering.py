@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.sources.shared import shared_folder
+from clickloom.sources.shared import stage
 
 MAX_GROUP_ROWS = 5_000_000
 
@@ -39,12 +39,11 @@ def slices_needed(df: DataFrame, key: str, max_group_rows: int) -> int:
 def cut_slices(df: DataFrame, key: str, order: Sequence[str], slices: int) -> DataFrame:
     """Rows with a slice number that ascends in (key, order).
 
-    Range bounds come from a sample and could differ if a lost partition were computed
-    again, so the slice numbers are fixed by a checkpoint in the shared folder.
+    Range bounds come from a sample, so the slice numbers are fixed by writing the rows
+    to the shared folder before anything else reads them.
     """
-    shared_folder(df.sparkSession)
     cut = df.repartitionByRange(slices, key, *order)
-    return cut.withColumn(SLICE, F.spark_partition_id()).checkpoint()
+    return stage(cut.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
 def number_rows(
@@ -66,7 +65,9 @@ def number_rows(
         cut.groupBy(key, SLICE)
         .count()
         .select(
-            F.col(key).alias("_key"), F.col(SLICE).alias("_at"), F.sum("count").over(earlier).alias("_before")
+            F.col(key).alias("_key"),
+            F.col(SLICE).alias("_at"),
+            F.sum("count").over(earlier).alias("_before"),
         )
         .where("_before > 0")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.compare import comparable, differs, is_timestamp, orderable
-from clickloom.sources.shared import shared_folder
+from clickloom.sources.shared import stage
 
 SIDES = ("source1", "source2")
 
@@ -88,8 +88,7 @@ class Reconciliation:
 
     def staged(self) -> Reconciliation:
         """The same, with the pairs kept in the shared folder, for several outputs."""
-        shared_folder(self.pairs.sparkSession)
-        return replace(self, pairs=self.pairs.checkpoint())
+        return replace(self, pairs=stage(self.pairs, "recon"))
 
     @property
     def _both(self) -> Column:

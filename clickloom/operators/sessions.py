@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +23,8 @@ def has_search() -> Column:
 
 
 def has_click() -> Column:
-    """-1 and null both mean no click."""
-    return F.coalesce(F.col("click_category_id") != -1, F.lit(False))
+    """-1 means no click; null gives null, which passes no filter either."""
+    return F.col("click_category_id") != -1
 
 
 def has_order() -> Column:
@@ -36,10 +38,10 @@ def has_pay() -> Column:
 def action_kinds(actions: DataFrame) -> DataFrame:
     """Number of actions of each kind; ``none`` is a page view only."""
     kinds = {"search": has_search(), "click": has_click(), "order": has_order(), "pay": has_pay()}
-    any_kind = has_search() | has_click() | has_order() | has_pay()
+    known = F.coalesce(has_search() | has_click() | has_order() | has_pay(), F.lit(False))
     counts = actions.agg(
         *[F.count_if(test).alias(kind) for kind, test in kinds.items()],
-        F.count_if(~any_kind).alias("none"),
+        F.count_if(~known).alias("none"),
     )
     return counts.unpivot([], [*kinds, "none"], "kind", "actions")
 
@@ -117,6 +119,9 @@ def session_terms(
         "search_keywords": F.when(F.col("search_keyword") != "", F.col("search_keyword")),
         "click_categories": F.when(has_click(), F.col("click_category_id").cast("string")),
     }
+    if not keep_empty:
+        present = {"search_keywords": has_search(), "click_categories": has_click()}
+        actions = actions.where(reduce(operator.or_, [present[name] for name in lists]))
     stacked = actions.select(
         *by,
         "action_time",

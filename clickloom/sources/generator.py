@@ -45,7 +45,10 @@ def slots(spark: SparkSession, count: int) -> DataFrame:
 
 
 def _spread(df: DataFrame, column: str) -> DataFrame:
-    """Even out a small input before each of its rows becomes many."""
+    """Even out a small input before each of its rows becomes many.
+
+    The explicit number keeps adaptive execution from merging the partitions again.
+    """
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), column)
 
 
@@ -64,7 +67,7 @@ def generate_actions(
     """
     day = F.lit(date) if date else F.current_date().cast("string")
     sessions = (
-        _spread(slots.select("slot"), "slot")
+        slots.select("slot")
         .withColumn("user_draw", digest(seed, "user", F.col("slot")))
         .withColumn("visit", F.explode(F.sequence(F.lit(1), F.lit(sessions_per_slot))))
         .withColumn("session_id", digest(seed, "session", F.col("slot"), F.col("visit")))
@@ -76,7 +79,7 @@ def generate_actions(
             uniform_int(F.col("draw"), 1, *STEPS).alias("steps"),
         )
     )
-    steps = sessions.withColumn(
+    steps = _spread(sessions, "session_id").withColumn(
         "step", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("steps")))
     ).withColumns(
         {

@@ -5,25 +5,34 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``, also set as the checkpoint folder.
+    """Folder named by ``spark.checkpoint.dir``.
 
     Only a local session may do without that setting; it gets a temporary folder.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="clickloom-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A new path below the shared folder, for one run's files."""
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    Cuts the lineage: what follows neither repeats the work nor sees other values when
+    executors are lost. Columnar files let each reader take only the columns it needs.
+    """
+    path = fresh_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

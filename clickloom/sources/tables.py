@@ -32,9 +32,14 @@ def typed_actions(stored: DataFrame) -> DataFrame:
     )
 
 
-def fetch(spark: SparkSession, statements: Iterable[str]) -> list[DataFrame]:
-    """One DataFrame per SQL text; any query Spark SQL accepts."""
-    return [spark.sql(text) for text in statements]
+def fetch(
+    spark: SparkSession, statements: Iterable[str], **frames: DataFrame
+) -> list[DataFrame]:
+    """One DataFrame per SQL text; any query Spark SQL accepts.
+
+    A DataFrame given by name stands for ``{name}`` in the text.
+    """
+    return [spark.sql(text, **frames) for text in statements]
 
 
 def read_ratio_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

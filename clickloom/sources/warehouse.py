@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.sources.tables import ACTION_TABLE, PRODUCT_TABLE, USER_TABLE
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -89,10 +87,3 @@ def products(part: DataFrame) -> DataFrame:
             F.when(key % 5 == 0, "").otherwise("}"),
         ).alias("extend_info"),
     )
-
-
-def register_model(spark: SparkSession, folder: str) -> None:
-    """Name the model tables as temporary views, for sources given as SQL text."""
-    actions(table(spark, folder, "events")).createOrReplaceTempView(ACTION_TABLE)
-    users(table(spark, folder, "customer")).createOrReplaceTempView(USER_TABLE)
-    products(table(spark, folder, "part")).createOrReplaceTempView(PRODUCT_TABLE)

@@ -1,0 +1,114 @@
+"""What the plans must look like at scale."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from helpers import plan
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from clickloom.operators.categories import category_counts
+from clickloom.operators.products import top_products_by_city
+from clickloom.operators.sessions import filtered_sessions, join_users, session_summary
+from clickloom.plans.session_analysis import session_full_info
+from clickloom.schemas import ACTIONS, PRODUCTS, USERS
+from clickloom.sources.shared import shared_folder
+
+DATA = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("tables"))
+    frames = {}
+    for name, schema in (("actions", ACTIONS), ("users", USERS), ("products", PRODUCTS)):
+        spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}")
+        frames[name] = spark.read.schema(schema).parquet(f"{folder}/{name}")
+    return frames
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+@needs_data
+def test_no_python_in_any_query(spark):
+    for name, query in contract.queries().items():
+        if name != "ad_click_traffic":  # would run the stream
+            text = plan(query(spark, DATA))
+            assert "Python" not in text and "Pandas" not in text, name
+            assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_age_reaches_the_user_scan(spark, tables):
+    text = plan(filtered_sessions(tables["actions"], tables["users"]))
+    assert "GreaterThanOrEqual(age,30)" in text and "LessThanOrEqual(age,50)" in text
+
+
+def test_summary_reads_three_columns_and_hashes(spark, tables):
+    text = plan(session_summary(tables["actions"]))
+    assert "ReadSchema: struct<user_id:bigint,session_id:string,action_time:timestamp_ntz>" in text
+    assert "partial_min_by" in text and "SortAggregate" not in text
+    assert text.count("Exchange") == 1
+
+
+def test_lists_join_where_the_summaries_are(spark, tables, no_broadcast):
+    text = plan(session_full_info(tables["actions"], tables["users"]))
+    # Summary, terms (two), then both sides of the join with users: none for the list join.
+    assert text.count("Exchange hashpartitioning") == 5
+
+
+def test_counts_combine_before_the_shuffle(spark, tables):
+    text = plan(category_counts(tables["actions"]))
+    assert "partial_count" in text and text.count("Scan") == 1
+
+
+def test_top_products_limits_each_task(spark, tables):
+    text = plan(top_products_by_city(tables["actions"], tables["products"]))
+    assert "WindowGroupLimit" in text and "Partial" in text
+    assert "IsNotNull(click_product_id)" in text
+
+
+def test_hot_user_is_split(spark, no_broadcast):
+    """Sessions of which most belong to one user, joined with users without a broadcast."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        n = 100_000
+        user = F.when(F.col("id") % 10 < 7, F.lit(7)).otherwise(F.col("id") % 1000)
+        sessions = spark.range(n).select(
+            F.md5(F.col("id").cast("string")).alias("session_id"),
+            user.cast("bigint").alias("user_id"),
+            F.current_timestamp().cast("timestamp_ntz").alias("action_time"),
+        )
+        users = spark.range(1000).select(
+            F.col("id").alias("user_id"),
+            F.lit(40).alias("age"),
+            *[F.lit("x").alias(c) for c in ("professional", "sex", "city")],
+        )
+        joined = join_users(session_summary(sessions), users)
+        assert len(joined.collect()) == n
+        assert "skew=true" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_shared_folder_is_the_configured_one(spark, tmp_path):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
