@@ -38,12 +38,13 @@ def top_categories(
     """Categories with most clicks, then orders, then payments, in the given sessions.
 
     Actions are counted per session and category before they meet the sessions, so a
-    large session brings at most one row per category to the join.
+    large session brings at most one row per category to the join. (Adaptive execution
+    would not split such a session: with broadcast users, the other side of the join is
+    an aggregate and not a fresh shuffle.)
     """
     per_session = category_counts(actions, by=["session_id"])
-    chosen = sessions.select("session_id")
     counts = (
-        per_session.join(chosen, "session_id", "left_semi")
+        per_session.join(sessions.select("session_id"), "session_id", "left_semi")
         .groupBy("category_id")
         .agg(*[F.sum(name).alias(name) for name in _COUNTS.values()])
     )

@@ -10,26 +10,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.sources.shared import stage
 
-MAX_GROUP_ROWS = 5_000_000
+MAX_GROUP_ROWS = 10_000_000
+HASH_BUCKETS = 1 << 17
 
 SLICE = "_slice"
 RANK = "_rank"
 
 
-def group_sizes(df: DataFrame, key: str) -> tuple[int, int]:
+def group_sizes(df: DataFrame, key: Column) -> tuple[int, int]:
     """Rows of the largest key and rows in all, from a count that combines map-side."""
-    row = df.groupBy(key).count().agg(F.max("count"), F.sum("count")).first()
+    row = df.groupBy(key.alias("key")).count().agg(F.max("count"), F.sum("count")).first()
     return row[0] or 0, row[1] or 0
 
 
 def slices_needed(df: DataFrame, key: str, max_group_rows: int) -> int:
-    """0 when a window over the key will do, else the number of slices to cut."""
-    largest, total = group_sizes(df, key)
+    """0 when a window over the key will do, else the number of slices to cut.
+
+    No key is larger than its hash bucket, and buckets are far cheaper to count; keys
+    are counted only when some bucket is too large.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(HASH_BUCKETS))
+    if group_sizes(df, bucket)[0] <= max_group_rows:
+        return 0
+    largest, total = group_sizes(df, F.col(key))
     if largest <= max_group_rows:
         return 0
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

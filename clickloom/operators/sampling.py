@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import format_action_time
-from clickloom.operators.sessions import session_term_lists
+from clickloom.operators.sessions import session_term_lists, with_term_lists
+
+# Sampled rows (id and time) that may be broadcast: a few megabytes.
+MAX_BROADCAST_ROWS = 100_000
 
 
 def pick_sessions(sessions: DataFrame, size: int, seed: int = 0) -> DataFrame:
@@ -18,10 +21,17 @@ def pick_sessions(sessions: DataFrame, size: int, seed: int = 0) -> DataFrame:
 def sample_sessions(
     sessions: DataFrame, actions: DataFrame, task_id: str, size: int = 100, seed: int = 0
 ) -> DataFrame:
-    """Sampled sessions with start time and lists; lists are made for the sample only."""
+    """Sampled sessions with start time and lists.
+
+    A sample small enough to broadcast limits the actions first, so lists are made for
+    the sample only.
+    """
     picked = pick_sessions(sessions, size, seed).select("session_id", "start_time")
-    theirs = actions.join(picked, "session_id")
-    lists = session_term_lists(theirs, by=["session_id", "start_time"], keep_empty=True)
+    if size <= MAX_BROADCAST_ROWS:
+        theirs = actions.join(F.broadcast(picked), "session_id")
+        lists = session_term_lists(theirs, by=["session_id", "start_time"], keep_empty=True)
+    else:
+        lists = with_term_lists(picked, actions)
     return lists.select(
         F.lit(task_id).alias("task_id"),
         "session_id",

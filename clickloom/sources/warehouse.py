@@ -43,7 +43,9 @@ def actions(events: DataFrame, grain: str = "day") -> DataFrame:
     depending on the user, which spreads step counts over more buckets.
     """
     kind, k = F.col("event_type"), F.col("k")
-    keyed = events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    # A pattern reads the one flat number several times faster than a JSON parser.
+    number = F.nullif(F.regexp_extract("props", r'"k":\s*(-?\d+)', 1), F.lit(""))
+    keyed = events.withColumn("k", number.cast("bigint"))
     return keyed.select(
         F.to_date("ts").alias("date"),
         "user_id",

@@ -9,7 +9,7 @@ from helpers import plan
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from clickloom.operators.categories import category_counts
+from clickloom.operators.categories import category_counts, top_categories
 from clickloom.operators.products import top_products_by_city
 from clickloom.operators.sessions import filtered_sessions, join_users, session_summary
 from clickloom.plans.session_analysis import session_full_info
@@ -77,8 +77,9 @@ def test_top_products_limits_each_task(spark, tables):
     assert "IsNotNull(click_product_id)" in text
 
 
-def test_hot_user_is_split(spark, no_broadcast):
-    """Sessions of which most belong to one user, joined with users without a broadcast."""
+@pytest.fixture
+def small_skew(spark, no_broadcast):
+    """Thresholds that make a few hundred kilobytes count as a skewed partition."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -89,25 +90,33 @@ def test_hot_user_is_split(spark, no_broadcast):
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
-    try:
-        n = 100_000
-        user = F.when(F.col("id") % 10 < 7, F.lit(7)).otherwise(F.col("id") % 1000)
-        sessions = spark.range(n).select(
-            F.md5(F.col("id").cast("string")).alias("session_id"),
-            user.cast("bigint").alias("user_id"),
-            F.current_timestamp().cast("timestamp_ntz").alias("action_time"),
-        )
-        users = spark.range(1000).select(
-            F.col("id").alias("user_id"),
-            F.lit(40).alias("age"),
-            *[F.lit("x").alias(c) for c in ("professional", "sex", "city")],
-        )
-        joined = join_users(session_summary(sessions), users)
-        assert len(joined.collect()) == n
-        assert "skew=true" in plan(joined)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_user_is_split(spark, small_skew):
+    n = 100_000
+    user = F.when(F.col("id") % 10 < 7, F.lit(7)).otherwise(F.col("id") % 1000)
+    actions = spark.range(n).select(
+        F.md5(F.col("id").cast("string")).alias("session_id"),
+        user.cast("bigint").alias("user_id"),
+        F.current_timestamp().cast("timestamp_ntz").alias("action_time"),
+    )
+    users = spark.range(1000).select(
+        F.col("id").alias("user_id"),
+        F.lit(40).alias("age"),
+        *[F.lit("x").alias(c) for c in ("professional", "sex", "city")],
+    )
+    joined = join_users(session_summary(actions), users)
+    assert len(joined.collect()) == n
+    assert "skew=true" in plan(joined)
+
+
+def test_hot_session_is_counted_before_the_join(spark, tables, no_broadcast):
+    sessions = tables["actions"].select("session_id").distinct()
+    text = plan(top_categories(tables["actions"], sessions, "t"))
+    assert text.index("LeftSemi") < text.index("partial_count")  # printed top down
 
 
 def test_shared_folder_is_the_configured_one(spark, tmp_path):

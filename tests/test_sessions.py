@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from helpers import actions, at, rows, users
 
 from clickloom.operators import sessions
@@ -173,10 +174,14 @@ def test_sample_is_exact_repeatable_and_a_subset(spark):
     assert [r[1] for r in rows(sample)] == [r[0] for r in first]
 
 
-def test_sample_keeps_sessions_without_terms(spark):
-    df = actions(spark, {"session_id": "plain"})
-    sample = sample_sessions(sessions.session_summary(df), df, "t")
-    assert rows(sample) == [("t", "plain", "2021-01-27 4:00:00", "", "")]
+@pytest.mark.parametrize("size", [100, 10**6])
+def test_sample_keeps_sessions_without_terms(spark, size):
+    df = actions(spark, {"session_id": "plain"}, {"session_id": "x", "search_keyword": "Mugs"})
+    sample = sample_sessions(sessions.session_summary(df), df, "t", size=size)
+    assert rows(sample) == [
+        ("t", "plain", "2021-01-27 4:00:00", "", ""),
+        ("t", "x", "2021-01-27 4:00:00", "Mugs", ""),
+    ]
 
 
 def test_top_products(spark):
