@@ -106,19 +106,16 @@ def with_next(
 
     cut = cut_slices(df, key, order, slices)
     window = Window.partitionBy(key, SLICE).orderBy(*order)
-    ranked = cut.select(
-        key,
-        SLICE,
-        value,
-        F.lead(value).over(window).alias(name),
-        (F.row_number().over(window) == 1).alias("_first"),
-        F.lead(F.lit(True), 1, False).over(window).alias("_inner"),
+    followed = F.lead(F.lit(True), 1, False).over(window)
+    inside = (
+        cut.select(value, F.lead(value).over(window).alias(name), followed.alias("_followed"))
+        .where("_followed")
+        .drop("_followed")
     )
-    inside = ranked.where("_inner").select(value, name)
-    # One row per key and slice: its first and last value.
-    ends = ranked.groupBy(key, SLICE).agg(
-        F.max(F.when(F.col("_first"), F.col(value))).alias("_head"),
-        F.max(F.when(~F.col("_inner"), F.col(value))).alias("_tail"),
+    # One row per key and slice: its first and last value, combined before the shuffle.
+    position = F.struct(*order)
+    ends = cut.groupBy(key, SLICE).agg(
+        F.min_by(value, position).alias("_head"), F.max_by(value, position).alias("_tail")
     )
     onward = Window.partitionBy(key).orderBy(SLICE)
     across = ends.select(F.col("_tail").alias(value), F.lead("_head").over(onward).alias(name))
