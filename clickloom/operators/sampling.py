@@ -2,20 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import format_action_time
 from clickloom.operators.sessions import session_term_lists, with_term_lists
+from clickloom.sources.shared import stage
 
 # Sampled rows (id and time) that may be broadcast: a few megabytes.
 MAX_BROADCAST_ROWS = 100_000
 
+# Sample size up to which one task may rank the first rows of all partitions.
+MAX_TOP_ROWS = 100_000
 
-def pick_sessions(sessions: DataFrame, size: int, seed: int = 0) -> DataFrame:
-    """Exactly ``size`` sessions (all, if there are fewer), the same on every run."""
+
+def pick_sessions(
+    sessions: DataFrame, size: int, seed: int = 0, max_top_rows: int = MAX_TOP_ROWS
+) -> DataFrame:
+    """Exactly ``size`` sessions (all, if there are fewer), the same on every run.
+
+    Sessions are ranked by a seeded digest. Spark gathers the first rows of every
+    partition in one task, which suits a small sample. For a large one, counts per
+    leading digits tell up to where all sessions belong to the sample, and only the
+    group at the cut is ranked.
+    """
     rank = F.md5(F.concat(F.lit(f"{seed}:"), F.col("session_id")))
-    return sessions.orderBy(rank, "session_id").limit(size)
+    if size <= max_top_rows:
+        return sessions.orderBy(rank, "session_id").limit(size)
+
+    # At most 16 ** 4 groups, of nearly equal size.
+    staged = stage(sessions.withColumn("_rank", rank), "sample")
+    group = F.substring("_rank", 1, 4)
+    counts = staged.groupBy(group.alias("group")).count()
+    running = counts.withColumn("upto", F.sum("count").over(Window.orderBy("group")))
+    cut = running.where(F.col("upto") > size).orderBy("group").first()
+    if cut is None:
+        return staged.drop("_rank")
+    below = staged.where(group < cut["group"])
+    rest = size - (cut["upto"] - cut["count"])
+    at_cut = staged.where(group == cut["group"]).orderBy("_rank", "session_id").limit(rest)
+    return below.unionAll(at_cut).drop("_rank")
 
 
 def sample_sessions(

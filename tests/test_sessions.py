@@ -174,6 +174,14 @@ def test_sample_is_exact_repeatable_and_a_subset(spark):
     assert [r[1] for r in rows(sample)] == [r[0] for r in first]
 
 
+def test_large_sample_is_the_same(spark):
+    chosen = spark.range(500).selectExpr("concat('s', id) as session_id", "id as start_time")
+    for size in (0, 1, 37, 499, 500, 900):
+        small = rows(pick_sessions(chosen, size, seed=3))
+        large = rows(pick_sessions(chosen, size, seed=3, max_top_rows=-1))
+        assert small == large and len(small) == min(size, 500)
+
+
 @pytest.mark.parametrize("size", [100, 10**6])
 def test_sample_keeps_sessions_without_terms(spark, size):
     df = actions(spark, {"session_id": "plain"}, {"session_id": "x", "search_keyword": "Mugs"})
