@@ -281,7 +281,8 @@ SELECT session_id, user_id, coalesce(search_keywords, '') AS search_keywords,
   {_time('start_time')} AS start_time, {USER_COLUMNS}
 FROM filtered LEFT JOIN keyword_lists USING (session_id)
   LEFT JOIN category_lists USING (session_id)""",
-        "session_totals": f"{_filtered()}SELECT count(*) AS sum_visit, count(*) AS sum_step FROM filtered",
+        "session_totals": f"""{_filtered()}
+SELECT count(*) AS sum_visit, count(*) AS sum_step FROM filtered""",
         "session_counters": f"""{_filtered()}
 SELECT 'sum_visit' AS counter, count(*) AS sessions FROM filtered
 UNION ALL SELECT 'sum_step', count(*) FROM filtered
@@ -326,7 +327,8 @@ UNION ALL SELECT 'source2', o_orderkey
 FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
         "recon_duplicate_pairs": f"""{recon}SELECT coalesce(k1, k2) AS o_orderkey,
   n1 AS rows_source1, n2 AS rows_source2 FROM pairs WHERE n1 > 1 OR n2 > 1""",
-        "set_union_all": f"""{_with(ORDERS_SIDES)}SELECT o_orderkey, o_orderstatus, o_totalprice FROM s1
+        "set_union_all": f"""{_with(ORDERS_SIDES)}
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM s1
 UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM s2""",
         "set_except": f"{_with(ORDERS_SIDES)}SELECT o_orderkey FROM s2 EXCEPT SELECT o_orderkey FROM s1",
         "set_intersect": f"""{_with(ORDERS_SIDES)}

@@ -55,6 +55,7 @@ ACTIONS = T.StructType(
     ]
 )
 
+# Result tables.
 SAMPLE = _struct(
     ("task_id", T.StringType()),
     ("session_id", T.StringType()),

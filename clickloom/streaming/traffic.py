@@ -13,7 +13,9 @@ WATERMARK = "1 hour"
 PERIOD = "1 day"
 
 
-def clicks_per_period(actions: DataFrame, period: str = PERIOD, watermark: str = WATERMARK) -> DataFrame:
+def clicks_per_period(
+    actions: DataFrame, period: str = PERIOD, watermark: str = WATERMARK
+) -> DataFrame:
     """Number of clicks per tumbling period, repeated deliveries of an action counted once.
 
     The first aggregate drops repeats. Unlike a streaming ``dropDuplicates`` it combines

@@ -46,8 +46,10 @@ def compare(spark, connection, query, sql: str, folder: str) -> tuple[int, str]:
     rows = sum(got.values())
     if got == expected:
         return rows, ""
-    return rows, f"{(got - expected).total()} extra {list((got - expected))[:3]}, " \
-        f"{(expected - got).total()} missing {list((expected - got))[:3]}"
+    extra, missing = got - expected, expected - got
+    return rows, (
+        f"{extra.total()} extra {list(extra)[:3]}, {missing.total()} missing {list(missing)[:3]}"
+    )
 
 
 def _kind(name: str) -> str:
@@ -81,7 +83,8 @@ def main(folder: str, *only: str) -> int:
         except Exception as error:  # report and go on with the next query
             rows, problem = 0, f"{type(error).__name__}: {str(error)[:1500]}"
         failures += bool(problem)
-        print(f"{'FAIL' if problem else 'ok  '} {name} {rows} rows {time.time() - start:.1f}s {problem}")
+        state, took = "FAIL" if problem else "ok  ", time.time() - start
+        print(f"{state} {name} {rows} rows {took:.1f}s {problem}")
     return failures
 
 

@@ -22,7 +22,9 @@ def skewed(spark):
         .when(n % 10 == 6, F.lit(None))
         .otherwise(F.concat(F.lit("s"), n % 37))
         .alias("session_id"),
-        F.when(n % 3 == 0, F.lit(500)).otherwise(F.pmod(F.hash("id"), F.lit(1000))).alias("action_time"),
+        F.when(n % 3 == 0, F.lit(500))
+        .otherwise(F.pmod(F.hash("id"), F.lit(1000)))
+        .alias("action_time"),
         n.alias("action_id"),
         F.pmod(F.xxhash64("id"), F.lit(5)).alias("page_id"),
     )

@@ -210,6 +210,7 @@ def test_top_products(spark):
 
 
 def test_stored_actions_are_typed(spark):
-    stored = spark.createDataFrame([("2021-01-27", "2021-01-27 4:34:30")], "date string, action_time string")
+    schema = "date string, action_time string"
+    stored = spark.createDataFrame([("2021-01-27", "2021-01-27 4:34:30")], schema)
     row = typed_actions(stored).first()
     assert (str(row["date"]), row["action_time"]) == ("2021-01-27", at(4, 34, 30))
