@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from clickloom.sources.shared import stage
 
@@ -19,6 +20,7 @@ MAX_GROUP_ROWS = 10_000_000
 HASH_BUCKETS = 1 << 17
 
 SLICE = "_slice"
+TIE = "_tie"
 RANK = "_rank"
 
 
@@ -45,12 +47,22 @@ def slices_needed(df: DataFrame, key: str, max_group_rows: int) -> int:
 
 
 def cut_slices(df: DataFrame, key: str, order: Sequence[str], slices: int) -> DataFrame:
-    """Rows with a slice number that ascends in (key, order).
+    """Rows with a slice number that ascends in (key, order) and a number that parts ties.
 
-    Range bounds come from a sample, so the slice numbers are fixed by writing the rows
-    to the shared folder before anything else reads them.
+    The tie number lets equal rows fall into several slices. It is given after a local
+    sort, so that a task that runs again gives equal rows the same numbers. Range bounds
+    come from a sample; writing the rows to the shared folder fixes the slice numbers
+    before anything else reads them.
     """
-    cut = df.repartitionByRange(slices, key, *order)
+    rest = [
+        f.name
+        for f in df.schema
+        if f.name not in (key, *order) and not isinstance(f.dataType, MapType)
+    ]
+    numbered = df.sortWithinPartitions(key, *order, *rest).withColumn(
+        TIE, F.monotonically_increasing_id()
+    )
+    cut = numbered.repartitionByRange(slices, key, *order, TIE)
     return stage(cut.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
@@ -79,7 +91,7 @@ def number_rows(
         )
         .where("_before > 0")
     )
-    window = Window.partitionBy(key, SLICE).orderBy(*order)
+    window = Window.partitionBy(key, SLICE).orderBy(*order, TIE)
     ranked = cut.withColumn(RANK, F.row_number().over(window))
     # At most one key continues into a slice from an earlier one, so the offsets have no
     # more rows than there are slices: always small enough to broadcast.
@@ -105,7 +117,7 @@ def with_next(
         return df.select(value, F.lead(value).over(window).alias(name))
 
     cut = cut_slices(df, key, order, slices)
-    window = Window.partitionBy(key, SLICE).orderBy(*order)
+    window = Window.partitionBy(key, SLICE).orderBy(*order, TIE)
     followed = F.lead(F.lit(True), 1, False).over(window)
     inside = (
         cut.select(value, F.lead(value).over(window).alias(name), followed.alias("_followed"))
@@ -113,7 +125,7 @@ def with_next(
         .drop("_followed")
     )
     # One row per key and slice: its first and last value, combined before the shuffle.
-    position = F.struct(*order)
+    position = F.struct(*order, TIE)
     ends = cut.groupBy(key, SLICE).agg(
         F.min_by(value, position).alias("_head"), F.max_by(value, position).alias("_tail")
     )

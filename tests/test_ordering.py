@@ -70,6 +70,25 @@ def test_the_large_session_is_cut(spark, skewed):
         seen[row["session_id"]] = tuple(row["high"])
 
 
+def test_copies_are_spread_over_slices(spark):
+    """Two thirds of the rows are the same row."""
+    n = F.col("id")
+    df = spark.range(900).select(
+        F.lit("hot").alias("session_id"),
+        F.when(n % 3 < 2, 0).otherwise(n).alias("action_time"),
+        F.when(n % 3 < 2, 0).otherwise(n).alias("action_id"),
+        F.when(n % 3 < 2, 1).otherwise(n % 4).cast("bigint").alias("page_id"),
+    )
+    cut = ordering.cut_slices(df, "session_id", ["action_time", "action_id"], 9)
+    sizes = [row["count"] for row in cut.groupBy(ordering.SLICE).count().collect()]
+    assert len(sizes) == 9 and max(sizes) < 300
+    for limit in (WINDOW, SPLIT):
+        steps, moves = brute_force(df)
+        got = session_actions(df, max_group_rows=limit)
+        assert rows(got.select("session_id", "action_id", "step")) == steps
+        assert rows(page_moves(df, max_group_rows=limit)) == moves
+
+
 @pytest.mark.parametrize("limit", [WINDOW, SPLIT])
 def test_conversion(spark, skewed, limit):
     _, moves = brute_force(skewed)

@@ -200,7 +200,8 @@ def test_top_products(spark):
         {"city_id": 3},
     )
     info = [(1, "one", '{"product_status":1'), (2, "two", '{"product_status":0}')]
-    got = top_products_by_city(df, spark.createDataFrame(info, PRODUCTS))
+    copies = [info[0]] * 5
+    got = top_products_by_city(df, spark.createDataFrame(info + copies, PRODUCTS))
     assert rows(got) == [
         (1, 1, 100, None, None, 3),
         (1, 2, 1, "one", 1, 2),
