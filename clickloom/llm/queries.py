@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import set_join
+from clickloom.llm import maxent_lm, set_join
 from clickloom.llm.common import table
 
 
@@ -14,8 +14,15 @@ def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return set_join.jaccard_components(table(spark, folder, "documents"))
 
 
+def op10_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent_lm.score_documents(table(spark, folder, "documents"))
+
+
+QUERIES = (op9_ngram_jaccard_join, op10_maxent_lm)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op9_ngram_jaccard_join,)}
+    return {query.__name__: query for query in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
