@@ -117,3 +117,64 @@ def int_lists(values: np.ndarray, lengths, kind=pa.int64()) -> pa.Array:
     """A list column from concatenated values and the length of each list."""
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values).cast(kind, safe=False))
+
+
+class Lines(NamedTuple):
+    """Lines of several texts: byte span, stripped span, text number, length and key hashes."""
+
+    data: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    doc: np.ndarray
+    length: np.ndarray
+    hash: np.ndarray
+    second: np.ndarray
+    count: np.ndarray
+
+
+def lines_of(texts: pa.Array) -> Lines:
+    """Lines of texts split at \\n; an empty text is one empty line.
+
+    A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends, A-Z
+    lower-cased; ``length`` is its number of code points, ``hash`` and ``second`` are two
+    independent 64-bit hashes of it.
+    """
+    texts = plain(texts)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    size = len(data)
+    breaks = np.flatnonzero(data == 10)
+    owner = np.searchsorted(offsets, breaks, "right") - 1
+    count = np.bincount(owner, minlength=len(texts)) + 1
+    first = np.cumsum(count) - count
+    start, end = np.empty(count.sum(), np.int64), np.empty(count.sum(), np.int64)
+    at = np.arange(len(breaks)) + owner
+    start[first], start[at + 1] = offsets[:-1], breaks + 1
+    end[first + count - 1], end[at] = offsets[1:], breaks
+
+    solid = np.flatnonzero(~((data == 32) | ((data >= 9) & (data <= 13))))
+    low, high = np.searchsorted(solid, start), np.searchsorted(solid, end)
+    filled = high > low
+    solid = np.append(solid, 0)
+    key_start = np.where(filled, solid[low], 0)
+    key_end = np.where(filled, solid[high - 1] + 1, 0)
+
+    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    lowered = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
+    value = lowered.astype(np.uint64) + np.uint64(1)
+    power, inverse = _power_tables(size + 1)
+    hashes = []
+    for values in (value, mix(value)):
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(values * power[:size], out=sums[1:])
+        hashes.append(mix((sums[key_end] - sums[key_start]) * inverse[key_start]))
+    return Lines(
+        data,
+        start,
+        end,
+        np.repeat(np.arange(len(texts)), count),
+        points[key_end] - points[key_start],
+        *hashes,
+        count,
+    )

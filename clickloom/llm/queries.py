@@ -5,11 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickloom.llm import maxent_lm, set_join
+from clickloom.llm import line_dedup, maxent_lm, set_join
 from clickloom.llm.common import table
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return set_join.jaccard_components(table(spark, folder, "documents"))
 
@@ -18,7 +29,32 @@ def op10_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
     return maxent_lm.score_documents(table(spark, folder, "documents"))
 
 
-QUERIES = (op9_ngram_jaccard_join, op10_maxent_lm)
+LINE_DEDUP_SQL = """
+with split as (
+    select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents
+),
+lines as (
+    select doc_id, unnest(parts) as line, generate_subscripts(parts, 1) as place from split
+),
+keyed as (
+    select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+    from lines
+),
+shared as (
+    select key, max(doc_id) as owner from keyed where length(key) >= 40
+    group by key having count(distinct doc_id) >= 5
+),
+marked as (
+    select keyed.*, coalesce(owner <> doc_id, false) as gone from keyed left join shared using (key)
+)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not gone), ''))
+           as kept_sha256
+from marked group by doc_id
+"""
+
+QUERIES = (op3_line_dedup, op9_ngram_jaccard_join, op10_maxent_lm)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -26,4 +62,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_dedup": LINE_DEDUP_SQL}
