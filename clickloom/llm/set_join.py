@@ -39,6 +39,9 @@ SHARED = 0.7
 
 BITMAP_BITS = 256
 
+# Bits of the filter that names the documents to be read again: 4 MB.
+FILTER_BITS = 1 << 25
+
 
 def bands(similarity: int) -> Iterator[tuple[int, int]]:
     """Smallest and largest set size of each band, without end."""
@@ -157,16 +160,41 @@ def _profile_batches(batches, width: int, similarity: int):
             )
 
 
-def _set_batches(batches, width: int):
+def _set_batches(batches, width: int, wanted):
+    """Shingle sets of the texts whose id falls on a set bit."""
     for batch in batches:
+        place = batch.column("place").to_numpy()
+        batch = batch.filter(pa.array((wanted.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
         for part in sliced(batch, "text"):
             made = list(shingle_sets(part.column("text"), width))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in made], pa.binary()), pa.array([s.tobytes() for _, s in made], pa.binary())],
-                names=["digest", "shingles"],
+                [
+                    part.column("doc_id"),
+                    pa.array([d for d, _ in made], pa.binary()),
+                    pa.array([s.tobytes() for _, s in made], pa.binary()),
+                ],
+                names=["doc_id", "digest", "shingles"],
             )
 
 
+def _place(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """Bits of the places that the ids fall on, of fixed size; others may share them."""
+    rows = (
+        ids.select(_place("doc_id").alias("place"))
+        .groupBy(F.shiftright("place", 15).alias("chunk"))
+        .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+        .toPandas()  # FILTER_BITS in all
+    )
+    bits = np.zeros((FILTER_BITS >> 15, 1 << 12), np.uint8)
+    for chunk, own in zip(rows["chunk"], rows["bits"]):
+        bits[chunk] = np.frombuffer(own, np.uint8)
+    return bits.reshape(-1)
+
+
 def _verify_batches(batches, similarity: int):
     for batch in batches:
         left, right = batch.column("left"), batch.column("right")
@@ -194,19 +222,20 @@ def _can_link(one: str, two: str, similarity: int):
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, similarity: int) -> DataFrame:
     """Those of the pairs (a, b) that link, written to the shared folder.
 
-    Only texts of documents in a pair are read again. A document is found by its id and
-    the digest of its words, so repeated ids cannot be confused.
+    Sets are made again for documents in a pair only; a filter of fixed size over their
+    ids keeps other texts out of the shuffle. A document is found by its id and the
+    digest of its words, so repeated ids cannot be confused.
     """
     pairs = stage(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     named = nodes.join(wanted, "node").select("node", "doc_id", "digest")
-    ids = named.select(F.col("doc_id").alias("_id")).distinct()
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    sets = texts.mapInArrow(
-        functools.partial(_set_batches, width=width), "digest binary, shingles binary"
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(named))
+    sets = docs.withColumn("place", _place("doc_id")).mapInArrow(
+        functools.partial(_set_batches, width=width, wanted=bits),
+        "doc_id bigint, digest binary, shingles binary",
     )
-    sets = named.select("node", "digest").join(sets, "digest").dropDuplicates(["node"])
-    sets = stage(sets.select("node", "shingles"), "sets")
+    same = sets["digest"].eqNullSafe(named["digest"]) & sets["doc_id"].eqNullSafe(named["doc_id"])
+    sets = stage(named.join(sets, same).select("node", "shingles"), "sets")
     joined = (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
