@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import line_dedup, maxent_lm, quality, set_join
+from clickloom.llm import language, line_dedup, maxent_lm, quality, set_join
 from clickloom.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_quality_forest(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op2_rank_order_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify_languages(table(spark, folder, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select(
@@ -58,7 +62,7 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from marked group by doc_id
 """
 
-QUERIES = (op1_quality_forest, op3_line_dedup, op9_ngram_jaccard_join, op10_maxent_lm)
+QUERIES = (op1_quality_forest, op2_rank_order_language, op3_line_dedup, op9_ngram_jaccard_join, op10_maxent_lm)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
