@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import language, line_dedup, maxent_lm, quality, set_join
+from clickloom.llm import language, line_dedup, maxent_lm, pieces, quality, set_join
 from clickloom.llm.common import table
 
 
@@ -29,6 +29,19 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.encode_documents(table(spark, folder, "documents"), model)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return set_join.jaccard_components(table(spark, folder, "documents"))
 
@@ -62,7 +75,7 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from marked group by doc_id
 """
 
-QUERIES = (op1_quality_forest, op2_rank_order_language, op3_line_dedup, op9_ngram_jaccard_join, op10_maxent_lm)
+QUERIES = (op1_quality_forest, op2_rank_order_language, op3_line_dedup, op5_piece_codec, op9_ngram_jaccard_join, op10_maxent_lm)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
