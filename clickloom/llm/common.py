@@ -78,6 +78,7 @@ class Words(NamedTuple):
     doc: np.ndarray
     hash: np.ndarray
     count: np.ndarray
+    stems: np.ndarray
 
     @property
     def first(self) -> np.ndarray:
@@ -85,9 +86,12 @@ class Words(NamedTuple):
         return np.concatenate([[0], np.cumsum(self.count)])
 
 
-def words_of(texts: pa.Array, lower: bool = True) -> Words:
+def words_of(texts: pa.Array, lower: bool = True, letters: bool = False, stems: tuple = ()) -> Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of texts, A-Z lower-cased if asked.
 
+    With ``letters``, words are runs of ASCII letters and of characters beyond ASCII.
+    ``stems`` are numbers of leading bytes that get hashes, too (rows of ``Words.stems``).
+
     The hash is polynomial over the bytes, then mixed; it does not depend on where the
     word stands. Different words share a hash with a chance of about 2**-64 a pair.
     """
@@ -98,7 +102,10 @@ def words_of(texts: pa.Array, lower: bool = True) -> Words:
     size = len(data)
     if lower:
         data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    if letters:
+        inside = (data >= 128) | (((data | 32) >= 97) & ((data | 32) <= 122))
+    else:
+        inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
     edge = np.zeros(size + 1, bool)
     edge[offsets] = True
     before = np.concatenate([[False], inside])[:size] & ~edge[:size]
@@ -110,7 +117,8 @@ def words_of(texts: pa.Array, lower: bool = True) -> Words:
     sums = np.zeros(size + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:size], out=sums[1:])
     hashed = mix((sums[end] - sums[start]) * inverse[start])
-    return Words(data, start, end, doc, hashed, np.bincount(doc, minlength=len(texts)))
+    leading = [mix((sums[np.minimum(end, start + n)] - sums[start]) * inverse[start]) for n in stems]
+    return Words(data, start, end, doc, hashed, np.bincount(doc, minlength=len(texts)), np.array(leading))
 
 
 def int_lists(values: np.ndarray, lengths, kind=pa.int64()) -> pa.Array:

@@ -32,10 +32,13 @@ from clickloom.llm.common import int_lists, sliced
 MARK = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
-# Remembered words: at most so many, of at most so many characters.
+# Remembered words: twice so many at most, of at most so many characters.
 REMEMBERED = 200_000
 REMEMBERED_LENGTH = 48
 
+# Remembered pairs of pieces.
+PAIRS = 1 << 18
+
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 
@@ -101,8 +104,9 @@ class PieceCodec:
         self.automaton.make_automaton()
         self.by_words = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         self.words = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self.remembered: dict[str, tuple[int, ...]] = {}
-        self.compatible = functools.lru_cache(maxsize=1 << 18)(self._compatible)
+        self.recent: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
         self.output = [
             b"" if t == CONTROL else bytes([int(BYTE_PIECE.fullmatch(p)[1], 16)]) if t == BYTE
             else " ⁇ ".encode() if t == UNKNOWN else p.replace(MARK, " ").encode()
@@ -151,15 +155,22 @@ class PieceCodec:
     def _prefix_table(self, word: str) -> list[int]:
         """Last piece of each prefix; -1 where it ends in a character without a piece."""
         last = [-1] * (len(word) + 1)
-        compatible = self.compatible
+        pairs, size = self.pairs, len(self.time)
         for end, (length, piece) in self.automaton.iter(word):
             end += 1
             if last[end] >= 0:
                 continue
-            start = end - length
-            before = last[start]
-            if before < 0 or compatible(before, piece):
-                last[end] = piece
+            before = last[end - length]
+            if before >= 0:
+                pair = before * size + piece
+                fits = pairs.get(pair)
+                if fits is None:
+                    if len(pairs) >= PAIRS:
+                        pairs.clear()
+                    fits = pairs[pair] = self._compatible(before, piece)
+                if not fits:
+                    continue
+            last[end] = piece
         return last
 
     def _encode_word(self, word: str) -> tuple[int, ...]:
@@ -177,11 +188,11 @@ class PieceCodec:
         return tuple(reversed(ids))
 
     def _word(self, word: str) -> tuple[int, ...]:
-        found = self._encode_word(word)
+        found = self.older.get(word) or self._encode_word(word)
         if len(word) <= REMEMBERED_LENGTH:
-            if len(self.remembered) >= REMEMBERED:
-                self.remembered.clear()
-            self.remembered[word] = found
+            if len(self.recent) >= REMEMBERED:
+                self.recent, self.older = {}, self.recent
+            self.recent[word] = found
         return found
 
     def encode(self, text: str | None) -> list[int]:
@@ -190,8 +201,8 @@ class PieceCodec:
             return [self.vocabulary.end]
         marked = MARK + text.replace(" ", MARK)
         words = self.words.findall(marked) if self.by_words else [marked]
-        get, make = self.remembered.get, self._word
-        ids = list(chain.from_iterable([get(w) or make(w) for w in words]))
+        make = self._word
+        ids = list(chain.from_iterable([self.recent.get(w) or make(w) for w in words]))
         ids.append(self.vocabulary.end)
         return ids
 
