@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import language, line_dedup, maxent_lm, pieces, quality, set_join, toxicity
+from clickloom.llm import language, line_dedup, maxent_lm, pieces, quality, set_join, toxicity, vector_search
 from clickloom.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op7_convolutional_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.nearest(table(spark, folder, "embeddings"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return set_join.jaccard_components(table(spark, folder, "documents"))
 
@@ -79,7 +83,7 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from marked group by doc_id
 """
 
-QUERIES = (op1_quality_forest, op2_rank_order_language, op3_line_dedup, op5_piece_codec, op7_convolutional_toxicity, op9_ngram_jaccard_join, op10_maxent_lm)
+QUERIES = (op1_quality_forest, op2_rank_order_language, op3_line_dedup, op5_piece_codec, op7_convolutional_toxicity, op8_learned_partitions, op9_ngram_jaccard_join, op10_maxent_lm)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
