@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+
+tokenizers = pytest.importorskip("tokenizers")
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from text_cases import ODD, documents, no_documents, odd_documents  # noqa: E402
+
+from clickloom.llm import token_counts  # noqa: E402
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def plain_counts(encoder, text, rule):
+    """Tokens and crossing tokens of each sentence, from another library's offsets."""
+    text = text or ""
+    ends = [m.end() for m in re.finditer(r"[.!?]+[^\S\n]+|\n", text)]
+    if not ends or ends[-1] < len(text):
+        ends.append(len(text))
+    spans = list(zip([0, *ends[:-1]], ends))
+    counts, crossing = [0] * len(spans), [0] * len(spans)
+    for start, stop in encoder.encode(text, add_special_tokens=False).offsets:
+        shares = [min(stop, b) - max(start, a) for a, b in spans]
+        touched = [n for n, share in enumerate(shares) if share > 0]
+        best = max(touched, key=lambda n: (shares[n], -n)) if rule == "most" else touched[0]
+        counts[best] += 1
+        crossing[best] += len(touched) > 1
+    return list(zip(counts, crossing))
+
+
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_against_other_library(spark, rule):
+    encoder = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder.encode_special_tokens = True
+    texts = [t for _, t in ODD if t is None or len(t) < 10_000]
+    texts += ["One. Two! Three? four", "a.  b\n\n\nc", "...\n.", "\U0001f600. \U0001f600 é.\té", "x" * 300, "\n"]
+    rows = token_counts.section_tokens(documents(spark, texts), VOCABULARY, public_tokenizers.PATTERN, rule).collect()
+    for n, text in enumerate(texts):
+        own = sorted((r.section, r.n_tokens, r.n_crossing) for r in rows if r.doc_id == n)
+        assert [o[1:] for o in own] == plain_counts(encoder, text, rule), text
+    assert any(r.n_crossing for r in rows)
+
+
+def test_odd_rows(spark):
+    found = token_counts.section_tokens(odd_documents(spark), VOCABULARY, public_tokenizers.PATTERN)
+    sums = found.groupBy("doc_id").agg({"n_tokens": "sum", "doc_tokens": "max", "n_chars": "sum"}).collect()
+    by_id = {r.doc_id: r for r in sums}
+    assert len(by_id) == 9 and by_id[2]["sum(n_tokens)"] == 0
+    assert all(r["sum(n_tokens)"] == r["max(doc_tokens)"] * (2 if r.doc_id == 7 else 1) for r in sums)
+    assert by_id[5]["sum(n_chars)"] == len(dict(ODD)[5])
+    empty = token_counts.section_tokens(no_documents(spark), VOCABULARY, public_tokenizers.PATTERN)
+    assert empty.count() == 0
+    with pytest.raises(ValueError):
+        token_counts.section_tokens(odd_documents(spark), VOCABULARY, public_tokenizers.PATTERN, "last")
