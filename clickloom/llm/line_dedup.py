@@ -211,18 +211,25 @@ def load_shard(row) -> tuple[MinimalPerfectHash, np.ndarray, np.ndarray]:
 
 def _probe_shard(requests, index):
     """Frequent keys of every block, as the arrays of the shard tell."""
-    empty = pd.DataFrame({"block": [], "keys": [], "owners": []})
-    if not len(index) or not len(requests) or not len(index["fingerprints"].iloc[0]):
-        return empty
-    hashed, fingerprints, owners = load_shard(index.iloc[0])
     answers = []
+    if len(index) and len(index["fingerprints"].iloc[0]):
+        hashed, fingerprints, owners = load_shard(index.iloc[0])
+    else:
+        requests = requests.iloc[:0]
     for block, blob in zip(requests["block"], requests["keys"]):
         keys = _keys([blob])
         slots = hashed.slots(*keys)
         hit = (slots >= 0) & (fingerprints[slots] == _fingerprint(keys))
         if hit.any():
             answers.append((block, keys[:, hit].tobytes(), owners[slots[hit]].tobytes()))
-    return pd.DataFrame(answers, columns=["block", "keys", "owners"]) if answers else empty
+    blocks, keys, owners = zip(*answers) if answers else ((), (), ())
+    return pd.DataFrame(
+        {
+            "block": np.array(blocks, np.int64),
+            "keys": np.array(keys, object),
+            "owners": np.array(owners, object),
+        }
+    )
 
 
 def _kept_batches(batches, schema: pa.Schema, min_points: int):

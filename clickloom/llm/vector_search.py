@@ -84,8 +84,9 @@ def balanced_parts(near: np.ndarray, vectors: np.ndarray, parts: int, seed: int
         held = np.bincount(part, minlength=parts)
         moved = 0
         for row in np.argsort(-gain.max(axis=1), kind="stable"):
-            target = int(np.argmax(np.where(held < room, gain[row], -1)))
-            if gain[row, target] <= 0:
+            open_gain = np.where(held < room, gain[row], -np.inf)
+            target = int(np.argmax(open_gain))
+            if open_gain[target] <= 0:
                 continue
             held[part[row]] -= 1
             held[target] += 1
@@ -196,13 +197,15 @@ def best_rows(queries: np.ndarray, vectors: np.ndarray, ids: list, keep: int) ->
 
 
 def _search_block(queries: pd.DataFrame, rows: pd.DataFrame, keep: int) -> pd.DataFrame:
-    if not len(queries) or not len(rows):
-        return pd.DataFrame({"query": [], "found": []})
-    found = best_rows(_matrix(queries["vector"]), _matrix(rows["vector"]), rows["ids"].tolist(), keep)
+    found = []
+    if len(queries) and len(rows):
+        found = best_rows(_matrix(queries["vector"]), _matrix(rows["vector"]), rows["ids"].tolist(), keep)
+    flat = [pair for own in found for pair in own]
     return pd.DataFrame(
         {
-            "query": queries["rep"].to_numpy(),
-            "found": [[{"score": float(s), "vec_id": int(i)} for s, i in own] for own in found],
+            "query": np.repeat(queries["rep"].to_numpy(np.int64)[: len(found)], [len(own) for own in found]),
+            "score": np.array([score for score, _ in flat], np.float64),
+            "near": np.array([i for _, i in flat], np.int64),
         }
     )
 
@@ -298,17 +301,13 @@ def nearest(
         .cogroup(held.groupBy(*keys))
         .applyInPandas(
             functools.partial(_search_block, keep=keep),
-            "query bigint, found array<struct<score: double, vec_id: bigint>>",
+            "query bigint, score double, near bigint",
         )
     )
     # A query gets ``keep`` rows from each block that it visits.
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    top = (
-        found.select("query", F.inline("found"))
-        .withColumn("place", F.row_number().over(best))
-        .where(F.col("place") <= keep)
-    )
-    pairs = members.join(top.withColumnRenamed("vec_id", "near"), F.col("rep") == F.col("query")).where("near <> vec_id")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "near")
+    top = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= keep)
+    pairs = members.join(top, F.col("rep") == F.col("query")).where("near <> vec_id")
     last = Window.partitionBy("vec_id").orderBy(F.desc("score"), "near")
     return (
         pairs.withColumn("rank", F.row_number().over(last))
