@@ -10,15 +10,15 @@ the pieces are recovered backwards.
 
 No piece has a space mark behind another character, so merges never cross into a space
 mark, and each run of marks with the characters behind it is encoded on its own and
-remembered.
+remembered. So are runs of line breaks and tabs, which are in no piece.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from array import array
 from collections.abc import Sequence
-from itertools import chain
 from typing import NamedTuple
 
 import ahocorasick
@@ -103,9 +103,13 @@ class PieceCodec:
             self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
         self.by_words = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
-        self.words = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self.recent: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        # White space in no piece becomes bytes, which nothing merges with.
+        bare = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
+        self.words = re.compile(f"[{bare}]+|{MARK}+[^{MARK}{bare}]*|[^{MARK}{bare}]+" if bare else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        # Ids as bytes of 32-bit numbers, which are cheap to join.
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.ending = array("i", [vocabulary.end]).tobytes()
         self.pairs: dict[int, bool] = {}
         self.output = [
             b"" if t == CONTROL else bytes([int(BYTE_PIECE.fullmatch(p)[1], 16)]) if t == BYTE
@@ -173,7 +177,7 @@ class PieceCodec:
             last[end] = piece
         return last
 
-    def _encode_word(self, word: str) -> tuple[int, ...]:
+    def _encode_word(self, word: str) -> bytes:
         last, pieces = self._prefix_table(word), self.vocabulary.pieces
         ids: list[int] = []
         at = len(word)
@@ -185,9 +189,10 @@ class PieceCodec:
             else:
                 ids.append(piece)
                 at -= len(pieces[piece])
-        return tuple(reversed(ids))
+        ids.reverse()
+        return array("i", ids).tobytes()
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         found = self.older.get(word) or self._encode_word(word)
         if len(word) <= REMEMBERED_LENGTH:
             if len(self.recent) >= REMEMBERED:
@@ -195,16 +200,19 @@ class PieceCodec:
             self.recent[word] = found
         return found
 
-    def encode(self, text: str | None) -> list[int]:
+    def encode_array(self, text: str | None) -> np.ndarray:
         """Ids of a text (null: of an empty one), then the end id."""
-        if not text:
-            return [self.vocabulary.end]
-        marked = MARK + text.replace(" ", MARK)
-        words = self.words.findall(marked) if self.by_words else [marked]
-        make = self._word
-        ids = list(chain.from_iterable([self.recent.get(w) or make(w) for w in words]))
-        ids.append(self.vocabulary.end)
-        return ids
+        parts = []
+        if text:
+            marked = MARK + text.replace(" ", MARK)
+            words = self.words.findall(marked) if self.by_words else [marked]
+            make = self._word
+            parts = [self.recent.get(w) or make(w) for w in words]
+        parts.append(self.ending)
+        return np.frombuffer(b"".join(parts), np.int32)
+
+    def encode(self, text: str | None) -> list[int]:
+        return self.encode_array(text).tolist()
 
     def decode(self, ids: Sequence[int]) -> str:
         """Text of ids; bytes that are not UTF-8 become U+FFFD one by one."""
@@ -250,14 +258,13 @@ def _codec_batches(batches, carried: list[str], vocabulary):
     pieces = codec(vocabulary.value)
     for batch in batches:
         for part in sliced(batch, "text"):
-            ids = [pieces.encode(t) for t in part.column("text").to_pylist()]
-            sizes = [len(i) for i in ids]
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, sum(sizes))
+            ids = [pieces.encode_array(t) for t in part.column("text").to_pylist()]
+            sizes, flat = [len(i) for i in ids], np.concatenate(ids)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[part.column(c) for c in carried],
                     int_lists(flat, sizes, pa.int32()),
-                    pa.array([pieces.decode(i) for i in ids], pa.string()),
+                    pa.array([pieces.decode(i.tolist()) for i in ids], pa.string()),
                 ],
                 names=[*carried, "ids", "decoded"],
             )
