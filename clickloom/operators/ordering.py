@@ -1,9 +1,10 @@
 """Order within a key, also when one key holds a large part of all rows.
 
-A window over the key sorts each key in one task. That is the cheaper plan, and it is
-used while the largest key is small enough. Beyond that, the rows are range-partitioned
-on (key, order): a large key then spans many slices, and per-slice results are put
-together from one small row per key and slice. Both ways are exact.
+A key's rows are cut into cells that follow each other in order: slices of the first
+order column. Where a slice is crowded, each of its values is a cell, and where a value
+is crowded, ranges of the second order column are. Rows are ordered within their cell;
+a small table with one row per cell tells what comes before it, or after it, in its key.
+The plan is the same for any data; only the cells differ.
 """
 
 from __future__ import annotations
@@ -12,123 +13,105 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql import types as T
 
-from clickloom.sources.shared import stage
+# Rows above which a slice, or a single value in it, is cut further.
+CROWDED_ROWS = 1_000_000
 
-MAX_GROUP_ROWS = 10_000_000
-HASH_BUCKETS = 1 << 17
+# Width of slices and ranges of numbers. Times are cut into ten minutes.
+NUMBER_WIDTH = 1 << 16
+TIME_TEXT = "yyyy-MM-dd HH:m"
 
-SLICE = "_slice"
-TIE = "_tie"
+CELL = "_cell"
 RANK = "_rank"
 
 
-def group_sizes(df: DataFrame, key: Column) -> tuple[int, int]:
-    """Rows of the largest key and rows in all, from a count that combines map-side."""
-    row = df.groupBy(key.alias("key")).count().agg(F.max("count"), F.sum("count")).first()
-    return row[0] or 0, row[1] or 0
+def _slice(column: str, dtype: T.DataType) -> Column:
+    """A coarser value in the same order; null for types without one, which are not cut."""
+    value = F.col(column)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.substring(value.cast("string"), 1, len(TIME_TEXT))
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(value).cast("decimal(38,0)") - F.pmod(F.unix_micros(value), F.lit(600_000_000))
+    if isinstance(dtype, T.IntegralType):
+        return F.floor(value / F.lit(NUMBER_WIDTH))
+    return F.lit(None).cast("string")
 
 
-def slices_needed(df: DataFrame, key: str, max_group_rows: int) -> int:
-    """0 when a window over the key will do, else the number of slices to cut.
+def with_cells(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], crowded_rows: int = CROWDED_ROWS
+) -> DataFrame:
+    """Rows with their cell, a struct whose fields are in order: key, slice, value, range.
 
-    No key is larger than its hash bucket, and buckets are far cheaper to count; keys
-    are counted only when some bucket is too large.
-    """
-    bucket = F.pmod(F.xxhash64(key), F.lit(HASH_BUCKETS))
-    if group_sizes(df, bucket)[0] <= max_group_rows:
-        return 0
-    largest, total = group_sizes(df, F.col(key))
-    if largest <= max_group_rows:
-        return 0
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(partitions, -(-total // max_group_rows))
-
-
-def cut_slices(df: DataFrame, key: str, order: Sequence[str], slices: int) -> DataFrame:
-    """Rows with a slice number that ascends in (key, order) and a number that parts ties.
-
-    The tie number lets equal rows fall into several slices. It is given after a local
-    sort, so that a task that runs again gives equal rows the same numbers. Range bounds
-    come from a sample; writing the rows to the shared folder fixes the slice numbers
-    before anything else reads them.
+    The crowded slices and values are found in the same query. There is at most one for
+    every ``crowded_rows`` rows, which bounds what is broadcast.
     """
-    rest = [
-        f.name
-        for f in df.schema
-        if f.name not in (key, *order) and not isinstance(f.dataType, MapType)
-    ]
-    numbered = df.sortWithinPartitions(key, *order, *rest).withColumn(
-        TIE, F.monotonically_increasing_id()
-    )
-    cut = numbered.repartitionByRange(slices, key, *order, TIE)
-    return stage(cut.withColumn(SLICE, F.spark_partition_id()), "slices")
+    first = order[0]
+    owner = F.struct(*[F.col(k) for k in key])
+    cut = df.withColumns({"_key": owner, "_slice": _slice(first, df.schema[first].dataType)})
+
+    def crowded(place: Column, mark: str) -> DataFrame:
+        counts = cut.groupBy(place.alias(mark)).agg(F.count("*").alias("_n"))
+        return F.broadcast(counts.where(F.col("_n") > crowded_rows).select(mark))
+
+    slices = F.struct("_key", "_slice")
+    values = F.struct("_key", "_slice", F.col(first).alias("_value"))
+    cut = cut.join(crowded(slices, "_crowded"), slices == F.col("_crowded"), "left")
+    value = F.when(F.col("_crowded").isNotNull(), F.struct(F.col(first)))
+    cell = [F.col("_key").alias("key"), F.col("_slice").alias("slice"), value.alias("value")]
+    marks = ["_crowded"]
+    if len(order) > 1:
+        full = crowded(values, "_full")
+        cut = cut.join(full, values == F.col("_full"), "left")
+        part = _slice(order[1], df.schema[order[1]].dataType)
+        cell.append(F.when(F.col("_full").isNotNull(), F.struct(part)).alias("range"))
+        marks.append("_full")
+    return cut.withColumn(CELL, F.struct(*cell)).drop("_key", "_slice", *marks)
 
 
 def number_rows(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     order: Sequence[str],
     name: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    crowded_rows: int = CROWDED_ROWS,
 ) -> DataFrame:
-    """Add each row's 1-based position within its key."""
-    slices = slices_needed(df, key, max_group_rows)
-    if not slices:
-        window = Window.partitionBy(key).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-
-    cut = cut_slices(df, key, order, slices)
-    earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(key, SLICE)
-        .count()
-        .select(
-            F.col(key).alias("_key"),
-            F.col(SLICE).alias("_at"),
-            F.sum("count").over(earlier).alias("_before"),
-        )
-        .where("_before > 0")
-    )
-    window = Window.partitionBy(key, SLICE).orderBy(*order, TIE)
+    """Add each row's 1-based position within its key; nulls are a key and come first."""
+    keys = [key] if isinstance(key, str) else list(key)
+    cut = with_cells(df, keys, order, crowded_rows)
+    window = Window.partitionBy(CELL).orderBy(*order)
     ranked = cut.withColumn(RANK, F.row_number().over(window))
-    # At most one key continues into a slice from an earlier one, so the offsets have no
-    # more rows than there are slices: always small enough to broadcast.
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(SLICE) == F.col("_at"))
+    earlier = Window.partitionBy("_at.key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cut.groupBy(F.col(CELL).alias("_at")).agg(F.count("*").alias("_n"))
+    before = cells.select("_at", F.sum("_n").over(earlier).alias("_before")).where("_before > 0")
     position = F.col(RANK) + F.coalesce("_before", F.lit(0))
-    return ranked.join(F.broadcast(offsets), same, "left").select(
+    return ranked.join(before, F.col(CELL) == F.col("_at"), "left").select(
         *df.columns, position.cast("bigint").alias(name)
     )
 
 
 def with_next(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     order: Sequence[str],
     value: str,
     name: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    crowded_rows: int = CROWDED_ROWS,
 ) -> DataFrame:
     """(value, next value within the key) for every row; the last of a key has null."""
-    slices = slices_needed(df, key, max_group_rows)
-    if not slices:
-        window = Window.partitionBy(key).orderBy(*order)
-        return df.select(value, F.lead(value).over(window).alias(name))
-
-    cut = cut_slices(df, key, order, slices)
-    window = Window.partitionBy(key, SLICE).orderBy(*order, TIE)
-    followed = F.lead(F.lit(True), 1, False).over(window)
-    inside = (
-        cut.select(value, F.lead(value).over(window).alias(name), followed.alias("_followed"))
-        .where("_followed")
-        .drop("_followed")
+    keys = [key] if isinstance(key, str) else list(key)
+    cut = with_cells(df, keys, order, crowded_rows)
+    window = Window.partitionBy(CELL).orderBy(*order)
+    ahead = cut.select(
+        F.col(CELL),
+        F.col(value).alias(value),
+        F.lead(F.struct(value)).over(window).alias("_ahead"),
+        (F.row_number().over(window) == 1).alias("_first"),
     )
-    # One row per key and slice: its first and last value, combined before the shuffle.
-    position = F.struct(*order, TIE)
-    ends = cut.groupBy(key, SLICE).agg(
-        F.min_by(value, position).alias("_head"), F.max_by(value, position).alias("_tail")
+    # The last row of a cell goes on with the first row of the key's next cell.
+    onward = Window.partitionBy("_at.key").orderBy("_at")
+    heads = ahead.where("_first").select(F.col(CELL).alias("_at"), F.struct(value).alias("_head"))
+    after = heads.select("_at", F.lead("_head").over(onward).alias("_after")).where("_after is not null")
+    return ahead.join(after, F.col(CELL) == F.col("_at"), "left").select(
+        value, F.coalesce("_ahead", "_after")[value].alias(name)
     )
-    onward = Window.partitionBy(key).orderBy(SLICE)
-    across = ends.select(F.col("_tail").alias(value), F.lead("_head").over(onward).alias(name))
-    return inside.unionByName(across)

@@ -7,28 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.ordering import MAX_GROUP_ROWS, with_next
+from clickloom.operators.ordering import CROWDED_ROWS, with_next
 from clickloom.operators.sessions import action_order
 
 
-def page_moves(actions: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def page_moves(actions: DataFrame, crowded_rows: int = CROWDED_ROWS) -> DataFrame:
     """(page, next page of the same session) for every action."""
     order = action_order(actions)
     needed = actions.select("session_id", "page_id", *[c for c in order if c != "page_id"])
-    return with_next(
-        needed, "session_id", order, "page_id", "next_page", max_group_rows=max_group_rows
-    )
+    return with_next(needed, "session_id", order, "page_id", "next_page", crowded_rows)
 
 
 def page_conversion(
-    actions: DataFrame, flow: Sequence[int], max_group_rows: int = MAX_GROUP_ROWS
+    actions: DataFrame, flow: Sequence[int], crowded_rows: int = CROWDED_ROWS
 ) -> DataFrame:
     """Per adjacent pair of the flow: views of the first page, moves to the second, rate."""
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
     pairs = list(zip(flow, flow[1:]))
     page, onward = F.col("page_id"), F.col("next_page")
-    totals = page_moves(actions, max_group_rows).agg(
+    totals = page_moves(actions, crowded_rows).agg(
         *[F.count_if(page == a).alias(f"views{i}") for i, (a, _) in enumerate(pairs)],
         *[
             F.count_if((page == a) & (onward == b)).alias(f"hops{i}")

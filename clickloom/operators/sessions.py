@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.text import join_values
 from clickloom.functions.times import elapsed_seconds
-from clickloom.operators.ordering import MAX_GROUP_ROWS, number_rows
+from clickloom.operators.ordering import CROWDED_ROWS, number_rows
 from clickloom.session_filter import SessionFilter, parse_list
 
 # List columns of a session and the action column each is made of.
@@ -58,11 +58,9 @@ def action_order(actions: DataFrame) -> list[str]:
     return ["action_time", *rest]
 
 
-def session_actions(actions: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def session_actions(actions: DataFrame, crowded_rows: int = CROWDED_ROWS) -> DataFrame:
     """Every action with its step number within the session."""
-    return number_rows(
-        actions, "session_id", action_order(actions), "step", max_group_rows=max_group_rows
-    )
+    return number_rows(actions, "session_id", action_order(actions), "step", crowded_rows)
 
 
 def session_summary(

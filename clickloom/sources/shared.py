@@ -1,30 +1,31 @@
-"""The folder that all executors can read and write."""
+"""The folder that all executors can read and write, and files kept in it for one application."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
+    """Folder named by ``spark.checkpoint.dir``; without it, one in the warehouse.
 
-    Only a local session may do without that setting; it gets a temporary folder.
+    Both are places that the driver and all executors share.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="clickloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    return folder.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path below the shared folder, for one run's files."""
-    return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A new path for this application's files, removed when its driver ends."""
+    path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop)
+    files.deleteOnExit(hadoop)
+    return path
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
@@ -34,5 +35,5 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     executors are lost. Columnar files let each reader take only the columns it needs.
     """
     path = fresh_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

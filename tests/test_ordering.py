@@ -10,7 +10,7 @@ from clickloom.operators.pageflow import page_conversion, page_moves
 from clickloom.operators.sessions import action_order, session_actions
 from helpers import actions, at, rows
 
-WINDOW, SPLIT = 10**9, 100
+WHOLE, SPLIT = 10**9, 20
 
 
 @pytest.fixture(scope="module")
@@ -44,33 +44,44 @@ def brute_force(df):
     return sorted(steps, key=repr), sorted(moves, key=repr)
 
 
-@pytest.mark.parametrize("limit", [WINDOW, SPLIT])
+@pytest.mark.parametrize("limit", [WHOLE, SPLIT])
 def test_steps_and_moves(spark, skewed, limit):
     steps, moves = brute_force(skewed)
-    got = session_actions(skewed, max_group_rows=limit)
+    got = session_actions(skewed, crowded_rows=limit)
     assert rows(got.select("session_id", "action_id", "step")) == steps
-    assert rows(page_moves(skewed, max_group_rows=limit)) == moves
-
-
-def test_the_large_session_is_cut(spark, skewed):
-    assert ordering.slices_needed(skewed, "session_id", WINDOW) == 0
-    slices = ordering.slices_needed(skewed, "session_id", SPLIT)
-    assert slices == 10
-    cut = ordering.cut_slices(skewed, "session_id", ["action_time", "action_id"], slices)
-    largest = cut.groupBy("session_id", ordering.SLICE).count().agg(F.max("count")).first()[0]
-    assert largest < 300
-    # Slices ascend in (session, order): no session goes back to an earlier slice.
-    ends = cut.groupBy("session_id", ordering.SLICE).agg(
-        F.min(F.struct("action_time", "action_id")).alias("low"),
-        F.max(F.struct("action_time", "action_id")).alias("high"),
-    )
+    assert rows(page_moves(skewed, crowded_rows=limit)) == moves
+
+
+def test_the_large_session_is_cut(spark, skewed, monkeypatch):
+    monkeypatch.setattr(ordering, "NUMBER_WIDTH", 64)
+    order = ["action_time", "action_id"]
+    for limit, least in ((WHOLE, 0.15), (SPLIT, 0.0)):
+        cut = ordering.with_cells(skewed, ["session_id"], order, limit)
+        sizes = cut.groupBy(ordering.CELL).count().agg(F.max("count"), F.sum("count")).first()
+        assert sizes[1] == 1000 and sizes[0] >= 1000 * least
+    assert sizes[0] <= 64
+    # Cells ascend in (session, order): no session goes back to an earlier cell.
     seen = {}
-    for row in ends.orderBy("session_id", ordering.SLICE).collect():
-        assert seen.get(row["session_id"], (-1, -1)) < tuple(row["low"])
-        seen[row["session_id"]] = tuple(row["high"])
+    ends = cut.groupBy(ordering.CELL).agg(
+        F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high")
+    )
+    for row in ends.orderBy(ordering.CELL).collect():
+        session = row[ordering.CELL]["key"]["session_id"]
+        assert seen.get(session, (-1, -1)) < tuple(row["low"])
+        seen[session] = tuple(row["high"])
+
 
+def test_cells_of_times(spark):
+    df = actions(spark, *[{"action_time": at(3, n, n % 60), "page_id": n} for n in range(59)])
+    for kind in ("timestamp_ntz", "timestamp"):
+        typed = df.withColumn("action_time", F.col("action_time").cast(kind))
+        cut = ordering.with_cells(typed, ["session_id"], ["action_time"])
+        assert [r["count"] for r in cut.groupBy(ordering.CELL).count().collect()] == [10] * 5 + [9]
+        steps = session_actions(typed).select("page_id", "step").collect()
+        assert sorted(map(tuple, steps)) == [(n, n + 1) for n in range(59)]
 
-def test_copies_are_spread_over_slices(spark):
+
+def test_copies(spark):
     """Two thirds of the rows are the same row."""
     n = F.col("id")
     df = spark.range(900).select(
@@ -79,20 +90,28 @@ def test_copies_are_spread_over_slices(spark):
         F.when(n % 3 < 2, 0).otherwise(n).alias("action_id"),
         F.when(n % 3 < 2, 1).otherwise(n % 4).cast("bigint").alias("page_id"),
     )
-    cut = ordering.cut_slices(df, "session_id", ["action_time", "action_id"], 9)
-    sizes = [row["count"] for row in cut.groupBy(ordering.SLICE).count().collect()]
-    assert len(sizes) == 9 and max(sizes) < 300
-    for limit in (WINDOW, SPLIT):
+    for limit in (WHOLE, SPLIT):
         steps, moves = brute_force(df)
-        got = session_actions(df, max_group_rows=limit)
+        got = session_actions(df, crowded_rows=limit)
         assert rows(got.select("session_id", "action_id", "step")) == steps
-        assert rows(page_moves(df, max_group_rows=limit)) == moves
+        assert rows(page_moves(df, crowded_rows=limit)) == moves
+
+
+def test_no_job_before_the_action(spark, skewed):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "")
+    try:
+        session_actions(skewed)
+        page_conversion(skewed, [1, 2])
+        assert not tracker.getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-@pytest.mark.parametrize("limit", [WINDOW, SPLIT])
+@pytest.mark.parametrize("limit", [WHOLE, SPLIT])
 def test_conversion(spark, skewed, limit):
     _, moves = brute_force(skewed)
-    got = rows(page_conversion(skewed, [1, 2, 1, 9], max_group_rows=limit))
+    got = rows(page_conversion(skewed, [1, 2, 1, 9], crowded_rows=limit))
     expected = []
     for i, (a, b) in enumerate([(1, 2), (2, 1), (1, 9)]):
         views = sum(page == a for page, _ in moves)
