@@ -168,6 +168,20 @@ pairs AS (
     coalesce(a.n, 0) AS n1, coalesce(b.n, 0) AS n2
   FROM one a FULL JOIN two b ON a.o_orderkey = b.o_orderkey)"""
 
+# Every row of either side once: rows of a repeated key pair up in order.
+ORDERS_FIELDS = f"""{ORDERS_SIDES},
+one AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderstatus NULLS FIRST,
+  o_totalprice NULLS FIRST, o_orderdate NULLS FIRST) AS rn FROM s1),
+two AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderstatus NULLS FIRST,
+  o_totalprice NULLS FIRST, o_orderdate NULLS FIRST) AS rn FROM s2),
+fields AS (
+  SELECT a.o_orderkey AS o_orderkey_source1, b.o_orderkey AS o_orderkey_source2,
+    a.o_orderstatus AS o_orderstatus_source1, b.o_orderstatus AS o_orderstatus_source2,
+    a.o_totalprice AS o_totalprice_source1, b.o_totalprice AS o_totalprice_source2,
+    CAST(a.o_orderdate AS VARCHAR) AS o_orderdate_source1,
+    CAST(b.o_orderdate AS VARCHAR) AS o_orderdate_source2
+  FROM one a FULL JOIN two b ON a.o_orderkey = b.o_orderkey AND a.rn = b.rn)"""
+
 MISMATCHES = """mismatches AS (
   SELECT 'o_orderkey' AS column_name, 0 AS mismatch
   UNION ALL SELECT 'o_orderstatus', count(*) FROM pairs
@@ -312,11 +326,7 @@ SELECT 'source1' AS missing_from, o_orderkey
   FROM (SELECT o_orderkey FROM s2 EXCEPT SELECT o_orderkey FROM s1)
 UNION ALL SELECT 'source2', o_orderkey
   FROM (SELECT o_orderkey FROM s1 EXCEPT SELECT o_orderkey FROM s2)""",
-        "recon_field_to_field": f"""{recon}SELECT k1 AS o_orderkey_source1,
-  k2 AS o_orderkey_source2, status1 AS o_orderstatus_source1,
-  status2 AS o_orderstatus_source2, price1 AS o_totalprice_source1,
-  price2 AS o_totalprice_source2, CAST(date1 AS VARCHAR) AS o_orderdate_source1,
-  CAST(date2 AS VARCHAR) AS o_orderdate_source2 FROM pairs""",
+        "recon_field_to_field": f"{_with(ORDERS_FIELDS)}SELECT * FROM fields",
         "recon_mismatch": f"{_with(ORDERS_PAIRS, MISMATCHES)}SELECT * FROM mismatches",
         "recon_audit": f"""{_with(ORDERS_PAIRS, MISMATCHES)}SELECT m.*, c.* FROM mismatches m,
   (SELECT count(*) FILTER (WHERE n1 = 0) AS missing_from_src1,

@@ -21,6 +21,19 @@ def comparable(left: T.DataType, right: T.DataType) -> bool:
     return left.simpleString() == right.simpleString()
 
 
+def has_inner_map(dtype: T.DataType) -> bool:
+    """Whether a map lies inside another type, where its entries cannot be sorted."""
+    if isinstance(dtype, T.StructType):
+        inner = [f.dataType for f in dtype]
+    elif isinstance(dtype, T.ArrayType):
+        inner = [dtype.elementType]
+    elif isinstance(dtype, T.MapType):
+        inner = [dtype.keyType, dtype.valueType]
+    else:
+        return False
+    return any(isinstance(i, T.MapType) or has_inner_map(i) for i in inner)
+
+
 def orderable(column: Column, dtype: T.DataType) -> Column:
     """Maps cannot be compared; use their sorted entries instead."""
     return F.array_sort(F.map_entries(column)) if isinstance(dtype, T.MapType) else column

@@ -1,9 +1,10 @@
 """Reconciliation of two sources by key.
 
-Both sources are tagged, put together and aggregated by key, which pairs the rows of
-a key from either side, keeps unmatched keys and lets null keys meet. It needs one
-shuffle, and repeated keys are folded before it: a key with very many rows costs no
-more than any other.
+Rows are counted by key first, on the key columns alone. Rows of keys that neither side
+repeats are joined by key. Rows of repeated keys are numbered within their side and key,
+by the order of whole rows, and joined by key and number, so that every row of either
+side is in the result exactly once and a key with very many rows is spread by number.
+Keys are compared as structs, in which nulls are equal.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.compare import comparable, differs, is_timestamp, orderable
+from clickloom.functions.compare import comparable, differs, has_inner_map, is_timestamp, orderable
+from clickloom.operators.ordering import number_rows
 from clickloom.sources.shared import stage
 
 SIDES = ("source1", "source2")
@@ -52,35 +54,63 @@ def _check_sources(source1: DataFrame, source2: DataFrame) -> None:
                 f"cannot compare {one.name} ({one.dataType.simpleString()}) "
                 f"with {two.name} ({two.dataType.simpleString()})"
             )
+        if has_inner_map(one.dataType):
+            raise TypeError(f"cannot compare {one.name}: it has a map inside {one.dataType.typeName()}")
 
 
-def _tagged(df: DataFrame, side: int, keys: Sequence[int]) -> DataFrame:
-    """Key columns, the whole row on its own side, null on the other, and row counts."""
+def _rows(df: DataFrame, keys: Sequence[int], name: str) -> DataFrame:
+    """(key, whole row), both as structs."""
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    row = F.struct(
-        *[orderable(F.col(f.name), f.dataType).alias(f.name) for f in plain.schema]
-    )
-    rows = [F.lit(None), F.lit(None)]
-    rows[side] = row
-    return plain.select(
-        *[F.col(f"c{i}").alias(f"k{n}") for n, i in enumerate(keys)],
-        rows[0].alias("row1"),
-        rows[1].alias("row2"),
-        F.lit(1 - side).cast("bigint").alias("n1"),
-        F.lit(side).cast("bigint").alias("n2"),
+    row = F.struct(*[orderable(F.col(f.name), f.dataType).alias(f.name) for f in plain.schema])
+    key = F.struct(*[F.col(f"c{i}").alias(f"k{n}") for n, i in enumerate(keys)])
+    return plain.select(key.alias("key"), row.alias(name))
+
+
+def _key_counts(one: DataFrame, two: DataFrame) -> DataFrame:
+    """(key, n1, n2): rows of each key on either side."""
+    sides = [
+        df.select("key", F.lit(first).cast("bigint").alias("n1"), F.lit(1 - first).cast("bigint").alias("n2"))
+        for df, first in ((one, 1), (two, 0))
+    ]
+    return sides[0].unionAll(sides[1]).groupBy("key").agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
+
+
+def _paired(one: DataFrame, two: DataFrame, counts: DataFrame) -> DataFrame:
+    """(key, number, row1, row2, n1, n2): every row of either side once."""
+    repeated = counts.where("n1 > 1 or n2 > 1")
+    keys = repeated.select("key")
+    lone = (
+        one.join(keys, "key", "left_anti")
+        .join(two.join(keys, "key", "left_anti"), "key", "full_outer")
+        .select(
+            "key",
+            F.lit(1).cast("bigint").alias("number"),
+            "row1",
+            "row2",
+            F.col("row1").isNotNull().cast("bigint").alias("n1"),
+            F.col("row2").isNotNull().cast("bigint").alias("n2"),
+        )
     )
+    numbered = [
+        number_rows(df.join(keys, "key", "left_semi"), "key", [row], "number")
+        for df, row in ((one, "row1"), (two, "row2"))
+    ]
+    many = numbered[0].join(numbered[1], ["key", "number"], "full_outer").join(repeated, "key")
+    return lone.unionByName(many)
 
 
 @dataclass(frozen=True)
 class Reconciliation:
     """Lazy results of comparing two sources; each property is a DataFrame.
 
-    ``pairs`` has one row per key: the key, the row of either side and how many rows
-    each side has for that key. Where a side repeats a key, its smallest row stands for
-    it, and the key counts as duplicate, not as mismatch.
+    ``pairs`` has every row of either side once: the key, the row's number within the
+    rows of its side and key, the row of either side, and how many rows each side has for
+    the key. ``counts`` has the keys and their row counts alone. A key that a side repeats
+    counts as duplicate, not as mismatch.
     """
 
     pairs: DataFrame
+    counts: DataFrame
     key: tuple[str, ...]
     columns: tuple[str, ...]
     types1: tuple
@@ -95,17 +125,19 @@ class Reconciliation:
         """One row on each side and no null in the key."""
         both = (F.col("n1") == 1) & (F.col("n2") == 1)
         for n in range(len(self.key)):
-            both = both & F.col(f"k{n}").isNotNull()
+            both = both & F.col(f"key.k{n}").isNotNull()
         return both
 
     @property
     def _side_counts(self) -> list[Column]:
-        return [
-            F.count_if(F.col("n1") == 0).alias("missing_from_src1"),
-            F.count_if(F.col("n2") == 0).alias("missing_from_src2"),
-            F.count_if(F.col("n1") > 1).alias("duplicate_keys_src1"),
-            F.count_if(F.col("n2") > 1).alias("duplicate_keys_src2"),
-        ]
+        tests = {
+            "missing_from_src1": F.col("n1") == 0,
+            "missing_from_src2": F.col("n2") == 0,
+            "duplicate_keys_src1": F.col("n1") > 1,
+            "duplicate_keys_src2": F.col("n2") > 1,
+        }
+        once = F.col("number") == 1  # every key has a first row, on one side at least
+        return [F.count_if(once & test).alias(name) for name, test in tests.items()]
 
     @property
     def _mismatch_counts(self) -> list[Column]:
@@ -126,23 +158,26 @@ class Reconciliation:
     def missing_keys(self) -> DataFrame:
         """Keys that one side lacks, with the name of that side."""
         lacking = F.when(F.col("n1") == 0, SIDES[0]).when(F.col("n2") == 0, SIDES[1])
-        return self.pairs.where("n1 = 0 or n2 = 0").select(
+        return self.counts.where("n1 = 0 or n2 = 0").select(
             lacking.alias("missing_from"),
-            *[F.col(f"k{n}").alias(name) for n, name in enumerate(self.key)],
+            *[F.col(f"key.k{n}").alias(name) for n, name in enumerate(self.key)],
         )
 
     @property
     def duplicate_keys(self) -> DataFrame:
         """Keys that a side has more than once, with the number of rows on each side."""
-        return self.pairs.where("n1 > 1 or n2 > 1").select(
-            *[F.col(f"k{n}").alias(name) for n, name in enumerate(self.key)],
+        return self.counts.where("n1 > 1 or n2 > 1").select(
+            *[F.col(f"key.k{n}").alias(name) for n, name in enumerate(self.key)],
             F.col("n1").alias("rows_source1"),
             F.col("n2").alias("rows_source2"),
         )
 
     @property
     def field_to_field(self) -> DataFrame:
-        """One row per key, both sides of each column next to each other, times as text."""
+        """Every row of either side once, both sides of each column next to each other.
+
+        Rows of a repeated key pair up in the order of whole rows. Times become text.
+        """
         fields = []
         for i, name in enumerate(self.columns):
             for row, side in zip(("row1", "row2"), SIDES):
@@ -181,16 +216,12 @@ def reconcile(
     names = [key] if isinstance(key, str) else list(key)
     _check_sources(source1, source2)
     positions = _key_positions(source1, source2, names)
-    tagged = _tagged(source1, 0, positions).unionAll(_tagged(source2, 1, positions))
-    pairs = tagged.groupBy(*[f"k{n}" for n in range(len(names))]).agg(
-        F.min("row1").alias("row1"),
-        F.min("row2").alias("row2"),
-        F.sum("n1").alias("n1"),
-        F.sum("n2").alias("n2"),
-    )
+    one, two = _rows(source1, positions, "row1"), _rows(source2, positions, "row2")
+    counts = _key_counts(one, two)
     columns = source1.columns
     return Reconciliation(
-        pairs=pairs,
+        pairs=_paired(one, two, counts),
+        counts=counts,
         key=tuple(columns[i] for i in positions),
         columns=tuple(columns),
         types1=tuple(f.dataType for f in source1.schema),

@@ -77,7 +77,7 @@ def test_duplicate_keys(spark):
     result = reconcile(one, two, "a")
     assert rows(result.audit) == [("a", 0, 0, 0, 1, 0), ("b", 1, 0, 0, 1, 0)]
     assert rows(result.duplicate_keys) == [(1, 2, 1)]
-    assert rows(result.field_to_field) == [(1, 1, 4, 4), (2, 2, 2, 3)]
+    assert rows(result.field_to_field) == [(1, 1, 4, 4), (1, None, 5, None), (2, 2, 2, 3)]
     assert rows(duplicate_keys(one, "a")) == [(1, 2)]
 
 
@@ -117,13 +117,21 @@ def test_sources_that_do_not_fit(spark):
         reconcile(base, base.select("b", "a"), "a")
 
 
-def test_one_shuffle_with_combining(spark):
+def test_maps_inside_are_refused(spark):
+    one = spark.sql("select 1 as a, struct(map('p', 1)) as s")
+    with pytest.raises(TypeError, match="map inside"):
+        reconcile(one, one, "a")
+
+
+def test_plans(spark):
     one, two = pair(spark, [(1, 2)], [(1, 3)], "a bigint, b bigint")
-    text = plan(reconcile(one, two, "a").field_to_field)
-    assert text.count("Exchange") == 1 and "partial_min" in text
-    assert "Join" not in text
-    # Missing keys read nothing but the key.
-    assert "partial_min" not in plan(reconcile(one, two, "a").missing_keys)
+    result = reconcile(one, two, "a")
+    for df in (result.field_to_field, result.mismatch, result.audit, result.missing_keys):
+        assert "SortAggregate" not in plan(df)
+        assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
+    # Missing keys need one shuffle of the keys alone.
+    text = plan(result.missing_keys)
+    assert text.count("Exchange") == 1 and "Join" not in text
 
 
 def test_configured_datasets_and_report(spark, tmp_path):
@@ -179,5 +187,11 @@ def test_against_brute_force(spark, one, two):
         sum(len(side(two, k)) > 1 for k in keys),
     )
     assert rows(got.audit)[1][1:] == expected
+    # Every row of either side is in the field table exactly once.
+    fields = [tuple(r) for r in got.field_to_field.collect()]
+    for place, data in ((0, one), (1, two)):
+        halves = sorted((f[place::2] for f in fields), key=repr)
+        empty = len(fields) - len(data)
+        assert halves == sorted([*data, *[(None, None)] * empty], key=repr)
     assert rows(back.audit)[1][2:4] == (expected[2], expected[1])
     assert rows(reconcile(*pair(spark, one, one, schema), "a").audit)[1][1:4] == (0, 0, 0)
