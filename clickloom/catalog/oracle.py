@@ -355,8 +355,6 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY city_id
 SELECT city_id, rank, product_id, product_name,
   CAST(regexp_extract(extend_info, ':([0-9]+)', 1) AS INTEGER) AS product_status, clicks
 FROM ranked LEFT JOIN products USING (product_id) WHERE rank <= 3""",
-        "ad_click_traffic": f"""{CLICKS_BY_DAY} GROUP BY 1
-HAVING max(date_trunc('day', ts)) + INTERVAL 1 DAY <=
-  (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_type = 'click')""",
+        "ad_click_traffic": f"{CLICKS_BY_DAY} GROUP BY 1",
         "ad_clicks_by_day": f"{CLICKS_BY_DAY} GROUP BY 1",
     }

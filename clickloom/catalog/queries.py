@@ -270,10 +270,9 @@ def _period_text(df: DataFrame) -> DataFrame:
 
 
 def ad_click_traffic(spark: SparkSession, folder: str) -> DataFrame:
-    """As a stream: the days that are closed when the source has been read."""
+    """As a stream that reads the source to its end."""
     events = warehouse.stream_table(spark, folder, "events")
-    counts = traffic.clicks_per_period(warehouse.actions(events))
-    return _period_text(traffic.run_traffic(spark, counts))
+    return _period_text(traffic.run_traffic(warehouse.actions(events)))
 
 
 def ad_clicks_by_day(spark: SparkSession, folder: str) -> DataFrame:

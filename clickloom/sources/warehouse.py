@@ -10,14 +10,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The same table as a file stream.
+def stream_table(
+    spark: SparkSession, folder: str, name: str, files_per_trigger: int = 1_000
+) -> DataFrame:
+    """The same table as a file stream; a backlog is read in batches of so many files.
 
     The bracketed last letter makes the path a pattern, so that a table kept as one
     file and a table kept as a folder are both accepted.
     """
     schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(f"{folder}/{name}.parque[t]")
 
 
 def _session_key(grain: str) -> Column:

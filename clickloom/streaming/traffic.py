@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,45 +14,107 @@ from clickloom.sources.shared import fresh_folder
 WATERMARK = "1 hour"
 PERIOD = "1 day"
 
+# State of open periods lies on local disk, backed up in the checkpoint, and not on the heap.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
 
-def clicks_per_period(
-    actions: DataFrame, period: str = PERIOD, watermark: str = WATERMARK
-) -> DataFrame:
-    """Number of clicks per tumbling period, repeated deliveries of an action counted once.
 
-    The first aggregate drops repeats. Unlike a streaming ``dropDuplicates`` it combines
-    copies before the shuffle, so an action delivered very often loads no single task.
-    On a stream, a period is reported when the watermark has passed its end.
+def wall_clock(time: Column) -> Column:
+    """Instant whose UTC reading is the wall clock of the session's time zone.
+
+    Windows start at UTC midnight; on this clock they start at local midnight.
     """
-    clicks = actions.where(has_click()).select(
-        "action_id", F.col("action_time").cast("timestamp").alias("clicked_at")
-    )
-    once = (
-        clicks.withWatermark("clicked_at", watermark)
-        .groupBy(F.window("clicked_at", period), "action_id")
-        .agg(F.count("*").alias("copies"))
-    )
-    counts = once.groupBy(F.window(F.window_time("window"), period).alias("period")).agg(
-        F.count("*").alias("clicks")
+    return F.from_utc_timestamp(time.cast("timestamp"), F.current_timezone())
+
+
+def _clicks(actions: DataFrame) -> DataFrame:
+    return actions.where(has_click()).select(
+        "action_id", wall_clock(F.col("action_time")).alias("clicked_at")
     )
+
+
+def _periods(counts: DataFrame) -> DataFrame:
+    """Period bounds back in the session's time zone."""
+    zone = F.current_timezone()
     return counts.select(
-        F.col("period.start").alias("period_start"), F.col("period.end").alias("period_end"), "clicks"
+        F.to_utc_timestamp("period.start", zone).alias("period_start"),
+        F.to_utc_timestamp("period.end", zone).alias("period_end"),
+        "clicks",
     )
 
 
-def start_traffic(traffic: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Append closed periods to parquet files; ``trigger`` defaults to ``availableNow``."""
-    writer = traffic.writeStream.outputMode("append").format("parquet").option("path", path)
-    return (
-        writer.option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
+def clicks_per_period(actions: DataFrame, period: str = PERIOD) -> DataFrame:
+    """Number of clicks per tumbling period, repeated deliveries of an action counted once.
+
+    The first aggregate drops repeats and combines copies before the shuffle, so an action
+    delivered very often loads no single task. Days follow the session's time zone.
+    """
+    once = _clicks(actions).groupBy(F.window("clicked_at", period).alias("period"), "action_id").agg(
+        F.count("*").alias("copies")
+    )
+    return _periods(once.groupBy("period").agg(F.count("*").alias("clicks")))
+
+
+def start_traffic(
+    actions: DataFrame,
+    folder: str,
+    period: str = PERIOD,
+    watermark: str = WATERMARK,
+    settings: Mapping[str, str] = STREAM_SETTINGS,
+    **trigger,
+) -> StreamingQuery:
+    """Add up clicks of an action stream in ``folder``; ``trigger`` defaults to ``availableNow``.
+
+    The stream keeps the actions of open periods as state. An action is new in the batch
+    that first brings it; a batch writes the numbers of its new actions by period, into a
+    folder of its own, which a repeated batch replaces. ``read_traffic`` adds the batches
+    up, so every period is reported, open ones too. Actions that come later than the
+    watermark are dropped. Settings hold for the started query only.
+    """
+    now = F.current_timestamp()  # one instant in all rows of a batch, the same if it is repeated
+    seen = (
+        _clicks(actions)
+        .withColumn("now", now)
+        .withWatermark("clicked_at", watermark)
+        .groupBy(F.window("clicked_at", period).alias("period"), "action_id")
+        .agg(F.min("now").alias("first_seen"))
+        .where(F.col("first_seen") == now)
     )
 
+    def add_up(batch: DataFrame, number: int) -> None:
+        counts = _periods(batch.groupBy("period").agg(F.count("*").alias("clicks")))
+        counts.write.mode("overwrite").parquet(f"{folder}/counts/batch={number}")
+
+    session = actions.sparkSession
+    before = {name: session.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            session.conf.set(name, value)
+        return (
+            seen.writeStream.outputMode("update")
+            .foreachBatch(add_up)
+            .option("checkpointLocation", f"{folder}/state")
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
+    finally:
+        for name, value in before.items():
+            session.conf.unset(name) if value is None else session.conf.set(name, value)
+
+
+def read_traffic(spark: SparkSession, folder: str) -> DataFrame:
+    """Clicks per period so far."""
+    schema = "period_start timestamp, period_end timestamp, clicks bigint, batch bigint"
+    batches = spark.read.schema(schema).parquet(f"{folder}/counts")
+    return batches.groupBy("period_start", "period_end").agg(F.sum("clicks").alias("clicks"))
+
 
-def run_traffic(spark: SparkSession, traffic: DataFrame) -> DataFrame:
-    """Process what the source holds now and read back the closed periods."""
+def run_traffic(actions: DataFrame, period: str = PERIOD, watermark: str = WATERMARK) -> DataFrame:
+    """Process what the source holds now; all periods of it."""
+    spark = actions.sparkSession
     folder = fresh_folder(spark, "traffic")
-    query = start_traffic(traffic, f"{folder}/periods", f"{folder}/state")
-    query.awaitTermination()
-    return spark.read.schema(traffic.schema).parquet(f"{folder}/periods")
+    start_traffic(actions, folder, period, watermark).awaitTermination()
+    return read_traffic(spark, folder)

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import datetime
+import pathlib
+
+from pyspark.sql import functions as F
 
 from clickloom.sources.shared import fresh_folder
-from clickloom.streaming.traffic import clicks_per_period, run_traffic, start_traffic
+from clickloom.streaming.traffic import clicks_per_period, read_traffic, run_traffic, start_traffic
 from helpers import rows
 
 SCHEMA = "action_id bigint, action_time timestamp_ntz, click_category_id bigint"
@@ -33,12 +36,29 @@ def test_copies_count_once_and_other_actions_not_at_all(spark):
     assert day_counts(clicks_per_period(df)) == [(1, 2), (2, 1)]
 
 
-def test_stream_reports_closed_periods(spark, tmp_path):
+def test_stream_reports_every_period(spark, tmp_path):
     source = str(tmp_path / "in")
-    batch_of(spark, (1, when(1, 3), 5), (1, when(1, 3), 5), (2, when(2, 2), 5)).write.parquet(source)
+    data = [(1, when(1, 3), 5), (1, when(1, 3), 5), (2, when(2, 2), 5), (3, when(3), -1)]
+    batch_of(spark, *data).write.parquet(source)
     stream = spark.readStream.schema(SCHEMA).parquet(source)
-    # The last click is past the end of day 1 by more than the watermark delay.
-    assert day_counts(run_traffic(spark, clicks_per_period(stream))) == [(1, 1)]
+    assert day_counts(run_traffic(stream)) == [(1, 1), (2, 1)]
+    assert rows(run_traffic(stream)) == rows(clicks_per_period(batch_of(spark, *data)))
+
+
+def test_days_follow_the_session_zone(spark, tmp_path):
+    source = str(tmp_path / "in")
+    batch_of(spark, (1, when(1, 1), 5), (2, when(1, 23), 5), (3, when(2), 5)).write.parquet(source)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    text = F.date_format("period_start", "yyyy-MM-dd HH:mm").alias("day")
+    try:
+        for zone in ("Asia/Shanghai", "America/New_York", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            stream = spark.readStream.schema(SCHEMA).parquet(source)
+            for counts in (clicks_per_period(spark.read.parquet(source)), run_traffic(stream)):
+                found = rows(counts.select(text, "clicks"))
+                assert found == [("2024-01-01 00:00", 2), ("2024-01-02 00:00", 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_stream_goes_on_from_its_state(spark, tmp_path):
@@ -48,12 +68,23 @@ def test_stream_goes_on_from_its_state(spark, tmp_path):
 
     def run(*data):
         batch_of(spark, *data).write.mode("append").parquet(source)
-        query = start_traffic(clicks_per_period(stream), f"{folder}/out", f"{folder}/state")
+        query = start_traffic(stream, folder)
         query.awaitTermination()
-        return day_counts(spark.read.parquet(f"{folder}/out"))
+        return day_counts(read_traffic(spark, folder))
 
-    assert run((1, when(1, 3), 5), (2, when(1, 4), 5)) == []
+    assert run((1, when(1, 3), 5), (2, when(1, 4), 5)) == [(1, 2)]
     # A repeat of action 1 and a late but not too late new click, then day 2 goes on.
-    assert run((1, when(1, 3), 5), (3, when(1, 4), 5), (4, when(2, 12), 5)) == [(1, 3)]
-    # Too late for day 1; day 2 closes.
-    assert run((5, when(1, 5), 5), (6, when(3, 2), 5)) == [(1, 3), (2, 1)]
+    assert run((1, when(1, 3), 5), (3, when(1, 4), 5), (4, when(2, 12), 5)) == [(1, 3), (2, 1)]
+    # Too late for day 1, which closed when the watermark passed its end.
+    assert run((5, when(1, 5), 5), (6, when(3, 2), 5)) == [(1, 3), (2, 1), (3, 1)]
+
+
+def test_state_is_kept_by_rocksdb(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), fresh_folder(spark, "test")
+    batch_of(spark, (1, when(1, 3), 5)).write.parquet(source)
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    query = start_traffic(spark.readStream.schema(SCHEMA).parquet(source), folder)
+    query.awaitTermination()
+    assert spark.conf.get(name, None) == before
+    assert list((pathlib.Path(folder.removeprefix("file:")) / "state").rglob("*.zip"))
