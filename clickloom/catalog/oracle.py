@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from clickloom.catalog.queries import DAY, FULL_FILTER, ORDERS_DATASET, SEED, TASK_ID, TOP_USERS_SQL
+from clickloom.catalog.queries import (
+    DAY,
+    FULL_FILTER,
+    LARGE_SAMPLE,
+    ORDERS_DATASET,
+    SEED,
+    TASK_ID,
+    TOP_USERS_SQL,
+)
 from clickloom.functions.buckets import STEP, VISIT, Buckets
 from clickloom.session_filter import SessionFilter, parse_list
 from clickloom.sources import generator as gen
+from clickloom.sources.tables import ACTION_TABLE, PRODUCT_TABLE, USER_TABLE
 
 DAY_KEY = "user_id || '_' || CAST(CAST(ts AS DATE) AS VARCHAR)"
 MIXED_KEY = f"""CASE user_id % 3 WHEN 0 THEN {DAY_KEY}
@@ -49,7 +58,7 @@ PRODUCTS = """products AS (
   FROM part)"""
 
 SUMMARY = """summary AS (
-  SELECT session_id, arg_min(user_id, action_time) AS user_id,
+  SELECT session_id, arg_min(user_id, row(action_time, action_id)) AS user_id,
     CAST(floor(epoch(max(action_time))) - floor(epoch(min(action_time))) AS BIGINT)
       AS visit_length,
     count(*) AS step_length, min(action_time) AS start_time, max(action_time) AS end_time
@@ -62,14 +71,15 @@ JOINED = """joined AS (
 FILTERED = "filtered AS (SELECT * FROM joined WHERE age BETWEEN 30 AND 50)"
 
 TERMS = """keyword_lists AS (
-  SELECT session_id, string_agg(term, ',' ORDER BY seen, term) AS search_keywords
-  FROM (SELECT session_id, search_keyword AS term, min(action_time) AS seen FROM actions
+  SELECT session_id, string_agg(term, ',' ORDER BY used) AS search_keywords
+  FROM (SELECT session_id, search_keyword AS term,
+          min(row(action_time, action_id)) AS used FROM actions
         WHERE search_keyword IS NOT NULL AND search_keyword <> '' GROUP BY ALL)
   GROUP BY session_id),
 category_lists AS (
-  SELECT session_id, string_agg(term, ',' ORDER BY seen, term) AS click_categories
+  SELECT session_id, string_agg(term, ',' ORDER BY used) AS click_categories
   FROM (SELECT session_id, CAST(click_category_id AS VARCHAR) AS term,
-          min(action_time) AS seen
+          min(row(action_time, action_id)) AS used
         FROM actions WHERE click_category_id <> -1 GROUP BY session_id, click_category_id)
   GROUP BY session_id)"""
 
@@ -131,6 +141,23 @@ WHERE age BETWEEN {p.start_age} AND {p.end_age}
                      WHERE click_category_id IN ({p.category_ids}))"""
 
 
+def _counters() -> str:
+    return f"""{_filtered()}
+SELECT 'sum_visit' AS counter, count(*) AS sessions FROM filtered
+UNION ALL SELECT 'sum_step', count(*) FROM filtered
+UNION ALL SELECT {_bucket(VISIT, 'visit_length')}, count(*) FROM filtered GROUP BY 1
+UNION ALL SELECT {_bucket(STEP, 'step_length')}, count(*) FROM filtered GROUP BY 1"""
+
+
+def _sample(size: int) -> str:
+    return f"""{_with(_actions(), USERS, SUMMARY, JOINED, FILTERED, TERMS)}
+SELECT '{TASK_ID}' AS task_id, session_id, {_time('start_time')} AS start_time,
+  coalesce(search_keywords, '') AS search_keywords,
+  coalesce(click_categories, '') AS click_categories
+FROM (SELECT * FROM filtered ORDER BY md5('{SEED}:' || session_id), session_id LIMIT {size})
+  LEFT JOIN keyword_lists USING (session_id) LEFT JOIN category_lists USING (session_id)"""
+
+
 def _page_conversion() -> str:
     flow = SessionFilter().page_flow
     steps = ", ".join(f"({i + 1}, {a}, {b})" for i, (a, b) in enumerate(zip(flow, flow[1:])))
@@ -192,6 +219,13 @@ MISMATCHES = """mismatches AS (
     WHERE n1 = 1 AND n2 = 1 AND date1 IS DISTINCT FROM date2)"""
 
 
+AUDIT = """SELECT m.*, c.* FROM mismatches m,
+  (SELECT count(*) FILTER (WHERE n1 = 0) AS missing_from_src1,
+     count(*) FILTER (WHERE n2 = 0) AS missing_from_src2,
+     count(*) FILTER (WHERE n1 > 1) AS duplicate_keys_src1,
+     count(*) FILTER (WHERE n2 > 1) AS duplicate_keys_src2 FROM pairs) c"""
+
+
 def _draw(digest: str, index: int, low: int, high: int | str) -> str:
     number = f"CAST('0x' || substr({digest}, {1 + 8 * index}, 8) AS BIGINT)"
     return f"({low} + {number} % (({high}) - {low} + 1))"
@@ -297,11 +331,7 @@ FROM filtered LEFT JOIN keyword_lists USING (session_id)
   LEFT JOIN category_lists USING (session_id)""",
         "session_totals": f"""{_filtered()}
 SELECT count(*) AS sum_visit, count(*) AS sum_step FROM filtered""",
-        "session_counters": f"""{_filtered()}
-SELECT 'sum_visit' AS counter, count(*) AS sessions FROM filtered
-UNION ALL SELECT 'sum_step', count(*) FROM filtered
-UNION ALL SELECT {_bucket(VISIT, 'visit_length')}, count(*) FROM filtered GROUP BY 1
-UNION ALL SELECT {_bucket(STEP, 'step_length')}, count(*) FROM filtered GROUP BY 1""",
+        "session_counters": _counters(),
         "visit_histogram": f"""{_filtered()}SELECT {_bucket(VISIT, 'visit_length')} AS bucket,
   count(*) AS sessions FROM filtered GROUP BY 1""",
         "step_histogram": f"""{_filtered(MIXED_KEY)}SELECT {_bucket(STEP, 'step_length')} AS bucket,
@@ -314,12 +344,8 @@ UNION ALL SELECT {_bucket(STEP, 'step_length')}, count(*) FROM filtered GROUP BY
 SELECT '{TASK_ID}' AS task_id, category_id, {CATEGORY_SUMS} FROM category_events
 WHERE session_id IN (SELECT session_id FROM filtered) GROUP BY category_id
 ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10""",
-        "session_sample": f"""{_with(_actions(), USERS, SUMMARY, JOINED, FILTERED, TERMS)}
-SELECT '{TASK_ID}' AS task_id, session_id, {_time('start_time')} AS start_time,
-  coalesce(search_keywords, '') AS search_keywords,
-  coalesce(click_categories, '') AS click_categories
-FROM (SELECT * FROM filtered ORDER BY md5('{SEED}:' || session_id), session_id LIMIT 100)
-  LEFT JOIN keyword_lists USING (session_id) LEFT JOIN category_lists USING (session_id)""",
+        "session_sample": _sample(100),
+        "session_sample_large": _sample(LARGE_SAMPLE),
         "page_conversion": _page_conversion(),
         "recon_missing_keys": f"""{_with(ORDERS_SIDES)}
 SELECT 'source1' AS missing_from, o_orderkey
@@ -328,11 +354,7 @@ UNION ALL SELECT 'source2', o_orderkey
   FROM (SELECT o_orderkey FROM s1 EXCEPT SELECT o_orderkey FROM s2)""",
         "recon_field_to_field": f"{_with(ORDERS_FIELDS)}SELECT * FROM fields",
         "recon_mismatch": f"{_with(ORDERS_PAIRS, MISMATCHES)}SELECT * FROM mismatches",
-        "recon_audit": f"""{_with(ORDERS_PAIRS, MISMATCHES)}SELECT m.*, c.* FROM mismatches m,
-  (SELECT count(*) FILTER (WHERE n1 = 0) AS missing_from_src1,
-     count(*) FILTER (WHERE n2 = 0) AS missing_from_src2,
-     count(*) FILTER (WHERE n1 > 1) AS duplicate_keys_src1,
-     count(*) FILTER (WHERE n2 > 1) AS duplicate_keys_src2 FROM pairs) c""",
+        "recon_audit": f"{_with(ORDERS_PAIRS, MISMATCHES)}{AUDIT}",
         "recon_duplicates": """SELECT l_orderkey, l_linenumber, count(*) AS copies
 FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
         "recon_duplicate_pairs": f"""{recon}SELECT coalesce(k1, k2) AS o_orderkey,
@@ -357,4 +379,26 @@ SELECT city_id, rank, product_id, product_name,
 FROM ranked LEFT JOIN products USING (product_id) WHERE rank <= 3""",
         "ad_click_traffic": f"{CLICKS_BY_DAY} GROUP BY 1",
         "ad_clicks_by_day": f"{CLICKS_BY_DAY} GROUP BY 1",
+        "time_texts": f"""{_with(_actions(), SUMMARY)}SELECT session_id,
+  date_trunc('second', start_time) < date_trunc('second', end_time) AS takes_time,
+  strftime(end_time, '%Y/%m/%d') AS end_day, strftime(end_time, '%H:%M:%S') AS end_clock
+FROM summary""",
+        "packed_summary": f"""{_with(_actions(), SUMMARY)}SELECT 'session_id=' || session_id
+    || '|visit_length=' || visit_length || '|step_length=' || step_length AS packed,
+  session_id, CAST(visit_length AS VARCHAR) AS visit_length,
+  CAST(step_length AS VARCHAR) AS step_length, CAST(NULL AS VARCHAR) AS age FROM summary""",
+        "counters_decoded": _counters(),
+        "sink_replace": f"{_with(USERS)}SELECT * FROM users",
+        "sink_append": f"""{_ratio(VISIT, "visit_length", DAY_KEY)}
+UNION ALL SELECT * REPLACE ('task-2' AS task_id)
+  FROM ({_ratio(VISIT, "visit_length", DAY_KEY)})""",
+        "sink_report": f"""{_with(ORDERS_PAIRS, MISMATCHES)}
+SELECT *, 'orders' AS dataset FROM ({AUDIT})
+UNION ALL SELECT column_name, mismatch, missing_from_src2, missing_from_src1,
+  duplicate_keys_src2, duplicate_keys_src1, 'swapped' FROM ({AUDIT})""",
+        "load_generated": f"""SELECT '{ACTION_TABLE}' AS "table", count(*) AS n
+  FROM ({_gen_actions()})
+UNION ALL SELECT '{USER_TABLE}', count(*) FROM customer
+UNION ALL SELECT '{PRODUCT_TABLE}', count(*) FROM part""",
+        "gen_today": f"SELECT count(*) AS actions, CAST(0 AS BIGINT) AS of_other_days FROM ({_gen_actions()})",
     }

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.functions import text, times
 from clickloom.functions.buckets import STEP, VISIT
 from clickloom.functions.times import format_action_time
 from clickloom.operators import (
@@ -19,16 +20,24 @@ from clickloom.operators import (
     sessions,
     sets,
 )
-from clickloom.plans.reconciliation import reconcile_dataset
+from clickloom.plans.mock_load import load_tables
+from clickloom.plans.reconciliation import reconcile_dataset, reconcile_datasets
 from clickloom.plans.session_analysis import session_full_info
 from clickloom.session_filter import SessionFilter
+from clickloom.sinks import append_result, read_audit, replace_table, write_report
 from clickloom.sources import generator, warehouse
-from clickloom.sources.tables import fetch
+from clickloom.sources.shared import fresh_folder
+from clickloom.sources.tables import ACTION_TABLE, PRODUCT_TABLE, USER_TABLE, fetch
 from clickloom.streaming import traffic
 
 TASK_ID = "task-1"
 SEED = 7
 DAY = "2024-01-01"
+LARGE_SAMPLE = 1500
+
+# Events that the actions of a kind are made of.
+SEARCHES, CLICKS = ("view",), ("click",)
+CATEGORY_EVENTS = ("click", "signup", "purchase")
 
 FULL_FILTER = SessionFilter(
     professionals="BUILDING, MACHINERY, HOUSEHOLD",
@@ -61,8 +70,12 @@ ORDERS_DATASET = {
 }
 
 
-def _actions(spark: SparkSession, folder: str, grain: str = "day") -> DataFrame:
-    return warehouse.actions(warehouse.table(spark, folder, "events"), grain)
+def _actions(spark: SparkSession, folder: str, grain: str = "day", kinds: Sequence[str] = ()) -> DataFrame:
+    """Actions of the events; ``kinds`` keeps other events out of the scan."""
+    events = warehouse.table(spark, folder, "events")
+    if kinds:
+        events = events.where(F.col("event_type").isin(*kinds))
+    return warehouse.actions(events, grain)
 
 
 def _users(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,16 +130,16 @@ def session_user_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def session_terms(spark: SparkSession, folder: str) -> DataFrame:
-    terms = sessions.session_terms(_actions(spark, folder))
+    terms = sessions.session_terms(_actions(spark, folder, kinds=SEARCHES + CLICKS))
     return terms.withColumn("first_seen", format_action_time(F.col("first_seen")))
 
 
 def session_keywords(spark: SparkSession, folder: str) -> DataFrame:
-    return sessions.session_term_lists(_actions(spark, folder), "search_keywords")
+    return sessions.session_term_lists(_actions(spark, folder, kinds=SEARCHES), "search_keywords")
 
 
 def session_categories(spark: SparkSession, folder: str) -> DataFrame:
-    return sessions.session_term_lists(_actions(spark, folder), "click_categories")
+    return sessions.session_term_lists(_actions(spark, folder, kinds=CLICKS), "click_categories")
 
 
 def session_user_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -172,19 +185,26 @@ def step_length_ratio(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def category_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return categories.category_counts(_actions(spark, folder))
+    return categories.category_counts(_actions(spark, folder, kinds=CATEGORY_EVENTS))
 
 
 def top10_categories(spark: SparkSession, folder: str) -> DataFrame:
-    actions = _actions(spark, folder)
-    chosen = sessions.filtered_sessions(actions, _users(spark, folder))
-    return categories.top_categories(actions, chosen, TASK_ID)
+    chosen = _filtered(spark, folder)
+    return categories.top_categories(_actions(spark, folder, kinds=CATEGORY_EVENTS), chosen, TASK_ID)
 
 
 def session_sample(spark: SparkSession, folder: str) -> DataFrame:
-    actions = _actions(spark, folder)
-    chosen = sessions.filtered_sessions(actions, _users(spark, folder))
-    return sampling.sample_sessions(chosen, actions, TASK_ID, size=100, seed=SEED)
+    return _sample(spark, folder, 100)
+
+
+def session_sample_large(spark: SparkSession, folder: str) -> DataFrame:
+    """Most of the passing sessions."""
+    return _sample(spark, folder, LARGE_SAMPLE)
+
+
+def _sample(spark: SparkSession, folder: str, size: int) -> DataFrame:
+    chosen = _filtered(spark, folder)
+    return sampling.sample_sessions(chosen, _actions(spark, folder), TASK_ID, size=size, seed=SEED)
 
 
 def page_conversion(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,7 +212,8 @@ def page_conversion(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_products_by_city(spark: SparkSession, folder: str) -> DataFrame:
-    return products.top_products_by_city(_actions(spark, folder), scan_products(spark, folder))
+    clicks = _actions(spark, folder, kinds=CLICKS)
+    return products.top_products_by_city(clicks, scan_products(spark, folder))
 
 
 def _orders_sides(spark: SparkSession, folder: str) -> list[DataFrame]:
@@ -250,7 +271,8 @@ def gen_actions(spark: SparkSession, folder: str) -> DataFrame:
     """Sessions for as many users as the events have."""
     active = warehouse.table(spark, folder, "events").select(F.col("user_id").alias("slot"))
     slots = active.distinct()
-    return generator.generate_actions(slots, n_users=slots.count(), seed=SEED, date=DAY)
+    n_users = slots.agg(F.count("*")).scalar()
+    return generator.generate_actions(slots, n_users=n_users, seed=SEED, date=DAY)
 
 
 def gen_users(spark: SparkSession, folder: str) -> DataFrame:
@@ -277,7 +299,101 @@ def ad_click_traffic(spark: SparkSession, folder: str) -> DataFrame:
 
 def ad_clicks_by_day(spark: SparkSession, folder: str) -> DataFrame:
     """The same transformation on a batch: all days."""
-    return _period_text(traffic.clicks_per_period(_actions(spark, folder)))
+    return _period_text(traffic.clicks_per_period(_actions(spark, folder, kinds=CLICKS)))
+
+
+def time_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored times of sessions as text, compared and taken apart."""
+    stored = _stored_text(sessions.session_summary(_actions(spark, folder)))
+    parts = times.time_parts(F.col("end_time"))
+    return stored.select(
+        "session_id",
+        times.time_earlier(F.col("start_time"), F.col("end_time")).alias("takes_time"),
+        F.concat_ws("/", *[parts[n] for n in range(3)]).alias("end_day"),
+        F.concat_ws(":", text.pad_two(parts[3]), parts[4], parts[5]).alias("end_clock"),
+    )
+
+
+def packed_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields of sessions read back from the old packed text."""
+    summary = sessions.session_summary(_actions(spark, folder))
+    fields = ("session_id", "visit_length", "step_length")
+    pairs = [F.concat(F.lit(f"{name}="), F.col(name).cast("string")) for name in fields]
+    packed = summary.select(F.concat_ws("|", *pairs).alias("packed"))
+    return packed.select(
+        "packed",
+        *[text.packed_field(F.col("packed"), name).alias(name) for name in fields],
+        text.packed_field(F.col("packed"), "age").alias("age"),
+    )
+
+
+def counters_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters that went through their JSON text."""
+    stored = distribution.counters_json(distribution.session_counters(_filtered(spark, folder)))
+    return stored.select(F.explode(text.decode_counts(F.col("counters"))).alias("counter", "sessions"))
+
+
+def _own_table(spark: SparkSession, purpose: str) -> tuple[str, str]:
+    """A table name that nothing else uses, and its folder."""
+    path = fresh_folder(spark, purpose)
+    return path.rsplit("/", 1)[1].replace("-", "_"), f"{path}/table"
+
+
+def sink_replace(spark: SparkSession, folder: str) -> DataFrame:
+    """Users stored twice; the second time replaces the first."""
+    name, path = _own_table(spark, "replace")
+    users = _users(spark, folder)
+    replace_table(users.where("age < 30"), name, path=path)
+    replace_table(users, name, "sex", path)
+    return spark.table(name).select(*users.columns)
+
+
+def sink_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Ratios of two tasks in one table, one of them run twice."""
+    name, path = _own_table(spark, "append")
+    passing = _filtered(spark, folder)
+    for task in (TASK_ID, "task-2", TASK_ID):
+        append_result(distribution.visit_length_ratio(passing, task), name, path)
+    return spark.table(name)
+
+
+def sink_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Audits of two datasets from the stored report."""
+    swapped = {
+        "source1_sql": ORDERS_DATASET["source2_sql"],
+        "source2_sql": ORDERS_DATASET["source1_sql"],
+        "identifier": ORDERS_DATASET["identifier"],
+    }
+    orders = warehouse.table(spark, folder, "orders")
+    datasets = {"orders": ORDERS_DATASET, "swapped": swapped}
+    path = fresh_folder(spark, "report")
+    write_report(reconcile_datasets(spark, {"datasets": datasets}, orders=orders), path)
+    return read_audit(spark, path)
+
+
+def load_generated(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the three generated tables after they have been stored."""
+    generated = {
+        ACTION_TABLE: gen_actions(spark, folder),
+        USER_TABLE: gen_users(spark, folder),
+        PRODUCT_TABLE: gen_products(spark, folder),
+    }
+    path = fresh_folder(spark, "load")
+    prefix = path.rsplit("/", 1)[1].replace("-", "_") + "_"
+    load_tables(generated, path, prefix)
+    counts = [
+        spark.table(prefix + name).agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
+        for name in generated
+    ]
+    return counts[0].unionAll(counts[1]).unionAll(counts[2])
+
+
+def gen_today(spark: SparkSession, folder: str) -> DataFrame:
+    """Actions generated for the current day: all of them, and those of another day."""
+    slots = warehouse.table(spark, folder, "events").select(F.col("user_id").alias("slot")).distinct()
+    actions = generator.generate_actions(slots, seed=SEED)
+    today = F.col("date") == F.current_date().cast("string")
+    return actions.agg(F.count("*").alias("actions"), F.count_if(~today).alias("of_other_days"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -306,6 +422,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         category_counts,
         top10_categories,
         session_sample,
+        session_sample_large,
         page_conversion,
         recon_missing_keys,
         recon_field_to_field,
@@ -322,5 +439,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         top_products_by_city,
         ad_click_traffic,
         ad_clicks_by_day,
+        time_texts,
+        packed_summary,
+        counters_decoded,
+        sink_replace,
+        sink_append,
+        sink_report,
+        load_generated,
+        gen_today,
     ]
     return {**{query.__name__: query for query in plain}, **named}

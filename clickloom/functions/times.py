@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,6 +42,22 @@ def wall_seconds(time: Column) -> Column:
     )
 
 
+def wall_micros(time: Column) -> Column:
+    """Microseconds of the wall clock since 1970, whatever the session time zone."""
+    fraction = F.date_part(F.lit("SECOND"), time) - F.second(time)
+    return wall_seconds(time) * 1_000_000 + (fraction * 1_000_000).cast("bigint")
+
+
+def use_order(time: Column, number: Column | None = None) -> Column:
+    """One number in the order of time, then of a 64-bit number: a fixed-width key, which
+    hash aggregates can keep where a struct would need a sort."""
+    key = wall_micros(time).cast("decimal(18,0)") * F.lit(Decimal(10**20)).cast("decimal(21,0)")
+    if number is None:
+        return key.cast("decimal(38,0)")
+    shifted = number.cast("decimal(19,0)") + F.lit(Decimal(2**63)).cast("decimal(19,0)")
+    return (key.cast("decimal(38,0)") + shifted).cast("decimal(38,0)")
+
+
 def elapsed_seconds(start: Column, end: Column, wrap_day: bool = False) -> Column:
     """Seconds from ``start`` to ``end``; ``wrap_day`` drops whole days."""
     seconds = wall_seconds(end) - wall_seconds(start)

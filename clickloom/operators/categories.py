@@ -14,7 +14,10 @@ _COUNTS = {"click": "click_count", "order": "order_count", "pay": "pay_count"}
 
 
 def category_counts(actions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Counts per category (and per ``by`` columns), from one scan of the actions."""
+    """Counts per category (and per ``by`` columns), from one scan of the actions.
+
+    Empty parts of an id list and parts that are no number are passed over.
+    """
     ids = F.stack(
         F.lit(3),
         F.lit("click"),
@@ -27,7 +30,8 @@ def category_counts(actions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     relevant = actions.where(has_click() | has_order() | has_pay())
     named = relevant.select(*by, ids).where("ids is not null and ids <> ''")
     single = named.select(*by, "kind", F.explode(split_ids(F.col("ids"))).alias("id"))
-    return single.groupBy(*by, F.col("id").cast("bigint").alias("category_id")).agg(
+    known = single.withColumn("category_id", F.col("id").try_cast("bigint")).where("category_id is not null")
+    return known.groupBy(*by, "category_id").agg(
         *[F.count_if(F.col("kind") == kind).alias(name) for kind, name in _COUNTS.items()]
     )
 

@@ -21,8 +21,9 @@ def top_products_by_city(actions: DataFrame, products: DataFrame, limit: int = 3
     )
     ranking = Window.partitionBy("city_id").orderBy(F.desc("clicks"), "product_id")
     top = clicks.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= limit)
-    # Copies of a product row tell nothing new and would pile up in one task of the join.
-    details = products.select(
+    # Only products that are named; copies of a row tell nothing new and would pile up.
+    named = products.join(top.select("product_id").distinct(), "product_id", "left_semi")
+    details = named.select(
         "product_id", "product_name", product_status(F.col("extend_info")).alias("product_status")
     ).distinct()
     return top.join(details, "product_id", "left").select(

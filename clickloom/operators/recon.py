@@ -117,8 +117,8 @@ class Reconciliation:
     nan_differs: bool = False
 
     def staged(self) -> Reconciliation:
-        """The same, with the pairs kept in the shared folder, for several outputs."""
-        return replace(self, pairs=stage(self.pairs, "recon"))
+        """The same, with pairs and counts kept in the shared folder, for several outputs."""
+        return replace(self, pairs=stage(self.pairs, "recon"), counts=stage(self.counts, "recon"))
 
     @property
     def _both(self) -> Column:

@@ -6,58 +6,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import format_action_time
-from clickloom.operators.sessions import session_term_lists, with_term_lists
-from clickloom.sources.shared import stage
+from clickloom.operators.sessions import session_term_lists
 
-# Sampled rows (id and time) that may be broadcast: a few megabytes.
-MAX_BROADCAST_ROWS = 100_000
+# Leading digits of a digest that group sessions: 16 ** 4 groups of nearly equal size.
+GROUP_DIGITS = 4
 
-# Sample size up to which one task may rank the first rows of all partitions.
-MAX_TOP_ROWS = 100_000
 
-
-def pick_sessions(
-    sessions: DataFrame, size: int, seed: int = 0, max_top_rows: int = MAX_TOP_ROWS
-) -> DataFrame:
+def pick_sessions(sessions: DataFrame, size: int, seed: int = 0) -> DataFrame:
     """Exactly ``size`` sessions (all, if there are fewer), the same on every run.
 
-    Sessions are ranked by a seeded digest. Spark gathers the first rows of every
-    partition in one task, which suits a small sample. For a large one, counts per
-    leading digits tell up to where all sessions belong to the sample, and only the
-    group at the cut is ranked.
+    Sessions are ranked by a seeded digest. Counts per leading digits tell which groups
+    are in the sample and how much of the group at the cut is; sessions are then ranked
+    within their group. The counts, at most 65,536 rows, are what is summed in one task
+    and broadcast.
     """
     rank = F.md5(F.concat(F.lit(f"{seed}:"), F.col("session_id")))
-    if size <= max_top_rows:
-        return sessions.orderBy(rank, "session_id").limit(size)
-
-    # At most 16 ** 4 groups, of nearly equal size.
-    staged = stage(sessions.withColumn("_rank", rank), "sample")
-    group = F.substring("_rank", 1, 4)
-    counts = staged.groupBy(group.alias("group")).count()
-    running = counts.withColumn("upto", F.sum("count").over(Window.orderBy("group")))
-    cut = running.where(F.col("upto") > size).orderBy("group").first()
-    if cut is None:
-        return staged.drop("_rank")
-    below = staged.where(group < cut["group"])
-    rest = size - (cut["upto"] - cut["count"])
-    at_cut = staged.where(group == cut["group"]).orderBy("_rank", "session_id").limit(rest)
-    return below.unionAll(at_cut).drop("_rank")
+    ranked = sessions.withColumn("_rank", rank).withColumn(
+        "_group", F.substring("_rank", 1, GROUP_DIGITS)
+    )
+    counts = ranked.groupBy("_group").agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy("_group"))
+    before = counts.select("_group", (upto - F.col("_n")).alias("_before")).where(F.col("_before") < size)
+    place = F.row_number().over(Window.partitionBy("_group").orderBy("_rank", "session_id"))
+    inside = ranked.join(F.broadcast(before), "_group").withColumn("_place", place)
+    return inside.where(F.col("_before") + F.col("_place") <= size).select(*sessions.columns)
 
 
 def sample_sessions(
     sessions: DataFrame, actions: DataFrame, task_id: str, size: int = 100, seed: int = 0
 ) -> DataFrame:
-    """Sampled sessions with start time and lists.
-
-    A sample small enough to broadcast limits the actions first, so lists are made for
-    the sample only.
-    """
+    """Sampled sessions with start time and lists, which are made for the sample only."""
     picked = pick_sessions(sessions, size, seed).select("session_id", "start_time")
-    if size <= MAX_BROADCAST_ROWS:
-        theirs = actions.join(F.broadcast(picked), "session_id")
-        lists = session_term_lists(theirs, by=["session_id", "start_time"], keep_empty=True)
-    else:
-        lists = with_term_lists(picked, actions)
+    theirs = actions.join(picked, "session_id")
+    lists = session_term_lists(theirs, by=["session_id", "start_time"], keep_empty=True)
     return lists.select(
         F.lit(task_id).alias("task_id"),
         "session_id",

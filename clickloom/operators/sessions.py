@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.text import join_values
-from clickloom.functions.times import elapsed_seconds
+from clickloom.functions.times import elapsed_seconds, use_order
 from clickloom.operators.ordering import CROWDED_ROWS, number_rows
 from clickloom.session_filter import SessionFilter, parse_list
 
@@ -69,12 +69,14 @@ def session_summary(
     """One row per session: user, visit length in seconds, step count, start and end.
 
     ``flags`` adds boolean columns that tell whether any action meets a condition; they
-    ride on the same aggregate. The user is that of the earliest action; two users in
-    one session are a data error that ``mixed_user_sessions`` finds.
+    ride on the same aggregate. The user is that of the earliest action, at one instant
+    that of the smallest action_id (without one, the smallest user); two users in one
+    session are a data error that ``mixed_user_sessions`` finds.
     """
     flags = flags or {}
+    tie = "action_id" if "action_id" in actions.columns else "user_id"
     summary = actions.groupBy("session_id").agg(
-        F.min_by("user_id", "action_time").alias("user_id"),
+        F.min_by("user_id", use_order(F.col("action_time"), F.col(tie))).alias("user_id"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count("*").alias("step_length"),
@@ -112,7 +114,15 @@ def session_terms(
     large session sends no more rows per task than it has different terms.
     ``keep_empty`` keeps a row with a null term for actions without one.
     """
+    return _terms(actions, *lists, by=by, keep_empty=keep_empty).drop("first_use")
+
+
+def _terms(
+    actions: DataFrame, *lists: str, by: Sequence[str] = ("session_id",), keep_empty: bool = False
+) -> DataFrame:
+    """Session terms with their place in the order of use, by time and action_id."""
     lists = lists or tuple(TERM_LISTS)
+    number = F.col("action_id") if "action_id" in actions.columns else None
     terms = {
         "search_keywords": F.when(F.col("search_keyword") != "", F.col("search_keyword")),
         "click_categories": F.when(has_click(), F.col("click_category_id").cast("string")),
@@ -123,13 +133,16 @@ def session_terms(
     stacked = actions.select(
         *by,
         "action_time",
+        use_order(F.col("action_time"), number).alias("use"),
         F.stack(
             F.lit(len(lists)), *[part for name in lists for part in (F.lit(name), terms[name])]
         ).alias("list", "term"),
     )
     if not keep_empty:
         stacked = stacked.where("term is not null")
-    return stacked.groupBy(*by, "list", "term").agg(F.min("action_time").alias("first_seen"))
+    return stacked.groupBy(*by, "list", "term").agg(
+        F.min("action_time").alias("first_seen"), F.min("use").alias("first_use")
+    )
 
 
 def session_term_lists(
@@ -137,19 +150,19 @@ def session_term_lists(
 ) -> DataFrame:
     """Comma-separated distinct terms per session, in order of first use.
 
-    Terms first used at the same instant are put in text order. Sessions without any
-    term are left out unless ``keep_empty``. ``by`` may add columns that are constant
-    within a session.
+    Terms first used at the same instant are put in the order of their actions, without
+    action ids in text order. Sessions without any term are left out unless
+    ``keep_empty``. ``by`` may add columns that are constant within a session.
     """
     lists = lists or tuple(TERM_LISTS)
     found = F.col("term").isNotNull()
     ordered = [
         F.array_sort(
-            F.collect_list(F.when(found & (F.col("list") == name), F.struct("first_seen", "term")))
+            F.collect_list(F.when(found & (F.col("list") == name), F.struct("first_use", "term")))
         ).alias(name)
         for name in lists
     ]
-    terms = session_terms(actions, *lists, by=by, keep_empty=keep_empty)
+    terms = _terms(actions, *lists, by=by, keep_empty=keep_empty)
     return (
         terms.groupBy(*by)
         .agg(*ordered)
@@ -160,10 +173,10 @@ def session_term_lists(
 def with_term_lists(sessions: DataFrame, actions: DataFrame) -> DataFrame:
     """Add both lists to session rows; a session without a term gets an empty list.
 
-    Summaries and lists are both partitioned by session, so the join moves no data
-    when ``sessions`` is still a plain summary.
+    Actions of other sessions are left out before lists are made.
     """
-    lists = session_term_lists(actions)
+    theirs = actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    lists = session_term_lists(theirs)
     joined = sessions.join(lists, "session_id", "left")
     return joined.withColumns({name: F.coalesce(F.col(name), F.lit("")) for name in TERM_LISTS})
 

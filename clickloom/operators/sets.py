@@ -15,21 +15,31 @@ def union_all(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.unionAll(right)
 
 
-def membership(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of both sides with ``in_left`` and ``in_right``."""
-    tagged = left.select("*", F.lit(True).alias("in_left"), F.lit(False).alias("in_right")).unionAll(
-        right.select("*", F.lit(False).alias("in_left"), F.lit(True).alias("in_right"))
-    )
-    return tagged.groupBy(*left.columns).agg(
+def _plain(df: DataFrame) -> list[str]:
+    return [f"c{i}" for i in range(len(df.columns))]
+
+
+def _membership(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of both sides, columns named by position, and the sides they are on."""
+    names = _plain(left)
+    sides = [
+        df.toDF(*_plain(df)).select("*", F.lit(is_left).alias("in_left"), F.lit(not is_left).alias("in_right"))
+        for df, is_left in ((left, True), (right, False))
+    ]
+    return sides[0].unionAll(sides[1]).groupBy(*names).agg(
         F.bool_or("in_left").alias("in_left"), F.bool_or("in_right").alias("in_right")
     )
 
 
+def _rows_where(left: DataFrame, right: DataFrame, test: str) -> DataFrame:
+    return _membership(left, right).where(test).select(*_plain(left)).toDF(*left.columns)
+
+
 def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct rows of the left side that the right side lacks."""
-    return membership(left, right).where("not in_right").select(*left.columns)
+    return _rows_where(left, right, "not in_right")
 
 
 def intersect_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct rows found on both sides."""
-    return membership(left, right).where("in_left and in_right").select(*left.columns)
+    return _rows_where(left, right, "in_left and in_right")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.sinks import replace_table
@@ -26,7 +28,16 @@ def mock_tables(
     }
 
 
+def load_tables(tables: Mapping[str, DataFrame], folder: str | None = None, prefix: str = "") -> None:
+    """Replace stored tables; actions are partitioned by date.
+
+    ``folder`` is where files go, if not into the warehouse; ``prefix`` starts all names.
+    """
+    for name, df in tables.items():
+        path = f"{folder}/{name}" if folder else None
+        replace_table(df, prefix + name, "date" if name == ACTION_TABLE else None, path)
+
+
 def load_mock_tables(spark: SparkSession, **options) -> None:
-    """Replace the three model tables by generated ones; actions are partitioned by date."""
-    for name, df in mock_tables(spark, **options).items():
-        replace_table(df, name, partition_by="date" if name == ACTION_TABLE else None)
+    """Replace the three model tables by generated ones."""
+    load_tables(mock_tables(spark, **options))

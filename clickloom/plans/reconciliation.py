@@ -26,7 +26,7 @@ def reconcile_dataset(
 
 
 def reconcile_datasets(
-    spark: SparkSession, config: Mapping[str, Mapping[str, Mapping[str, str]]]
+    spark: SparkSession, config: Mapping[str, Mapping[str, Mapping[str, str]]], **frames: DataFrame
 ) -> dict[str, Reconciliation]:
     """All datasets of a configuration ``{"datasets": {name: dataset}}``, by name."""
-    return {name: reconcile_dataset(spark, d) for name, d in config["datasets"].items()}
+    return {name: reconcile_dataset(spark, d, **frames) for name, d in config["datasets"].items()}

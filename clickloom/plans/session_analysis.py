@@ -6,14 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import format_action_time
-from clickloom.operators.sessions import (
-    action_flags,
-    filtered_sessions,
-    join_users,
-    session_summary,
-    user_condition,
-    with_term_lists,
-)
+from clickloom.operators.sessions import filtered_sessions, with_term_lists
 from clickloom.session_filter import SessionFilter
 
 FULL_INFO = (
@@ -40,15 +33,10 @@ def session_full_info(
 ) -> DataFrame:
     """Filtered sessions with lists and user attributes; start time in the stored format.
 
-    The lists join the summaries while both are partitioned by session; users come last.
+    Lists are made for the sessions that pass only.
     """
-    params = params or SessionFilter()
-    flags = action_flags(params)
-    summary = session_summary(actions, wrap_day=wrap_day, flags=flags)
-    for name in flags:
-        summary = summary.where(F.col(name))
-    sessions = with_term_lists(summary.drop(*flags), actions)
-    full = join_users(sessions, users.where(user_condition(params)))
+    passing = filtered_sessions(actions, users, params, wrap_day=wrap_day)
+    full = with_term_lists(passing, actions)
     return full.withColumn("start_time", format_action_time(F.col("start_time"))).select(*FULL_INFO)
 
 

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.operators.recon import Reconciliation
 
+# Tables of a report; each dataset has a folder in each.
+REPORT = ("audit", "missing_keys", "duplicate_keys", "field_to_field")
 
-def replace_table(df: DataFrame, table: str, partition_by: str | None = None) -> None:
-    """Create or replace a table with the rows of ``df``.
+
+def replace_table(
+    df: DataFrame, table: str, partition_by: str | None = None, path: str | None = None
+) -> None:
+    """Create or replace a table with the rows of ``df``, in ``path`` if given.
 
     With ``partition_by``, rows are first gathered by partition value; a rebalance splits
     values too large for one file.
@@ -19,25 +24,58 @@ def replace_table(df: DataFrame, table: str, partition_by: str | None = None) ->
     if partition_by:
         df = df.hint("rebalance", partition_by)
     writer = df.write.mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
     (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
 
 
-def append_result(result: DataFrame, table: str) -> None:
-    """Add the rows of a task to a result table kept per ``task_id``."""
-    result.write.mode("append").partitionBy("task_id").saveAsTable(table)
+def append_result(result: DataFrame, table: str, path: str | None = None) -> None:
+    """Put the rows of a task into a result table kept per ``task_id``.
+
+    Rows of other tasks stay; those of the same task are replaced, so a task that runs
+    again does not count twice.
+    """
+    spark = result.sparkSession
+    if spark.catalog.tableExists(table):
+        # An insert into a table takes the mode from the session only.
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            result.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
+        return
+    writer = result.write.partitionBy("task_id")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def _drop_others(spark: SparkSession, folder: str, names: set[str]) -> None:
+    """Remove the folders of datasets that are not among ``names``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(hadoop):
+        for status in files.listStatus(hadoop):
+            if status.isDirectory() and status.getPath().getName() not in names:
+                files.delete(status.getPath(), True)
 
 
 def write_report(reports: Mapping[str, Reconciliation], path: str) -> None:
-    """Write audit and field-to-field of every dataset below ``path``.
+    """Write all results of every dataset below ``path``, in place of an earlier report.
 
-    ``audit`` is one table partitioned by dataset; field-to-field differs in columns, so
-    each dataset has its own folder. The pairs are made once for both.
+    Tables other than ``audit`` differ in columns by dataset. Pairs and key counts are
+    made once for all of them.
     """
+    spark = None
     for name, result in reports.items():
         staged = result.staged()
-        staged.field_to_field.write.mode("overwrite").parquet(f"{path}/field_to_field/dataset={name}")
-        staged.audit.write.mode("overwrite").parquet(f"{path}/audit/dataset={name}")
+        spark = staged.pairs.sparkSession
+        for table in REPORT:
+            getattr(staged, table).write.mode("overwrite").parquet(f"{path}/{table}/dataset={name}")
+    if spark:
+        for table in REPORT:
+            _drop_others(spark, f"{path}/{table}", {f"dataset={name}" for name in reports})
 
 
-def read_audit(spark, path: str) -> DataFrame:
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/audit").withColumn("dataset", F.col("dataset").cast("string"))

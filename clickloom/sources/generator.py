@@ -55,7 +55,7 @@ def _spread(df: DataFrame, column: str) -> DataFrame:
 def generate_actions(
     slots: DataFrame,
     *,
-    n_users: int = DEFAULT_USERS,
+    n_users: int | Column = DEFAULT_USERS,
     sessions_per_slot: int = SESSIONS_PER_USER,
     seed: int = 0,
     date: str | None = None,

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 from helpers import plan
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from clickloom.catalog import queries as registered
 from clickloom.operators.categories import category_counts, top_categories
 from clickloom.operators.products import top_products_by_city
+from clickloom.operators.sampling import pick_sessions
 from clickloom.operators.sessions import filtered_sessions, join_users, session_summary
 from clickloom.plans.session_analysis import session_full_info
 from clickloom.schemas import ACTIONS, PRODUCTS, USERS
@@ -41,8 +43,8 @@ def no_broadcast(spark):
 
 @needs_data
 def test_no_python_in_any_query(spark):
-    for name, query in contract.queries().items():
-        if name != "ad_click_traffic":  # would run the stream
+    for name, query in registered.queries().items():
+        if name != "ad_click_traffic" and not name.startswith(("sink_", "load_")):  # these run jobs
             text = plan(query(spark, DATA))
             assert "Python" not in text and "Pandas" not in text, name
             assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
@@ -60,10 +62,24 @@ def test_summary_reads_three_columns_and_hashes(spark, tables):
     assert text.count("Exchange") == 1
 
 
-def test_lists_join_where_the_summaries_are(spark, tables, no_broadcast):
+def test_lists_are_made_for_passing_sessions(spark, tables, no_broadcast):
     text = plan(session_full_info(tables["actions"], tables["users"]))
-    # Summary, terms (two), then both sides of the join with users: none for the list join.
-    assert text.count("Exchange hashpartitioning") == 5
+    assert text.index("collect_list") < text.index("LeftSemi")  # printed top down
+
+
+def test_large_and_small_samples_have_one_plan(spark, tables):
+    sessions = session_summary(tables["actions"])
+    shapes = [re.sub(r"\d+", "", plan(pick_sessions(sessions, size))) for size in (1, 10**9)]
+    assert shapes[0] == shapes[1] and "TakeOrdered" not in shapes[0]
+
+
+@needs_data
+def test_event_kinds_reach_the_scan(spark):
+    kinds = {"session_categories": "EqualTo(event_type,click)", "top_products_by_city": "EqualTo(event_type,click)"}
+    kinds |= {"ad_clicks_by_day": "EqualTo(event_type,click)", "session_keywords": "EqualTo(event_type,view)"}
+    kinds |= dict.fromkeys(("category_counts", "top10_categories"), "In(event_type, [click,purchase,signup])")
+    for name, pushed in kinds.items():
+        assert pushed in plan(registered.queries()[name](spark, DATA)), name
 
 
 def test_counts_combine_before_the_shuffle(spark, tables):
@@ -74,6 +90,7 @@ def test_counts_combine_before_the_shuffle(spark, tables):
 def test_top_products_limits_each_task(spark, tables):
     text = plan(top_products_by_city(tables["actions"], tables["products"]))
     assert "WindowGroupLimit" in text and "Partial" in text
+    assert "LeftSemi" in text
     assert "IsNotNull(click_product_id)" in text
 
 
@@ -119,5 +136,15 @@ def test_hot_session_is_counted_before_the_join(spark, tables, no_broadcast):
     assert text.index("LeftSemi") < text.index("partial_count")  # printed top down
 
 
-def test_shared_folder_is_the_configured_one(spark, tmp_path):
+class NoSetting:
+    """A session without a shared folder of its own."""
+
+    class conf:
+        @staticmethod
+        def get(name, default=None):
+            return {"spark.sql.warehouse.dir": "file:/warehouse"}.get(name, default)
+
+
+def test_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(NoSetting) == "file:/warehouse/_stages"

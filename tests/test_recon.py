@@ -162,6 +162,10 @@ def test_configured_datasets_and_report(spark, tmp_path):
     ]
     fields = spark.read.parquet(f"{tmp_path}/field_to_field/dataset=dataset2")
     assert fields.count() == 10
+    assert spark.read.parquet(f"{tmp_path}/missing_keys/dataset=dataset1").count() == 2
+    # A later report takes the place of the earlier one as a whole.
+    write_report({"dataset2": results["dataset2"]}, str(tmp_path))
+    assert {r.dataset for r in read_audit(spark, str(tmp_path)).collect()} == {"dataset2"}
 
 
 keyed = st.lists(

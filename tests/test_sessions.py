@@ -1,9 +1,14 @@
 from __future__ import annotations
 
+import datetime
+import hashlib
+
 import pytest
 from helpers import actions, at, rows, users
+from pyspark.sql import functions as F
 
-from clickloom.operators import sessions
+from clickloom.functions.times import use_order
+from clickloom.operators import sampling, sessions
 from clickloom.operators.categories import category_counts, top_categories
 from clickloom.operators.products import top_products_by_city
 from clickloom.operators.sampling import pick_sessions, sample_sessions
@@ -174,12 +179,50 @@ def test_sample_is_exact_repeatable_and_a_subset(spark):
     assert [r[1] for r in rows(sample)] == [r[0] for r in first]
 
 
-def test_large_sample_is_the_same(spark):
+def test_samples_of_any_size_follow_one_ranking(spark, monkeypatch):
     chosen = spark.range(500).selectExpr("concat('s', id) as session_id", "id as start_time")
-    for size in (0, 1, 37, 499, 500, 900):
-        small = rows(pick_sessions(chosen, size, seed=3))
-        large = rows(pick_sessions(chosen, size, seed=3, max_top_rows=-1))
-        assert small == large and len(small) == min(size, 500)
+    ids = [f"s{n}" for n in range(500)]
+    ranked = sorted(ids, key=lambda s: (hashlib.md5(f"3:{s}".encode()).hexdigest(), s))
+    for digits in (4, 1):  # with one digit, groups are large and are cut inside
+        monkeypatch.setattr(sampling, "GROUP_DIGITS", digits)
+        for size in (0, 1, 37, 499, 500, 900):
+            got = {r.session_id for r in pick_sessions(chosen, size, seed=3).collect()}
+            assert got == set(ranked[:size])
+
+
+def with_ids(df):
+    """Actions of one instant, numbered against their order in the table."""
+    return df.withColumn("action_id", 100 - F.monotonically_increasing_id())
+
+
+def test_ties_are_broken_by_action_id(spark):
+    df = with_ids(
+        actions(
+            spark,
+            {"user_id": 1, "click_category_id": 10, "search_keyword": "a"},
+            {"user_id": 3, "click_category_id": 9, "search_keyword": "b"},
+            {"user_id": 2, "click_category_id": 10, "action_time": at(5)},
+        ).coalesce(1)
+    )
+    assert sessions.session_summary(df).first()["user_id"] == 3
+    assert rows(sessions.session_term_lists(df)) == [("s", "b,a", "9,10")]
+    # Without action ids: the smallest user, terms in text order.
+    bare = df.drop("action_id")
+    assert sessions.session_summary(bare).first()["user_id"] == 1
+    assert rows(sessions.session_term_lists(bare)) == [("s", "a,b", "10,9")]
+
+
+def test_order_of_use_is_exact(spark):
+    times = [at(4), at(4) + datetime.timedelta(microseconds=1), at(3, 59, 59)]
+    rows_ = [(t, n) for t in times for n in (-(2**63), -1, 0, 2**63 - 1)]
+    df = spark.createDataFrame(rows_, "t timestamp_ntz, n bigint")
+    keyed = df.select("t", "n", use_order(F.col("t"), F.col("n")).alias("key")).collect()
+    assert [(r.t, r.n) for r in sorted(keyed, key=lambda r: r.key)] == sorted(rows_)
+
+
+def test_id_lists_with_empty_and_odd_parts(spark):
+    df = actions(spark, *[{"order_category_ids": ids} for ids in ("3,14,", ",", "x,3", "14, 3", "")])
+    assert rows(category_counts(df)) == [(14, 0, 2, 0), (3, 0, 3, 0)]
 
 
 @pytest.mark.parametrize("size", [100, 10**6])

@@ -24,6 +24,14 @@ def test_same_as_the_built_in_operators(spark):
     assert rows(except_distinct(two, one)) == rows(two.subtract(one)) == [(5, 6)]
 
 
+def test_any_column_names(spark):
+    one, two = sides(spark)
+    for names in (["a.b", "in_left"], ["x", "x"], ["c1", "c0"]):
+        left, right = one.toDF(*names), two.toDF(*names)
+        assert rows(intersect_distinct(left, right)) == rows(one.intersect(two))
+        assert except_distinct(left, right).columns == names
+
+
 def test_union_keeps_copies(spark):
     one, two = sides(spark)
     assert union_all(one, two).count() == 8

@@ -14,7 +14,7 @@ def test_replace(spark):
 
 def test_append_by_task(spark):
     sessions = spark.createDataFrame([(100,), (400,)], "visit_length bigint")
-    for task in ("t1", "t2"):
+    for task in ("t1", "t2", "t1"):  # the first task runs again
         append_result(visit_length_ratio(sessions, task), "sink_ratio")
     got = spark.table("sink_ratio").select("task_id", "session_count", "visit_0_300")
     assert rows(got) == [("t1", 2, 0.5), ("t2", 2, 0.5)]
