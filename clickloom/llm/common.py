@@ -44,6 +44,12 @@ def sliced(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
             yield batch.slice(start, end - start)
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows as dicts, made one at a time, for rows that hold large blobs."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers whose output bits all depend on all input bits."""
     x = x.astype(np.uint64, copy=True)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
-from clickloom.llm.common import lines_of, mix, sliced
+from clickloom.llm.common import lines_of, mix, rows_of, sliced
 from clickloom.sources.shared import stage
 
 MIN_POINTS = 40
@@ -116,7 +116,7 @@ def _parts(blob: bytes):
 
 def _request_batches(batches, shards: int, min_points: int):
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in rows_of(batch):
             firsts, seconds, ids = [], [], []
             for _, lines, doc_ids in _parts(row["rows"]):
                 long = lines.length >= min_points
@@ -235,7 +235,7 @@ def _probe_shard(requests, index):
 def _kept_batches(batches, schema: pa.Schema, min_points: int):
     """Rows of the blocks without the lines that are frequent and owned elsewhere."""
     for blocks in batches:
-        for row in blocks.to_pylist():
+        for row in rows_of(blocks):
             answers = row["answers"] or []
             keys = _keys([a["keys"] for a in answers]) if answers else np.zeros((2, 0), np.uint64)
             owners = np.concatenate([np.frombuffer(a["owners"], np.int64) for a in answers] or [np.zeros(0, np.int64)])
