@@ -1,10 +1,10 @@
 """Order within a key, also when one key holds a large part of all rows.
 
-A key's rows are cut into cells that follow each other in order: slices of the first
-order column. Where a slice is crowded, each of its values is a cell, and where a value
-is crowded, ranges of the second order column are. Rows are ordered within their cell;
-a small table with one row per cell tells what comes before it, or after it, in its key.
-The plan is the same for any data; only the cells differ.
+A key's rows are cut into cells that follow each other in order: wide slices of the first
+order column. A crowded slice is cut into narrow ones, a crowded narrow slice into the
+values in it, and a crowded value into ranges of the second order column. Rows are
+ordered within their cell; a small table with one row per cell tells what comes before
+it, or after it, in its key. The plan is the same for any data; only the cells differ.
 """
 
 from __future__ import annotations
@@ -15,58 +15,55 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows above which a slice, or a single value in it, is cut further.
+# Rows above which a slice, or a single value, is cut further.
 CROWDED_ROWS = 1_000_000
 
-# Width of slices and ranges of numbers. Times are cut into ten minutes.
-NUMBER_WIDTH = 1 << 16
-TIME_TEXT = "yyyy-MM-dd HH:m"
+# Width of wide and narrow slices. Times are cut into days and ten minutes.
+NUMBER_WIDTHS = (1 << 32, 1 << 16)
+TIME_TEXTS = ("yyyy-MM-dd", "yyyy-MM-dd HH:m")
+TIME_MICROS = (86_400_000_000, 600_000_000)
 
 CELL = "_cell"
 RANK = "_rank"
 
 
-def _slice(column: str, dtype: T.DataType) -> Column:
-    """A coarser value in the same order; null for types without one, which are not cut."""
+def _slices(column: str, dtype: T.DataType) -> list[Column]:
+    """A wide and a narrow slice of a value, both in its order; null for types without."""
     value = F.col(column)
     if isinstance(dtype, T.TimestampNTZType):
-        return F.substring(value.cast("string"), 1, len(TIME_TEXT))
+        return [F.substring(value.cast("string"), 1, len(text)) for text in TIME_TEXTS]
     if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(value).cast("decimal(38,0)") - F.pmod(F.unix_micros(value), F.lit(600_000_000))
+        return [F.unix_micros(value) - F.pmod(F.unix_micros(value), F.lit(width)) for width in TIME_MICROS]
     if isinstance(dtype, T.IntegralType):
-        return F.floor(value / F.lit(NUMBER_WIDTH))
-    return F.lit(None).cast("string")
+        return [F.floor(value / F.lit(width)) for width in NUMBER_WIDTHS]
+    return [F.lit(None).cast("string")] * 2
 
 
 def with_cells(
     df: DataFrame, key: Sequence[str], order: Sequence[str], crowded_rows: int = CROWDED_ROWS
 ) -> DataFrame:
-    """Rows with their cell, a struct whose fields are in order: key, slice, value, range.
+    """Rows with their cell, a struct whose fields are in order, from the key to the range.
 
-    The crowded slices and values are found in the same query. There is at most one for
-    every ``crowded_rows`` rows, which bounds what is broadcast.
+    The crowded places are found in the same query, and narrower ones are only looked for
+    in crowded wider ones. There is at most one for every ``crowded_rows`` rows, which
+    bounds what is broadcast.
     """
-    first = order[0]
-    owner = F.struct(*[F.col(k) for k in key])
-    cut = df.withColumns({"_key": owner, "_slice": _slice(first, df.schema[first].dataType)})
-
-    def crowded(place: Column, mark: str) -> DataFrame:
-        counts = cut.groupBy(place.alias(mark)).agg(F.count("*").alias("_n"))
-        return F.broadcast(counts.where(F.col("_n") > crowded_rows).select(mark))
-
-    slices = F.struct("_key", "_slice")
-    values = F.struct("_key", "_slice", F.col(first).alias("_value"))
-    cut = cut.join(crowded(slices, "_crowded"), slices == F.col("_crowded"), "left")
-    value = F.when(F.col("_crowded").isNotNull(), F.struct(F.col(first)))
-    cell = [F.col("_key").alias("key"), F.col("_slice").alias("slice"), value.alias("value")]
-    marks = ["_crowded"]
-    if len(order) > 1:
-        full = crowded(values, "_full")
-        cut = cut.join(full, values == F.col("_full"), "left")
-        part = _slice(order[1], df.schema[order[1]].dataType)
-        cell.append(F.when(F.col("_full").isNotNull(), F.struct(part)).alias("range"))
-        marks.append("_full")
-    return cut.withColumn(CELL, F.struct(*cell)).drop("_key", "_slice", *marks)
+    first, second = order[0], order[1] if len(order) > 1 else None
+    places = [F.struct(*key), *_slices(first, df.schema[first].dataType), F.struct(first)]
+    if second:
+        places.append(F.struct(_slices(second, df.schema[second].dataType)[1].alias("range")))
+    names = [f"_at{n}" for n in range(len(places))]
+    placed = df.withColumns(dict(zip(names, places)))
+    cut, inside = placed, placed
+    fields = [F.col(name) for name in names[:2]]
+    for depth, name in enumerate(names[2:], start=2):
+        place, mark = F.struct(*names[:depth]), f"_crowded{depth}"
+        counts = inside.groupBy(place.alias(mark)).agg(F.count("*").alias("_n"))
+        crowded = F.broadcast(counts.where(F.col("_n") > crowded_rows).select(mark))
+        inside = placed.join(crowded, place == F.col(mark), "left_semi")
+        cut = cut.join(crowded, place == F.col(mark), "left")
+        fields.append(F.when(F.col(mark).isNotNull(), F.struct(name)).alias(name))
+    return cut.select(*df.columns, F.struct(fields[0].alias("key"), *fields[1:]).alias(CELL))
 
 
 def number_rows(

@@ -53,7 +53,7 @@ def test_steps_and_moves(spark, skewed, limit):
 
 
 def test_the_large_session_is_cut(spark, skewed, monkeypatch):
-    monkeypatch.setattr(ordering, "NUMBER_WIDTH", 64)
+    monkeypatch.setattr(ordering, "NUMBER_WIDTHS", (1 << 20, 64))
     order = ["action_time", "action_id"]
     for limit, least in ((WHOLE, 0.15), (SPLIT, 0.0)):
         cut = ordering.with_cells(skewed, ["session_id"], order, limit)
@@ -75,8 +75,9 @@ def test_cells_of_times(spark):
     df = actions(spark, *[{"action_time": at(3, n, n % 60), "page_id": n} for n in range(59)])
     for kind in ("timestamp_ntz", "timestamp"):
         typed = df.withColumn("action_time", F.col("action_time").cast(kind))
-        cut = ordering.with_cells(typed, ["session_id"], ["action_time"])
-        assert [r["count"] for r in cut.groupBy(ordering.CELL).count().collect()] == [10] * 5 + [9]
+        for limit, sizes in ((WHOLE, [59]), (30, [9] + [10] * 5), (5, [1] * 59)):
+            cut = ordering.with_cells(typed, ["session_id"], ["action_time"], limit)
+            assert sorted(r["count"] for r in cut.groupBy(ordering.CELL).count().collect()) == sizes
         steps = session_actions(typed).select("page_id", "step").collect()
         assert sorted(map(tuple, steps)) == [(n, n + 1) for n in range(59)]
 
