@@ -18,16 +18,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path for this application's files, removed when its driver ends."""
-    path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+def make_folder(spark: SparkSession, path: str, temporary: bool = False) -> str:
+    """Create a folder if it is not there; a temporary one goes when the driver ends."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(hadoop)
-    files.deleteOnExit(hadoop)
+    if temporary:
+        files.deleteOnExit(hadoop)
     return path
 
 
+def fresh_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder for this application's files, removed when its driver ends."""
+    path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    return make_folder(spark, path, temporary=True)
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

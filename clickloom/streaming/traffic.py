@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators.sessions import has_click
-from clickloom.sources.shared import fresh_folder
+from clickloom.sources.shared import fresh_folder, make_folder
 
 WATERMARK = "1 hour"
 PERIOD = "1 day"
@@ -89,6 +89,7 @@ def start_traffic(
         counts.write.mode("overwrite").parquet(f"{folder}/counts/batch={number}")
 
     session = actions.sparkSession
+    make_folder(session, f"{folder}/counts")  # a source without data writes no batch
     before = {name: session.conf.get(name, None) for name in settings}
     try:
         for name, value in settings.items():

@@ -45,6 +45,15 @@ def test_stream_reports_every_period(spark, tmp_path):
     assert rows(run_traffic(stream)) == rows(clicks_per_period(batch_of(spark, *data)))
 
 
+def test_stream_without_data(spark, tmp_path):
+    source = str(tmp_path / "in")
+    batch_of(spark).write.parquet(source)
+    assert rows(run_traffic(spark.readStream.schema(SCHEMA).parquet(source))) == []
+    (tmp_path / "none").mkdir()
+    stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "none"))
+    assert rows(run_traffic(stream)) == []
+
+
 def test_days_follow_the_session_zone(spark, tmp_path):
     source = str(tmp_path / "in")
     batch_of(spark, (1, when(1, 1), 5), (2, when(1, 23), 5), (3, when(2), 5)).write.parquet(source)
