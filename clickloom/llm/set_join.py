@@ -306,6 +306,8 @@ def jaccard_components(
         .agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("parts"))
         .where("parts > 1")
     )
+    # Written first, so that the join is between plain shuffles, which Spark splits if skewed.
+    mixed = stage(mixed, "mixed")
     crowd = stage(crowd.join(mixed, "signature").join(traits, "node"), "crowd")
     meeting = (
         (F.col("x.signature") == F.col("y.signature"))
