@@ -105,7 +105,8 @@ class PieceCodec:
         self.by_words = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         # White space in no piece becomes bytes, which nothing merges with.
         bare = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
-        self.words = re.compile(f"[{bare}]+|{MARK}+[^{MARK}{bare}]*|[^{MARK}{bare}]+" if bare else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        breaks = f"[{bare}]+|" if bare else ""
+        self.words = re.compile(f"{breaks}{MARK}+[^{MARK}{bare}]*|[^{MARK}{bare}]+")
         # Ids as bytes of 32-bit numbers, which are cheap to join.
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import language, line_dedup, maxent_lm, packing, pieces, quality, set_join, token_counts, toxicity, vector_search
+from clickloom.llm import (
+    language,
+    line_dedup,
+    maxent_lm,
+    packing,
+    pieces,
+    quality,
+    set_join,
+    token_counts,
+    toxicity,
+    vector_search,
+)
 from clickloom.llm.common import table
 
 
@@ -97,7 +108,18 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from marked group by doc_id
 """
 
-QUERIES = (op1_quality_forest, op2_rank_order_language, op3_line_dedup, op4_section_tokens, op5_piece_codec, op6_best_fit_packing, op7_convolutional_toxicity, op8_learned_partitions, op9_ngram_jaccard_join, op10_maxent_lm)
+QUERIES = (
+    op1_quality_forest,
+    op2_rank_order_language,
+    op3_line_dedup,
+    op4_section_tokens,
+    op5_piece_codec,
+    op6_best_fit_packing,
+    op7_convolutional_toxicity,
+    op8_learned_partitions,
+    op9_ngram_jaccard_join,
+    op10_maxent_lm,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
