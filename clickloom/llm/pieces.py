@@ -33,7 +33,7 @@ MARK = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 # Remembered words: twice so many at most, of at most so many characters.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 REMEMBERED_LENGTH = 48
 
 # Remembered pairs of pieces.
