@@ -10,6 +10,13 @@ within its budget, so they share the hash of that segment or of a one-deletion
 neighbour of it. Which kinds a band uses is settled by a cost model: one for each
 signature written plus the expected number of chance candidates.
 
+Below ``PREFIX_BELOW`` per cent the difference is so large that segments get short or
+each set gets several times as many signatures as it has shingles. There the signatures
+are the set's first shingles in one order of all shingles, as many as a linked set may
+lack and one more: two sets that link share one of those, whatever the order. Shingles
+that are common in a sample of the documents come last in the order, so that few sets
+meet by chance; the sample changes the cost, not the result.
+
 Candidates are then verified exactly on their whole shingle sets, but not all pairs of
 a group of signature sharers are made: a star around the group's first member is
 verified first, and after that only members of different components meet.
@@ -37,6 +44,13 @@ SIMILARITY = 90
 CROWD = 50
 SHARED = 0.7
 
+# Similarities under this take the first shingles as signatures.
+PREFIX_BELOW = 85
+# Documents looked at for common shingles, how often one is seen there, and how many are kept.
+SAMPLE_DOCUMENTS = 10_000
+COMMON = 3
+COMMON_SHINGLES = 1 << 17
+
 BITMAP_BITS = 256
 
 # Bits of the filter that names the documents to be read again: 4 MB.
@@ -126,6 +140,23 @@ def signatures(shingles: np.ndarray, similarity: int) -> np.ndarray:
     return np.unique(np.concatenate(made)).view(np.int64)
 
 
+def first_shingles(shingles: np.ndarray, similarity: int, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The set's first shingles, rare ones first: one more than a linked set may lack.
+
+    A linked set has at least similarity per cent of them. ``common`` is (sorted shingles,
+    how often each was seen); all others come before them, in the order of their hashes.
+    """
+    known, seen = common
+    rank = np.zeros(len(shingles), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        rank = np.where(known[at] == shingles, seen[at], 0)
+    token = mix(shingles)
+    needed = -(-similarity * len(shingles) // 100)
+    order = np.lexsort((token, rank))[: len(shingles) - needed + 1]
+    return np.sort(token[order]).view(np.int64)
+
+
 def parities(shingles: np.ndarray) -> np.ndarray:
     """Parity of the number of shingles in each bucket; differing bits bound the difference."""
     odd = np.bincount((shingles & np.uint64(BITMAP_BITS - 1)).astype(np.int64), minlength=BITMAP_BITS) & 1
@@ -138,7 +169,33 @@ PROFILE = (
 )
 
 
-def _profile_batches(batches, width: int, similarity: int):
+def _shingle_batches(batches, width: int):
+    for batch in batches:
+        for part in sliced(batch, "text"):
+            for _, shingles in shingle_sets(part.column("text"), width):
+                yield pa.RecordBatch.from_arrays([pa.array(shingles.view(np.int64))], names=["shingle"])
+
+
+def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted shingles, how often seen) of those that a sample of the documents has often."""
+    share = min(1.0, SAMPLE_DOCUMENTS / max(1, docs.count()))
+    rows = (
+        docs.select("text")
+        .sample(share, seed=0)
+        .mapInArrow(functools.partial(_shingle_batches, width=width), "shingle bigint")
+        .groupBy("shingle")
+        .agg(F.count("*").alias("seen"))
+        .where(F.col("seen") >= COMMON)
+        .orderBy(F.desc("seen"), "shingle")
+        .limit(COMMON_SHINGLES)
+        .toPandas()
+    )
+    known = rows["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(known)
+    return known[order], rows["seen"].to_numpy(np.int64)[order]
+
+
+def _profile_batches(batches, width: int, similarity: int, common):
     for batch in batches:
         for part in sliced(batch, "text"):
             digests, sizes, bits, made = [], [], [], []
@@ -146,7 +203,10 @@ def _profile_batches(batches, width: int, similarity: int):
                 digests.append(digest)
                 sizes.append(len(shingles))
                 bits.append(parities(shingles))
-                made.append(signatures(shingles, similarity))
+                if common is None:
+                    made.append(signatures(shingles, similarity))
+                else:
+                    made.append(first_shingles(shingles, similarity, common.value))
             bits = np.array(bits)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -260,8 +320,11 @@ def jaccard_components(
     ignored.
     """
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    common = None
+    if similarity < PREFIX_BELOW:
+        common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
     profiles = docs.mapInArrow(
-        functools.partial(_profile_batches, width=width, similarity=similarity), PROFILE
+        functools.partial(_profile_batches, width=width, similarity=similarity, common=common), PROFILE
     )
     # Numbers given before the write are fixed by it.
     profiles = stage(profiles.withColumn("node", F.monotonically_increasing_id()), "profiles")

@@ -88,6 +88,34 @@ def test_linked_sets_share_a_signature(similarity):
                 assert differing <= len(one) + len(two) - 2 * both
 
 
+@pytest.mark.parametrize("similarity", [84, 80, 55])
+def test_linked_sets_share_a_first_shingle(similarity):
+    rng = np.random.default_rng(similarity)
+    for size in [*range(1, 60), 150, 400]:
+        for _ in range(4):
+            one = np.unique(rng.integers(0, 1 << 62, size).astype(np.uint64))
+            keep = rng.random(len(one)) > rng.choice([0, 0.02, 0.1, 0.2])
+            added = rng.integers(0, 1 << 62, rng.integers(0, 1 + size // 9)).astype(np.uint64)
+            two = np.unique(np.concatenate([one[keep], added]))
+            known = np.sort(rng.choice(one, len(one) // 2, replace=False))
+            common = known, rng.integers(3, 9, len(known))
+            both = len(np.intersect1d(one, two))
+            if both and 100 * both >= similarity * (len(one) + len(two) - both):
+                firsts = [set_join.first_shingles(x, similarity, common) for x in (one, two)]
+                assert len(np.intersect1d(*firsts)), (size, len(two))
+
+
+def test_common_shingles_come_last(spark):
+    rare = [" ".join(f"r{n}w{i}" for i in range(9)) for n in range(6)]
+    docs = documents(spark, [f"{own} and these words stand in all of them" for own in rare])
+    known, seen = set_join.common_shingles(docs, 5)
+    assert len(known) == 4 and (np.diff(known.astype(object)) > 0).all() and set(seen) == {6}
+    (_, own), *_ = set_join.shingle_sets(docs.toArrow()["text"].combine_chunks(), 5)
+    first = set_join.first_shingles(own, 80, (known, seen))
+    last = set_join.mix(known).view(np.int64)
+    assert len(first) == len(own) - -(-len(own) * 80 // 100) + 1 and not set(first) & set(last)
+
+
 def test_budgets_cover_the_difference():
     for low, high, exact, deletions in set_join.band_table(90, 3000):
         assert exact + 2 * deletions >= 2 * high * 10 // 190 + 1
