@@ -164,7 +164,7 @@ def parities(shingles: np.ndarray) -> np.ndarray:
 
 
 PROFILE = (
-    "doc_id bigint, digest binary, n_shingles bigint, p0 bigint, p1 bigint, p2 bigint, p3 bigint, "
+    "doc_id bigint, text_hash bigint, digest binary, n_shingles bigint, p0 bigint, p1 bigint, p2 bigint, p3 bigint, "
     "signatures array<bigint>"
 )
 
@@ -211,12 +211,13 @@ def _profile_batches(batches, width: int, similarity: int, common):
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id").cast(pa.int64()),
+                    part.column("text_hash"),
                     pa.array(digests, pa.binary()),
                     pa.array(sizes, pa.int64()),
                     *[pa.array(bits[:, i]) for i in range(4)],
                     int_lists(np.concatenate(made), [len(x) for x in made]),
                 ],
-                names=["doc_id", "digest", "n_shingles", "p0", "p1", "p2", "p3", "signatures"],
+                names=["doc_id", "text_hash", "digest", "n_shingles", "p0", "p1", "p2", "p3", "signatures"],
             )
 
 
@@ -307,8 +308,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, s
     )
 
 
+def text_hash(text):
+    """Tells rows of one doc_id with different texts apart."""
+    return F.xxhash64(text.cast("string"))
+
+
 def jaccard_components(
-    documents: DataFrame, width: int = SHINGLE_WORDS, similarity: int = SIMILARITY
+    documents: DataFrame, width: int = SHINGLE_WORDS, similarity: int = SIMILARITY, by_row: bool = False
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id): components of documents with similar shingle sets.
 
@@ -316,14 +322,15 @@ def jaccard_components(
     distinct shingles of ``width`` words; a text with fewer words is one shingle. Texts
     that are null or without words have no shingles and link with nothing. The component
     id is the smallest doc_id of the component, null if it has none. Rows that repeat a
-    doc_id are texts of their own. An empty table gives no rows; further columns are
-    ignored.
+    doc_id are texts of their own; ``by_row`` adds the column text_hash to find them by. An
+    empty table gives no rows; further columns are ignored.
     """
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    hashed = text_hash(F.col("text")) if by_row else F.lit(None).cast("bigint")
     common = None
     if similarity < PREFIX_BELOW:
         common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
-    profiles = docs.mapInArrow(
+    profiles = docs.withColumn("text_hash", hashed).mapInArrow(
         functools.partial(_profile_batches, width=width, similarity=similarity, common=common), PROFILE
     )
     # Numbers given before the write are fixed by it.
@@ -332,7 +339,7 @@ def jaccard_components(
     # Equal word sequences are one node; copies meet nobody but their first row.
     first = filled.groupBy("digest").agg(F.min("node").alias("node"), F.min("doc_id").alias("low"))
     nodes = stage(
-        filled.drop("signatures").join(first.select("node", "low"), "node"), "nodes"
+        filled.drop("signatures", "text_hash").join(first.select("node", "low"), "node"), "nodes"
     )
     spread = filled.join(first.select("node"), "node", "left_semi").select(
         "node", F.explode("signatures").alias("signature")
@@ -394,9 +401,10 @@ def jaccard_components(
     )
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     by_digest = placed.join(lowest, "root").select("digest", "component_id")
-    found = profiles.select("doc_id", "digest", "n_shingles").join(by_digest, "digest", "left")
+    found = profiles.select("doc_id", "text_hash", "digest", "n_shingles").join(by_digest, "digest", "left")
     return found.select(
         "doc_id",
+        *(["text_hash"] if by_row else []),
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
