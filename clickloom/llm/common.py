@@ -34,14 +34,19 @@ def plain(column) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+def runs(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive rows (start, end) whose sizes add up to about ``limit``, one row at least."""
+    edges = np.flatnonzero(np.diff(np.cumsum(sizes) // limit)) + 1
+    for start, end in zip([0, *edges], [*edges, len(sizes)]):
+        if end > start:
+            yield start, end
+
+
 def sliced(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about ``limit`` bytes of text, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes) // limit
-    edges = np.flatnonzero(np.diff(part)) + 1
-    for start, end in zip([0, *edges], [*edges, batch.num_rows]):
-        if end > start:
-            yield batch.slice(start, end - start)
+    for start, end in runs(sizes, limit):
+        yield batch.slice(start, end - start)
 
 
 def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
+    byte_bpe,
     language,
     line_dedup,
     maxent_lm,
@@ -83,6 +84,20 @@ def op10_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
     return maxent_lm.score_documents(table(spark, folder, "documents"))
 
 
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.encode_documents(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    decoded = byte_bpe.decode_documents(coded.select("doc_id", "ids"), ranks, public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 LINE_DEDUP_SQL = """
 with split as (
     select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents
@@ -119,6 +134,7 @@ QUERIES = (
     op8_learned_partitions,
     op9_ngram_jaccard_join,
     op10_maxent_lm,
+    op12_byte_bpe,
 )
 
 

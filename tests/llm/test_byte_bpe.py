@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+tiktoken = pytest.importorskip("tiktoken")
+pytest.importorskip("tokenizers")
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from text_cases import ODD, no_documents, odd_documents  # noqa: E402
+
+from clickloom.llm import byte_bpe, queries  # noqa: E402
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+ALPHABET = "ab =-\n\t'sé中\U0001f600́ 1٣Ⅷ\u0085​　\x1c\x00."
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = {token: number for number, token in enumerate(byte_bpe.read_ranks(RANKS))}
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return byte_bpe.ByteCodec(byte_bpe.read_ranks(RANKS), PATTERN)
+
+
+def random_texts(codec, count, seed=3):
+    rng = random.Random(seed)
+    for n in range(count):
+        if n % 3 == 0:
+            yield "".join(rng.choices(ALPHABET, k=rng.randint(0, 40)))
+        elif n % 3 == 1:
+            yield "".join(rng.choice("a b=-xA.\n") * rng.randint(1, 9) for _ in range(rng.randint(1, 12)))
+        else:
+            yield b"".join(rng.choices(codec.bytes, k=rng.randint(1, 6))).decode(errors="ignore")
+
+
+def test_random_texts(library, codec):
+    for text in random_texts(codec, 6000):
+        ids = codec.encode_array(text).tolist()
+        assert ids == library.encode_ordinary(text), text
+        assert codec.decode_bytes(ids) == text.encode()
+        assert codec.decode(ids) == text
+
+
+def test_characters_of_all_kinds_split_alike(library, codec):
+    points = [c for c in range(0, 0x110000, 7) if not 0xD800 <= c < 0xE000]
+    for k in range(0, len(points), 500):
+        text = "".join(f"a{chr(c)}1{chr(c)}. {chr(c)}" for c in points[k : k + 500])
+        assert codec.encode_array(text).tolist() == library.encode_ordinary(text)
+
+
+def test_parts_do_not_change_the_ids(library, codec):
+    for text in random_texts(codec, 900, seed=4):
+        for limit in (1, 2, 5):
+            assert "".join(byte_bpe.parts(text, limit)) == text
+            assert codec.encode_array(text, limit).tolist() == library.encode_ordinary(text), (text, limit)
+    assert [len(p) for p in byte_bpe.parts("x" * 300_000)] == [300_000]
+    assert max(len(p) for p in byte_bpe.parts("word " * 100_000, 1000)) < 1010
+
+
+def test_offsets_are_those_of_the_library(codec):
+    for text in random_texts(codec, 900, seed=5):
+        ids = codec.encode_array(text)
+        found = codec.library.encode(text, add_special_tokens=False)
+        assert list(zip(*(a.tolist() for a in codec.offsets(text, ids)))) == found.offsets, text
+    # A character split over tokens belongs to each of them.
+    text = "x\U0001f9ff"
+    ids = codec.encode_array(text)
+    starts, ends = codec.offsets(text, ids)
+    assert len(ids) > 2 and set(zip(starts[1:].tolist(), ends[1:].tolist())) == {(1, 2)}
+
+
+def test_any_ids(library, codec):
+    rng = random.Random(6)
+    for _ in range(2000):
+        ids = [rng.randrange(len(codec.bytes)) for _ in range(rng.randint(0, 9))]
+        assert codec.decode_bytes(ids) == library.decode_bytes(ids)
+        assert codec.decode(ids) == library.decode(ids)
+
+
+def test_rank_files_that_do_not_fit_are_refused(tmp_path):
+    path = tmp_path / "ranks"
+    path.write_text("YQ== 0\nYg== 2\n")
+    with pytest.raises(ValueError, match="consecutive"):
+        byte_bpe.read_ranks(str(path))
+    path.write_text("YQ== 0\nYg== 1\n")
+    with pytest.raises(ValueError, match="bytes"):
+        byte_bpe.read_ranks(str(path))
+
+
+def test_odd_rows(spark, library):
+    coded = byte_bpe.encode_documents(odd_documents(spark), RANKS, PATTERN)
+    found = byte_bpe.decode_documents(coded, RANKS, PATTERN).collect()
+    want = [(i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t in ODD]
+    assert sorted((str(r.doc_id), r.ids, bytes(r.decoded)) for r in found) == sorted((str(i), *w) for i, *w in want)
+    assert all(len(r.starts) == len(r.ends) == len(r.ids) for r in found)
+    empty = byte_bpe.encode_documents(no_documents(spark), RANKS, PATTERN)
+    assert byte_bpe.decode_documents(empty, RANKS, PATTERN).count() == 0
+
+
+def test_decoding_keeps_other_columns_and_replaces_its_own(spark, library):
+    rows = [(1, library.encode_ordinary("one"), 5, 7), (None, None, 6, 8), (2, [], None, 9)]
+    schema = "doc_id bigint, ids array<int>, `n tokens` bigint, decoded int"
+    found = byte_bpe.decode_documents(spark.createDataFrame(rows, schema), RANKS, PATTERN)
+    assert found.columns == ["doc_id", "ids", "n tokens", "decoded"]
+    assert [(r[0], r[2], bytes(r[3])) for r in found.collect()] == [(1, 5, b"one"), (None, 6, b""), (2, None, b"")]
+
+
+def test_query(spark, library):
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    found = queries.op12_byte_bpe(spark, folder).collect()
+    assert sorted(r.doc_id for r in found) == sorted(texts)
+    for row in found:
+        ids = library.encode_ordinary(texts[row.doc_id])
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+    assert np.isin([r.n_tokens for r in found], [0]).sum() == sum(not t for t in texts.values())
