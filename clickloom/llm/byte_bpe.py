@@ -6,6 +6,10 @@ every split of a token into two tokens is a merge with the rank of the token. So
 library merges the same pairs in the same order as one that works on bytes. Decoding goes
 from ids to spelled tokens, back through the byte table, and only then to text, because a
 character may be split over several tokens.
+
+No piece of the split pattern goes on from a character into white space, so a text is
+cut there into words with the white space before them, and a word that was encoded before
+is remembered.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from __future__ import annotations
 import base64
 import functools
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -30,8 +35,17 @@ PART_CHARACTERS = 1 << 16
 # Ids of consecutive rows that are decoded at once.
 SLICE_IDS = 1 << 18
 
-# A piece of the split pattern never goes on from a character into white space.
-CUT = re.compile(r"\S[ \n]")
+# Remembered words, twice so many at most, and the length of the longest.
+REMEMBERED = 400_000
+REMEMBERED_LENGTH = 48
+
+# Where a text may be cut, and the words between the cuts. Other white space than the four
+# common kinds is left inside words: what counts as white space beyond them may differ
+# from library to library.
+CUT = re.compile(r"\S[ \n\t\r]")
+# A run of letters is a word without the common marks behind it.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+WORD = re.compile(rf"\s*[{LETTERS}]+(?=[ \n.,;:!?]|$)|\s*\S+(?:[^\S \n\t\r]\s*\S*)*|\s+")
 
 
 def byte_table() -> list[str]:
@@ -87,12 +101,35 @@ class ByteCodec:
         byte_of = {character: byte for byte, character in enumerate(table)}
         self.spelled = [self.library.id_to_token(number) for number in range(len(tokens))]
         self.bytes = [bytes(byte_of[c] for c in token) for token in self.spelled]
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.length = np.array([len(token) for token in self.bytes], np.int64)
 
+    def _encode_words(self, words: list[str]) -> bytes:
+        """Ids of words, one after the other, as bytes of 32-bit numbers."""
+        recent = self.recent
+        new = {word for word in words if word not in recent}
+        long = {}
+        if new:
+            older = self.older
+            unknown = [word for word in new if word not in older]
+            recent |= {word: older[word] for word in new if word in older}
+            found = self.library.encode_batch(unknown, add_special_tokens=False)
+            for word, encoding in zip(unknown, found):
+                ids = array("i", encoding.ids).tobytes()
+                (recent if len(word) <= REMEMBERED_LENGTH else long)[word] = ids
+        if long:
+            made = b"".join([recent.get(word) or long[word] for word in words])
+        else:
+            made = b"".join(map(recent.__getitem__, words))
+        if len(recent) > REMEMBERED:
+            self.recent, self.older = {}, recent
+        return made
+
     def encode_array(self, text: str | None, part: int = PART_CHARACTERS) -> np.ndarray:
         """Ids of a whole text; null counts as empty."""
-        found = self.library.encode_batch(list(parts(text or "", part)), add_special_tokens=False)
-        return np.concatenate([np.zeros(0, np.int32), *[np.array(e.ids, np.int32) for e in found]])
+        made = [self._encode_words(WORD.findall(p)) for p in parts(text or "", part)]
+        return np.frombuffer(b"".join(made), np.int32)
 
     def offsets(self, text: str | None, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Character spans of the tokens; tokens that share a character all span it."""
