@@ -78,6 +78,25 @@ def merges_of(tokens: Sequence[bytes]) -> list[tuple[bytes, bytes]]:
     ]
 
 
+class Known(dict):
+    """Ids of words, as bytes of 32-bit numbers; a word that is not there gets encoded."""
+
+    def __init__(self, library):
+        self.library = library
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = array("i", self.library.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(word) <= REMEMBERED_LENGTH:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class ByteCodec:
     """Encoder and decoder of one rank file and split pattern."""
 
@@ -101,34 +120,13 @@ class ByteCodec:
         byte_of = {character: byte for byte, character in enumerate(table)}
         self.spelled = [self.library.id_to_token(number) for number in range(len(tokens))]
         self.bytes = [bytes(byte_of[c] for c in token) for token in self.spelled]
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = Known(self.library)
         self.length = np.array([len(token) for token in self.bytes], np.int64)
 
-    def _encode_words(self, words: list[str]) -> bytes:
-        """Ids of words, one after the other, as bytes of 32-bit numbers."""
-        recent = self.recent
-        new = {word for word in words if word not in recent}
-        long = {}
-        if new:
-            older = self.older
-            unknown = [word for word in new if word not in older]
-            recent |= {word: older[word] for word in new if word in older}
-            found = self.library.encode_batch(unknown, add_special_tokens=False)
-            for word, encoding in zip(unknown, found):
-                ids = array("i", encoding.ids).tobytes()
-                (recent if len(word) <= REMEMBERED_LENGTH else long)[word] = ids
-        if long:
-            made = b"".join([recent.get(word) or long[word] for word in words])
-        else:
-            made = b"".join(map(recent.__getitem__, words))
-        if len(recent) > REMEMBERED:
-            self.recent, self.older = {}, recent
-        return made
-
     def encode_array(self, text: str | None, part: int = PART_CHARACTERS) -> np.ndarray:
         """Ids of a whole text; null counts as empty."""
-        made = [self._encode_words(WORD.findall(p)) for p in parts(text or "", part)]
+        known = self.known.__getitem__
+        made = [b"".join(map(known, WORD.findall(p))) for p in parts(text or "", part)]
         return np.frombuffer(b"".join(made), np.int32)
 
     def offsets(self, text: str | None, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +137,8 @@ class ByteCodec:
         start = end - self.length[ids]
         return character[start].astype(np.int32), (character[end - 1] + 1).astype(np.int32)
 
-    def decode_bytes(self, ids: Sequence[int]) -> bytes:
+    def decode_bytes(self, ids: Sequence[int] | np.ndarray) -> bytes:
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
         return b"".join(map(self.bytes.__getitem__, ids))
 
     def decode(self, ids: Sequence[int]) -> str:
@@ -198,7 +197,9 @@ def _decode_batches(batches, sent, pattern: str, carried: list[str]):
         sizes = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
         for start, end in runs(sizes, SLICE_IDS):
             part = batch.slice(start, end - start)
-            blobs = [bpe.decode_bytes(ids.as_py() or ()) for ids in part.column("ids")]
+            ids = pc.fill_null(part.column("ids"), []).flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes[start:end])
+            blobs = [bpe.decode_bytes(row) for row in np.split(ids, ends[:-1])]
             yield pa.RecordBatch.from_arrays(
                 [*[part.column(c) for c in carried], pa.array(blobs, pa.binary())],
                 names=[*carried, "decoded"],
