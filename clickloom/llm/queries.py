@@ -18,6 +18,7 @@ from clickloom.llm import (
     set_join,
     token_counts,
     toxicity,
+    turn_repair,
     vector_search,
 )
 from clickloom.llm.common import table
@@ -98,6 +99,10 @@ def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair_damaged(table(spark, folder, "conversations"))
+
+
 LINE_DEDUP_SQL = """
 with split as (
     select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents
@@ -135,6 +140,7 @@ QUERIES = (
     op9_ngram_jaccard_join,
     op10_maxent_lm,
     op12_byte_bpe,
+    op13_turn_repair,
 )
 
 
