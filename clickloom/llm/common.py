@@ -97,10 +97,13 @@ class Words(NamedTuple):
         return np.concatenate([[0], np.cumsum(self.count)])
 
 
-def words_of(texts: pa.Array, lower: bool = True, letters: bool = False, stems: tuple = ()) -> Words:
+def words_of(
+    texts: pa.Array, lower: bool = True, letters: bool = False, stems: tuple = (), digits: bool = False
+) -> Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of texts, A-Z lower-cased if asked.
 
-    With ``letters``, words are runs of ASCII letters and of characters beyond ASCII.
+    With ``letters``, words are runs of ASCII letters and of characters beyond ASCII; with
+    ``digits``, too, of ASCII digits as well.
     ``stems`` are numbers of leading bytes that get hashes, too (rows of ``Words.stems``).
 
     The hash is polynomial over the bytes, then mixed; it does not depend on where the
@@ -115,6 +118,8 @@ def words_of(texts: pa.Array, lower: bool = True, letters: bool = False, stems:
         data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
     if letters:
         inside = (data >= 128) | (((data | 32) >= 97) & ((data | 32) <= 122))
+        if digits:
+            inside |= (data >= 48) & (data <= 57)
     else:
         inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
     edge = np.zeros(size + 1, bool)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clickloom.llm import (
     byte_bpe,
     language,
+    lexical_search,
     line_dedup,
     maxent_lm,
     packing,
@@ -85,6 +86,10 @@ def op10_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
     return maxent_lm.score_documents(table(spark, folder, "documents"))
 
 
+def op11_dual_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -128,6 +133,40 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from marked group by doc_id
 """
 
+LEXICAL_SEARCH_SQL = r"""
+with texts as (
+    select 'd' as kind, row_number() over () as row, doc_id as id, text from documents
+    union all
+    select 'i', row_number() over (), item_id, text from benchmark
+),
+terms as (
+    select kind, row, id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from texts
+),
+counts as (select kind, row, id, term, count(*) as tf from terms group by all),
+sizes as (select row, cast(sum(tf) as bigint) as n from counts where kind = 'd' group by row),
+totals as (select count(*) as n_documents, cast(sum(n) as bigint) as length from sizes),
+weights as (
+    select term, cast(floor(1000 * ln((2 * any_value(n_documents) + 2) / (2 * count(*) + 1))) as bigint) as w
+    from counts, totals where kind = 'd' group by term
+),
+shares as (
+    select row, id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_documents) // length))) as share
+    from counts join sizes using (row) join weights using (term), totals where kind = 'd'
+),
+scores as (
+    select i.row, i.id as item_id, s.row as doc_row, s.id as doc_id, cast(sum(i.tf * s.share) as bigint) as score
+    from counts i join shares s using (term) where i.kind = 'i' group by all
+),
+ranked as (
+    select *, row_number() over (partition by row order by score desc, doc_id asc nulls last) as rank
+    from scores where score > 0
+)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10
+"""
+
 QUERIES = (
     op1_quality_forest,
     op2_rank_order_language,
@@ -139,6 +178,7 @@ QUERIES = (
     op8_learned_partitions,
     op9_ngram_jaccard_join,
     op10_maxent_lm,
+    op11_dual_tree_search,
     op12_byte_bpe,
     op13_turn_repair,
 )
@@ -149,4 +189,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINE_DEDUP_SQL}
+    return {"op3_line_dedup": LINE_DEDUP_SQL, "op11_dual_tree_search": LEXICAL_SEARCH_SQL}
