@@ -49,12 +49,6 @@ def test_line_dedup(steps):
     assert all(r.n_chars == len(r.text) for r in rows)
 
 
-def test_one_of_each_group_stays(steps):
-    _, before, after = steps[3]
-    found = plain_components(sorted((r.doc_id, r.text) for r in before.collect()), 3, 90)
-    assert ids(after) == sorted({c for _, _, c in found})
-
-
 def test_all_that_is_left_is_packed(spark, steps):
     _, before, after = steps[4]
     assert sorted(set(ids(after))) == ids(before)
