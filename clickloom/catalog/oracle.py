@@ -378,6 +378,15 @@ SELECT city_id, rank, product_id, product_name,
   CAST(regexp_extract(extend_info, ':([0-9]+)', 1) AS INTEGER) AS product_status, clicks
 FROM ranked LEFT JOIN products USING (product_id) WHERE rank <= 3""",
         "ad_click_traffic": f"{CLICKS_BY_DAY} GROUP BY 1",
+        "ad_click_backlog": f"{CLICKS_BY_DAY} GROUP BY 1",
+        "ad_click_late": f"""{_with(_actions())},
+clicks AS (
+  SELECT date, action_id % 2 = 1 AND date + INTERVAL 1 DAY <= max(action_time)
+      FILTER (action_id % 2 = 0) OVER () - INTERVAL 1 HOUR AS late
+  FROM actions WHERE click_category_id <> -1)
+SELECT strftime(date, '%Y-%m-%d 00:00:00') AS period_start,
+  count(*) FILTER (NOT late) AS clicks, count(*) FILTER (late) AS late_deliveries
+FROM clicks GROUP BY 1""",
         "ad_clicks_by_day": f"{CLICKS_BY_DAY} GROUP BY 1",
         "time_texts": f"""{_with(_actions(), SUMMARY)}SELECT session_id,
   date_trunc('second', start_time) < date_trunc('second', end_time) AS takes_time,

@@ -31,6 +31,7 @@ from clickloom.sources.tables import ACTION_TABLE, PRODUCT_TABLE, USER_TABLE, fe
 from clickloom.streaming import traffic
 
 TASK_ID = "task-1"
+BACKLOG_FILES, BACKLOG_BATCH = 8, 3
 SEED = 7
 DAY = "2024-01-01"
 LARGE_SAMPLE = 1500
@@ -285,9 +286,9 @@ def gen_products(spark: SparkSession, folder: str) -> DataFrame:
     return generator.generate_products(slots, seed=SEED)
 
 
-def _period_text(df: DataFrame) -> DataFrame:
+def _period_text(df: DataFrame, *others: str) -> DataFrame:
     return df.select(
-        F.date_format("period_start", "yyyy-MM-dd HH:mm:ss").alias("period_start"), "clicks"
+        F.date_format("period_start", "yyyy-MM-dd HH:mm:ss").alias("period_start"), "clicks", *others
     )
 
 
@@ -297,6 +298,26 @@ def ad_click_traffic(spark: SparkSession, folder: str) -> DataFrame:
     return _period_text(traffic.run_traffic(warehouse.actions(events)))
 
 
+def ad_click_backlog(spark: SparkSession, folder: str) -> DataFrame:
+    """As a stream over many files, each with events of all days, a few files a batch."""
+    events, path = warehouse.table(spark, folder, "events"), fresh_folder(spark, "backlog")
+    events.repartition(BACKLOG_FILES, F.xxhash64("event_id")).write.mode("append").parquet(path)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", BACKLOG_BATCH).parquet(path)
+    return _period_text(traffic.run_traffic(warehouse.actions(source)))
+
+
+def ad_click_late(spark: SparkSession, folder: str) -> DataFrame:
+    """As a stream with a watermark, to which half of the events come after the others."""
+    events, path = warehouse.table(spark, folder, "events"), fresh_folder(spark, "late")
+    state = fresh_folder(spark, "traffic")
+    for half in (0, 1):
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(path)
+        source = spark.readStream.schema(events.schema).parquet(path)
+        query = traffic.start_traffic(warehouse.actions(source), state, watermark="1 hour")
+        query.awaitTermination()
+    return _period_text(traffic.read_traffic(spark, state), "late_deliveries")
+
+
 def ad_clicks_by_day(spark: SparkSession, folder: str) -> DataFrame:
     """The same transformation on a batch: all days."""
     return _period_text(traffic.clicks_per_period(_actions(spark, folder, kinds=CLICKS)))
@@ -438,6 +459,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         gen_products,
         top_products_by_city,
         ad_click_traffic,
+        ad_click_backlog,
+        ad_click_late,
         ad_clicks_by_day,
         time_texts,
         packed_summary,

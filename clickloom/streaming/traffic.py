@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom.operators.sessions import has_click
 from clickloom.sources.shared import fresh_folder, make_folder
 
-WATERMARK = "1 hour"
 PERIOD = "1 day"
 
 # State of open periods lies on local disk, backed up in the checkpoint, and not on the heap.
@@ -36,13 +35,14 @@ def _clicks(actions: DataFrame) -> DataFrame:
     )
 
 
-def _periods(counts: DataFrame) -> DataFrame:
+def _periods(counts: DataFrame, *others: str) -> DataFrame:
     """Period bounds back in the session's time zone."""
     zone = F.current_timezone()
     return counts.select(
         F.to_utc_timestamp("period.start", zone).alias("period_start"),
         F.to_utc_timestamp("period.end", zone).alias("period_end"),
         "clicks",
+        *others,
     )
 
 
@@ -58,35 +58,82 @@ def clicks_per_period(actions: DataFrame, period: str = PERIOD) -> DataFrame:
     return _periods(once.groupBy("period").agg(F.count("*").alias("clicks")))
 
 
+def _seen(clicks: DataFrame, period: str) -> DataFrame:
+    """Clicks that no earlier batch brought, by period and action."""
+    now = F.current_timestamp()  # one instant in all rows of a batch, the same if it is repeated
+    return (
+        clicks.withColumn("now", now)
+        .groupBy(F.window("clicked_at", period).alias("period"), "action_id")
+        .agg(F.min("now").alias("first_seen"))
+        .where(F.col("first_seen") == now)
+        .select(F.lit(True).alias("is_new"), "period", F.lit(None).cast("timestamp").alias("clicked_at"))
+    )
+
+
+def _limit(spark: SparkSession, folder: str, number: int, watermark: str) -> Column:
+    """Time up to whose periods the clicks of a batch are late; null if none are.
+
+    State forgets periods by the latest click of all batches before the last one.
+    """
+    if number < 2:
+        return F.lit(None).cast("timestamp")
+    latest = spark.read.schema("latest timestamp").parquet(f"{folder}/latest/batch={number - 2}").first()
+    return F.lit(latest["latest"] if latest else None).cast("timestamp") - F.expr(f"interval {watermark}")
+
+
+def _latest(spark: SparkSession, folder: str, number: int, counts: DataFrame) -> None:
+    """Keep the time of the latest click of all batches so far, for later batches."""
+    times = counts.select("latest")
+    if number:
+        times = times.unionAll(spark.read.schema("latest timestamp").parquet(f"{folder}/latest/batch={number - 1}"))
+    total = times.agg(F.max("latest").alias("latest"))
+    total.coalesce(1).write.mode("overwrite").parquet(f"{folder}/latest/batch={number}")
+
+
 def start_traffic(
     actions: DataFrame,
     folder: str,
     period: str = PERIOD,
-    watermark: str = WATERMARK,
+    watermark: str | None = None,
     settings: Mapping[str, str] = STREAM_SETTINGS,
     **trigger,
 ) -> StreamingQuery:
     """Add up clicks of an action stream in ``folder``; ``trigger`` defaults to ``availableNow``.
 
-    The stream keeps the actions of open periods as state. An action is new in the batch
-    that first brings it; a batch writes the numbers of its new actions by period, into a
-    folder of its own, which a repeated batch replaces. ``read_traffic`` adds the batches
-    up, so every period is reported, open ones too. Actions that come later than the
-    watermark are dropped. Settings hold for the started query only.
+    An action is new in the batch that first brings it; a batch writes the numbers of its
+    new actions by period, into a folder of its own, which a repeated batch replaces.
+    ``read_traffic`` adds the batches up, so every period is reported, open ones too.
+
+    Without ``watermark`` nothing is ever late: files of a backlog may come in any order
+    and in any number of batches. The state has an entry for each action of the source,
+    which a finite source bounds. With it, for a stream without end, the state forgets a
+    period once clicks are so much later; deliveries that come for such a period are not
+    added, but counted by period as ``late_deliveries``. Settings hold for the started
+    query only.
     """
-    now = F.current_timestamp()  # one instant in all rows of a batch, the same if it is repeated
-    seen = (
-        _clicks(actions)
-        .withColumn("now", now)
-        .withWatermark("clicked_at", watermark)
-        .groupBy(F.window("clicked_at", period).alias("period"), "action_id")
-        .agg(F.min("now").alias("first_seen"))
-        .where(F.col("first_seen") == now)
-    )
+    clicks = _clicks(actions)
+    if watermark is None:
+        rows = _seen(clicks, period)
+    else:
+        read = clicks.select(
+            F.lit(False).alias("is_new"), F.window("clicked_at", period).alias("period"), "clicked_at"
+        )
+        rows = _seen(clicks.withWatermark("clicked_at", watermark), period).unionAll(read)
 
     def add_up(batch: DataFrame, number: int) -> None:
-        counts = _periods(batch.groupBy("period").agg(F.count("*").alias("clicks")))
-        counts.write.mode("overwrite").parquet(f"{folder}/counts/batch={number}")
+        session = batch.sparkSession
+        late = F.lit(False)
+        if watermark is not None:
+            late = ~F.col("is_new") & (F.col("period.end") <= _limit(session, folder, number, watermark))
+        counts = batch.groupBy("period").agg(
+            F.count_if("is_new").alias("clicks"),
+            F.count_if(late).alias("late_deliveries"),
+            F.max("clicked_at").alias("latest"),
+        )
+        path = f"{folder}/counts/batch={number}"
+        _periods(counts, "late_deliveries", "latest").write.mode("overwrite").parquet(path)
+        if watermark is not None:
+            _latest(session, folder, number, session.read.parquet(path))
 
     session = actions.sparkSession
     make_folder(session, f"{folder}/counts")  # a source without data writes no batch
@@ -95,7 +142,7 @@ def start_traffic(
         for name, value in settings.items():
             session.conf.set(name, value)
         return (
-            seen.writeStream.outputMode("update")
+            rows.writeStream.outputMode("update")
             .foreachBatch(add_up)
             .option("checkpointLocation", f"{folder}/state")
             .trigger(**(trigger or {"availableNow": True}))
@@ -107,15 +154,17 @@ def start_traffic(
 
 
 def read_traffic(spark: SparkSession, folder: str) -> DataFrame:
-    """Clicks per period so far."""
-    schema = "period_start timestamp, period_end timestamp, clicks bigint, batch bigint"
+    """Clicks and late deliveries per period so far."""
+    schema = "period_start timestamp, period_end timestamp, clicks bigint, late_deliveries bigint, batch bigint"
     batches = spark.read.schema(schema).parquet(f"{folder}/counts")
-    return batches.groupBy("period_start", "period_end").agg(F.sum("clicks").alias("clicks"))
+    totals = batches.groupBy("period_start", "period_end").agg(
+        F.sum("clicks").alias("clicks"), F.sum("late_deliveries").alias("late_deliveries")
+    )
+    return totals.where("clicks > 0 or late_deliveries > 0")
 
 
-def run_traffic(actions: DataFrame, period: str = PERIOD, watermark: str = WATERMARK) -> DataFrame:
-    """Process what the source holds now; all periods of it."""
-    spark = actions.sparkSession
-    folder = fresh_folder(spark, "traffic")
-    start_traffic(actions, folder, period, watermark).awaitTermination()
-    return read_traffic(spark, folder)
+def run_traffic(actions: DataFrame, period: str = PERIOD) -> DataFrame:
+    """Clicks of all that the source holds now, however many batches it takes."""
+    folder = fresh_folder(actions.sparkSession, "traffic")
+    start_traffic(actions, folder, period).awaitTermination()
+    return read_traffic(actions.sparkSession, folder).drop("late_deliveries")
