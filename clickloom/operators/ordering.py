@@ -1,10 +1,9 @@
 """Order within a key, also when one key holds a large part of all rows.
 
-A key's rows are cut into cells that follow each other in order: wide slices of the first
-order column. A crowded slice is cut into narrow ones, a crowded narrow slice into the
-values in it, and a crowded value into ranges of the second order column. Rows are
-ordered within their cell; a small table with one row per cell tells what comes before
-it, or after it, in its key. The plan is the same for any data; only the cells differ.
+A large key is cut into ranges of the order columns, between values taken from a sample of
+its rows. A range goes to one task; rows are ordered within it, and the sizes of a key's
+earlier ranges, or the first row of its next one, tell how it goes on across ranges. Keys
+of ordinary size are one range. The plan is the same for any data and any sortable types.
 """
 
 from __future__ import annotations
@@ -13,57 +12,68 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Rows above which a slice, or a single value, is cut further.
+# Rows that a range of a large key has, about.
 CROWDED_ROWS = 1_000_000
 
-# Width of wide and narrow slices. Times are cut into days and ten minutes.
-NUMBER_WIDTHS = (1 << 32, 1 << 16)
-TIME_TEXTS = ("yyyy-MM-dd", "yyyy-MM-dd HH:m")
-TIME_MICROS = (86_400_000_000, 600_000_000)
+# Sampled rows for each range; the more, the more even the ranges.
+SAMPLES = 16
 
-CELL = "_cell"
-RANK = "_rank"
+# Ranges of all keys together, at most about; beyond that they grow. Bounds what is broadcast.
+RANGES = 10_000
 
+RANGE = "_range"
 
-def _slices(column: str, dtype: T.DataType) -> list[Column]:
-    """A wide and a narrow slice of a value, both in its order; null for types without."""
-    value = F.col(column)
-    if isinstance(dtype, T.TimestampNTZType):
-        return [F.substring(value.cast("string"), 1, len(text)) for text in TIME_TEXTS]
-    if isinstance(dtype, T.TimestampType):
-        return [F.unix_micros(value) - F.pmod(F.unix_micros(value), F.lit(width)) for width in TIME_MICROS]
-    if isinstance(dtype, T.IntegralType):
-        return [F.floor(value / F.lit(width)) for width in NUMBER_WIDTHS]
-    return [F.lit(None).cast("string")] * 2
 
-
-def with_cells(
+def range_ends(
     df: DataFrame, key: Sequence[str], order: Sequence[str], crowded_rows: int = CROWDED_ROWS
 ) -> DataFrame:
-    """Rows with their cell, a struct whose fields are in order, from the key to the range.
+    """(_of, _ends): first order values of the second and later ranges of each large key.
 
-    The crowded places are found in the same query, and narrower ones are only looked for
-    in crowded wider ones. There is at most one for every ``crowded_rows`` rows, which
-    bounds what is broadcast.
+    The sample takes rows by a hash of key and order, so repeated work gives the same
+    ranges. One row in a million becomes an end, and fewer where there are very many.
     """
-    first, second = order[0], order[1] if len(order) > 1 else None
-    places = [F.struct(*key), *_slices(first, df.schema[first].dataType), F.struct(first)]
-    if second:
-        places.append(F.struct(_slices(second, df.schema[second].dataType)[1].alias("range")))
-    names = [f"_at{n}" for n in range(len(places))]
-    placed = df.withColumns(dict(zip(names, places)))
-    cut, inside = placed, placed
-    fields = [F.col(name) for name in names[:2]]
-    for depth, name in enumerate(names[2:], start=2):
-        place, mark = F.struct(*names[:depth]), f"_crowded{depth}"
-        counts = inside.groupBy(place.alias(mark)).agg(F.count("*").alias("_n"))
-        crowded = F.broadcast(counts.where(F.col("_n") > crowded_rows).select(mark))
-        inside = placed.join(crowded, place == F.col(mark), "left_semi")
-        cut = cut.join(crowded, place == F.col(mark), "left")
-        fields.append(F.when(F.col(mark).isNotNull(), F.struct(name)).alias(name))
-    return cut.select(*df.columns, F.struct(fields[0].alias("key"), *fields[1:]).alias(CELL))
+    every = max(1, crowded_rows // SAMPLES)
+    step = max(1, crowded_rows // every)
+    taken = F.pmod(F.xxhash64(*key, *order), F.lit(every)) == 0
+    sample = df.where(taken).select(F.struct(*key).alias("_of"), F.struct(*order).alias("_at")).distinct()
+    of_key = Window.partitionBy("_of")
+    placed = sample.select(
+        "_of",
+        "_at",
+        F.row_number().over(of_key.orderBy("_at")).alias("_n"),
+        F.count("*").over(of_key).alias("_all"),
+    )
+    # Not so close to the end that the last range would be small.
+    ends = placed.where((F.col("_n") % step == 0) & (2 * (F.col("_all") - F.col("_n")) >= step))
+    ends = ends.withColumn("_thin", F.ceil(F.count("*").over(Window.partitionBy()) / RANGES))
+    ends = ends.where(F.col("_n") / step % F.col("_thin") == 0)
+    return ends.groupBy("_of").agg(F.array_sort(F.collect_list("_at")).alias("_ends"))
+
+
+def _place(value: Column, ends: Column) -> Column:
+    """How many of the sorted ends are not above a value, found by halving."""
+    powers = [1 << n for n in range(RANGES.bit_length(), -1, -1)]
+    return F.aggregate(
+        F.array(*[F.lit(power) for power in powers]),
+        F.lit(0),
+        lambda at, power: F.when(F.get(ends, at + power - 1) <= value, at + power).otherwise(at),
+    )
+
+
+def with_ranges(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], crowded_rows: int = CROWDED_ROWS
+) -> DataFrame:
+    """Rows with the number of their range, in the order of ranges; null if the key has one."""
+    ends = range_ends(df, key, order, crowded_rows)
+    joined = df.join(F.broadcast(ends), F.struct(*key) == F.col("_of"), "left")
+    place = F.when(F.col("_ends").isNotNull(), _place(F.struct(*order), F.col("_ends")))
+    return joined.select(*df.columns, place.alias(RANGE))
+
+
+def _spread(ranged: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Each range in one partition. Stated, or a key's ranges could stay where the key is."""
+    return ranged.repartition(*key, RANGE)
 
 
 def number_rows(
@@ -75,14 +85,20 @@ def number_rows(
 ) -> DataFrame:
     """Add each row's 1-based position within its key; nulls are a key and come first."""
     keys = [key] if isinstance(key, str) else list(key)
-    cut = with_cells(df, keys, order, crowded_rows)
-    window = Window.partitionBy(CELL).orderBy(*order)
-    ranked = cut.withColumn(RANK, F.row_number().over(window))
-    earlier = Window.partitionBy("_at.key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cut.groupBy(F.col(CELL).alias("_at")).agg(F.count("*").alias("_n"))
-    before = cells.select("_at", F.sum("_n").over(earlier).alias("_before")).where("_before > 0")
-    position = F.col(RANK) + F.coalesce("_before", F.lit(0))
-    return ranked.join(before, F.col(CELL) == F.col("_at"), "left").select(
+    ranged = with_ranges(df, keys, order, crowded_rows)
+    rank = F.row_number().over(Window.partitionBy(*keys, RANGE).orderBy(*order))
+    ranked = _spread(ranged, keys).withColumn("_rank", rank)
+    earlier = Window.partitionBy("_of").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        ranged.where(F.col(RANGE).isNotNull())
+        .groupBy(F.struct(*keys).alias("_of"), F.col(RANGE).alias("_part"))
+        .agg(F.count("*").alias("_n"))
+        .select("_of", "_part", F.sum("_n").over(earlier).alias("_before"))
+        .where("_before > 0")
+    )
+    position = F.col("_rank") + F.coalesce("_before", F.lit(0))
+    same = (F.col(RANGE) == F.col("_part")) & (F.struct(*keys) == F.col("_of"))
+    return ranked.join(F.broadcast(before), same, "left").select(
         *df.columns, position.cast("bigint").alias(name)
     )
 
@@ -97,18 +113,24 @@ def with_next(
 ) -> DataFrame:
     """(value, next value within the key) for every row; the last of a key has null."""
     keys = [key] if isinstance(key, str) else list(key)
-    cut = with_cells(df, keys, order, crowded_rows)
-    window = Window.partitionBy(CELL).orderBy(*order)
-    ahead = cut.select(
-        F.col(CELL),
-        F.col(value).alias(value),
-        F.lead(F.struct(value)).over(window).alias("_ahead"),
-        (F.row_number().over(window) == 1).alias("_first"),
+    ranged = with_ranges(df, keys, order, crowded_rows)
+    within = Window.partitionBy(*keys, RANGE).orderBy(*order)
+    ahead = _spread(ranged, keys).select(
+        F.struct(*keys).alias("_key"),
+        RANGE,
+        F.col(value).alias("_value"),
+        F.lead(F.struct(F.col(value).alias("_value"))).over(within).alias("_ahead"),
+    )
+    # The last row of a range goes on with the first row of the key's next range.
+    onward = Window.partitionBy("_of").orderBy("_part")
+    after = (
+        ranged.where(F.col(RANGE).isNotNull())
+        .groupBy(F.struct(*keys).alias("_of"), F.col(RANGE).alias("_part"))
+        .agg(F.min_by(F.struct(F.col(value).alias("_value")), F.struct(*order)).alias("_head"))
+        .select("_of", "_part", F.lead("_head").over(onward).alias("_after"))
+        .where("_after is not null")
     )
-    # The last row of a cell goes on with the first row of the key's next cell.
-    onward = Window.partitionBy("_at.key").orderBy("_at")
-    heads = ahead.where("_first").select(F.col(CELL).alias("_at"), F.struct(value).alias("_head"))
-    after = heads.select("_at", F.lead("_head").over(onward).alias("_after")).where("_after is not null")
-    return ahead.join(after, F.col(CELL) == F.col("_at"), "left").select(
-        value, F.coalesce("_ahead", "_after")[value].alias(name)
+    same = (F.col(RANGE) == F.col("_part")) & (F.col("_key") == F.col("_of"))
+    return ahead.join(F.broadcast(after), same, "left").select(
+        F.col("_value").alias(value), F.coalesce("_ahead", "_after")["_value"].alias(name)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clickloom.operators import ordering
 from clickloom.operators.pageflow import page_conversion, page_moves
 from clickloom.operators.sessions import action_order, session_actions
-from helpers import actions, at, rows
+from helpers import actions, at, plan, rows
 
 WHOLE, SPLIT = 10**9, 20
 
@@ -52,34 +52,58 @@ def test_steps_and_moves(spark, skewed, limit):
     assert rows(page_moves(skewed, crowded_rows=limit)) == moves
 
 
-def test_the_large_session_is_cut(spark, skewed, monkeypatch):
-    monkeypatch.setattr(ordering, "NUMBER_WIDTHS", (1 << 20, 64))
+def range_sizes(df, key, order, limit):
+    cut = ordering.with_ranges(df, key, order, limit)
+    return cut.groupBy(*key, ordering.RANGE).agg(
+        F.count("*").alias("rows"), F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high")
+    ).collect()
+
+
+def test_the_large_session_is_cut(spark, skewed):
     order = ["action_time", "action_id"]
-    for limit, least in ((WHOLE, 0.15), (SPLIT, 0.0)):
-        cut = ordering.with_cells(skewed, ["session_id"], order, limit)
-        sizes = cut.groupBy(ordering.CELL).count().agg(F.max("count"), F.sum("count")).first()
-        assert sizes[1] == 1000 and sizes[0] >= 1000 * least
-    assert sizes[0] <= 64
-    # Cells ascend in (session, order): no session goes back to an earlier cell.
+    whole = range_sizes(skewed, ["session_id"], order, WHOLE)
+    assert {r[ordering.RANGE] for r in whole} == {None} and len(whole) == 1 + 1 + 37
+    cut = range_sizes(skewed, ["session_id"], order, SPLIT)
+    assert sum(r["rows"] for r in cut) == 1000 and max(r["rows"] for r in cut) <= 2 * SPLIT
+    # Ranges follow each other in the order of the session.
     seen = {}
-    ends = cut.groupBy(ordering.CELL).agg(
-        F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high")
+    for row in sorted(cut, key=lambda r: r[ordering.RANGE] or 0):
+        assert seen.get(row["session_id"], (-1, -1)) < tuple(row["low"])
+        seen[row["session_id"]] = tuple(row["high"])
+
+
+def test_ranges_are_even_for_any_type(spark):
+    n = F.col("id")
+    df = spark.range(40_000).select(
+        F.lit(1).alias("key"),
+        F.timestamp_seconds(n % 300).alias("time"),
+        F.md5(n.cast("string")).alias("text"),
+        F.when(n % 7 > 0, n / 3).alias("number"),
+        F.struct((n % 5).alias("a"), F.md5(n.cast("string")).alias("b")).alias("both"),
+        F.array(n % 10, n).alias("list"),
     )
-    for row in ends.orderBy(ordering.CELL).collect():
-        session = row[ordering.CELL]["key"]["session_id"]
-        assert seen.get(session, (-1, -1)) < tuple(row["low"])
-        seen[session] = tuple(row["high"])
-
-
-def test_cells_of_times(spark):
-    df = actions(spark, *[{"action_time": at(3, n, n % 60), "page_id": n} for n in range(59)])
-    for kind in ("timestamp_ntz", "timestamp"):
-        typed = df.withColumn("action_time", F.col("action_time").cast(kind))
-        for limit, sizes in ((WHOLE, [59]), (30, [9] + [10] * 5), (5, [1] * 59)):
-            cut = ordering.with_cells(typed, ["session_id"], ["action_time"], limit)
-            assert sorted(r["count"] for r in cut.groupBy(ordering.CELL).count().collect()) == sizes
-        steps = session_actions(typed).select("page_id", "step").collect()
-        assert sorted(map(tuple, steps)) == [(n, n + 1) for n in range(59)]
+    for order in (["text"], ["both"], ["list"], ["time", "text"], ["number", "text"]):
+        cut = range_sizes(df, ["key"], order, 2000)
+        assert len(cut) >= 12 and max(r["rows"] for r in cut) <= 2 * 2000, order
+
+
+def test_many_ranges_are_thinned(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "RANGES", 10)
+    df = spark.range(5000).select((F.col("id") % 4).alias("key"), "id")
+    cut = range_sizes(df, ["key"], ["id"], 20)
+    assert 8 <= len(cut) <= 4 + 10
+    got = ordering.number_rows(df, "key", ["id"], "n", 20).collect()
+    assert sorted(map(tuple, got)) == sorted((n % 4, n, n // 4 + 1) for n in range(5000))
+
+
+def test_scans_of_a_plan(spark, tmp_path):
+    actions(spark, *[{"action_time": at(3, n), "page_id": n} for n in range(9)]).write.parquet(str(tmp_path / "a"))
+    df = spark.read.parquet(str(tmp_path / "a"))
+    for result in (session_actions(df), page_moves(df)):
+        assert plan(result).count("Scan parquet") <= 4
+        result.collect()
+        final = plan(result).split("Initial Plan")[0]
+        assert final.count("Scan parquet") <= 2  # rows and their sample; no key is large
 
 
 def test_copies(spark):
