@@ -39,6 +39,17 @@ def orderable(column: Column, dtype: T.DataType) -> Column:
     return F.array_sort(F.map_entries(column)) if isinstance(dtype, T.MapType) else column
 
 
+def digest_parts(column: Column, dtype: T.DataType) -> list[Column]:
+    """What to hash of a value so that different values, nulls too, have different hashes.
+
+    A hash passes over nulls, so they are told apart by a flag, and inside other types by
+    the JSON text.
+    """
+    if isinstance(dtype, (T.ArrayType, T.StructType)):
+        column = F.to_json(F.struct(column.alias("v")), {"ignoreNullFields": "false"})
+    return [column, column.isNull()]
+
+
 def differs(left: Column, right: Column, dtype: T.DataType, nan_differs: bool = False) -> Column:
     """Null equals null, null differs from a value; NaN equals NaN unless ``nan_differs``."""
     unequal = ~left.eqNullSafe(right)

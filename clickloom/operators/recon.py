@@ -1,26 +1,41 @@
 """Reconciliation of two sources by key.
 
-Rows are counted by key first, on the key columns alone. Rows of keys that neither side
-repeats are joined by key. Rows of repeated keys are numbered within their side and key,
-by the order of whole rows, and joined by key and number, so that every row of either
-side is in the result exactly once and a key with very many rows is spread by number.
-Keys are compared as structs, in which nulls are equal.
+Rows are counted and digested by key first; a digest does not depend on the order of the
+rows. What is counted by key needs no more than that. For the mismatch of each column, rows
+of keys whose digests differ are joined; the others are sifted out, by a bucket of their
+key, before any shuffle. For the table of fields, rows are numbered within their side and
+key, by the order of whole rows, and joined by key and number, so that every row of either
+side is in the result exactly once and a key with very many rows is spread. Keys are
+compared as structs, in which nulls are equal.
 """
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from clickloom.functions.compare import comparable, differs, has_inner_map, is_timestamp, orderable
-from clickloom.operators.ordering import number_rows
+from pyspark.sql import types as T
+
+from clickloom.functions.compare import (
+    comparable,
+    differs,
+    digest_parts,
+    has_inner_map,
+    is_timestamp,
+    orderable,
+)
+from clickloom.operators.ordering import CROWDED_ROWS, number_rows
 from clickloom.sources.shared import stage
 
 SIDES = ("source1", "source2")
 
+# Buckets of keys, a power of two; those with a differing key are broadcast.
+BUCKETS = 1 << 17
+
 
 def _position(df: DataFrame, name: str) -> int | None:
     """Position of a column, found as the session resolves names."""
@@ -58,94 +73,115 @@ def _check_sources(source1: DataFrame, source2: DataFrame) -> None:
             raise TypeError(f"cannot compare {one.name}: it has a map inside {one.dataType.typeName()}")
 
 
-def _rows(df: DataFrame, keys: Sequence[int], name: str) -> DataFrame:
+def _key_types(source1: DataFrame, source2: DataFrame, keys: Sequence[int]) -> list[T.DataType]:
+    """Types that both sides' key columns fit in."""
+    sides = [
+        df.toDF(*[f"c{i}" for i in range(len(df.columns))]).select(*[f"c{i}" for i in keys])
+        for df in (source1, source2)
+    ]
+    return [field.dataType for field in sides[0].unionAll(sides[1]).schema]
+
+
+def _rows(df: DataFrame, keys: Sequence[int], types: Sequence[T.DataType], name: str) -> DataFrame:
     """(key, whole row), both as structs."""
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     row = F.struct(*[orderable(F.col(f.name), f.dataType).alias(f.name) for f in plain.schema])
-    key = F.struct(*[F.col(f"c{i}").alias(f"k{n}") for n, i in enumerate(keys)])
+    key = F.struct(*[F.col(f"c{i}").cast(t).alias(f"k{n}") for n, (i, t) in enumerate(zip(keys, types))])
     return plain.select(key.alias("key"), row.alias(name))
 
 
-def _key_counts(one: DataFrame, two: DataFrame) -> DataFrame:
-    """(key, n1, n2): rows of each key on either side."""
-    sides = [
-        df.select("key", F.lit(first).cast("bigint").alias("n1"), F.lit(1 - first).cast("bigint").alias("n2"))
-        for df, first in ((one, 1), (two, 0))
-    ]
-    return sides[0].unionAll(sides[1]).groupBy("key").agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
-
-
-def _paired(one: DataFrame, two: DataFrame, counts: DataFrame) -> DataFrame:
-    """(key, number, row1, row2, n1, n2): every row of either side once."""
-    repeated = counts.where("n1 > 1 or n2 > 1")
-    keys = repeated.select("key")
-    lone = (
-        one.join(keys, "key", "left_anti")
-        .join(two.join(keys, "key", "left_anti"), "key", "full_outer")
-        .select(
-            "key",
-            F.lit(1).cast("bigint").alias("number"),
-            "row1",
-            "row2",
-            F.col("row1").isNotNull().cast("bigint").alias("n1"),
-            F.col("row2").isNotNull().cast("bigint").alias("n2"),
+def _digests(rows: DataFrame, name: str, nan_differs: bool) -> list[Column]:
+    """Two 64-bit hashes of a row. With ``nan_differs`` a NaN never equals the other side."""
+    parts = []
+    for field in rows.schema[name].dataType:
+        value = F.col(f"{name}.{field.name}")
+        parts += digest_parts(value, field.dataType)
+        if nan_differs and isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            parts.append(F.when(F.isnan(value), name))
+    return [F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)]
+
+
+def _key_counts(one: DataFrame, two: DataFrame, nan_differs: bool) -> DataFrame:
+    """(key, n1, n2, d1, e1, d2, e2): rows of each key on either side, and their digests.
+
+    A key with a null in it has no digests, so its rows never count as unequal.
+    """
+    sides, none = [], F.lit(None).cast("bigint")
+    for df, name, first in ((one, "row1", 1), (two, "row2", 0)):
+        parts = [F.col(f"key.{field.name}") for field in df.schema["key"].dataType]
+        whole = reduce(operator.and_, [part.isNotNull() for part in parts])
+        d, e = (F.when(whole, digest) for digest in _digests(df, name, nan_differs))
+        sides.append(
+            df.select(
+                "key",
+                *[F.lit(n).cast("bigint").alias(c) for n, c in ((first, "n1"), (1 - first, "n2"))],
+                *[(h if first else none).alias(c) for h, c in ((d, "d1"), (e, "e1"))],
+                *[(none if first else h).alias(c) for h, c in ((d, "d2"), (e, "e2"))],
+            )
         )
+    return sides[0].unionAll(sides[1]).groupBy("key").agg(
+        *[F.sum(c).alias(c) for c in ("n1", "n2")],
+        *[F.bit_xor(c).alias(c) for c in ("d1", "e1", "d2", "e2")],
     )
-    numbered = [
-        number_rows(df.join(keys, "key", "left_semi"), "key", [row], "number")
-        for df, row in ((one, "row1"), (two, "row2"))
-    ]
-    many = numbered[0].join(numbered[1], ["key", "number"], "full_outer").join(repeated, "key")
-    return lone.unionByName(many)
 
 
 @dataclass(frozen=True)
 class Reconciliation:
     """Lazy results of comparing two sources; each property is a DataFrame.
 
-    ``pairs`` has every row of either side once: the key, the row's number within the
-    rows of its side and key, the row of either side, and how many rows each side has for
-    the key. ``counts`` has the keys and their row counts alone. A key that a side repeats
-    counts as duplicate, not as mismatch.
+    ``rows1`` and ``rows2`` have the key and the whole row of either side; ``counts`` has
+    every key with the number and the digests of its rows on each side. A key that a side
+    repeats counts as duplicate, not as mismatch.
     """
 
-    pairs: DataFrame
+    rows1: DataFrame
+    rows2: DataFrame
     counts: DataFrame
     key: tuple[str, ...]
     columns: tuple[str, ...]
     types1: tuple
     nan_differs: bool = False
+    crowded_rows: int = CROWDED_ROWS
 
     def staged(self) -> Reconciliation:
-        """The same, with pairs and counts kept in the shared folder, for several outputs."""
-        return replace(self, pairs=stage(self.pairs, "recon"), counts=stage(self.counts, "recon"))
+        """The same, with counts and digests kept in the shared folder, for several outputs."""
+        return replace(self, counts=stage(self.counts, "recon"))
 
     @property
-    def _both(self) -> Column:
-        """One row on each side and no null in the key."""
-        both = (F.col("n1") == 1) & (F.col("n2") == 1)
-        for n in range(len(self.key)):
-            both = both & F.col(f"key.k{n}").isNotNull()
-        return both
+    def _totals(self) -> DataFrame:
+        """One row: keys that a side lacks or repeats, and mismatches of each column.
 
-    @property
-    def _side_counts(self) -> list[Column]:
+        Only rows whose key is in the bucket of an unequal key are shuffled; there are as
+        many buckets at most as are broadcast.
+        """
+        equal = F.col("d1").eqNullSafe(F.col("d2")) & F.col("e1").eqNullSafe(F.col("e2"))
+        bucket = F.xxhash64("key").bitwiseAND(F.lit(BUCKETS - 1))  # never null, so nothing is filtered
+        keys = self.counts.withColumn("unequal", (F.col("n1") == 1) & (F.col("n2") == 1) & ~equal)
+        found = keys
+        buckets = F.broadcast(keys.where("unequal").select(bucket.alias("bucket")).distinct())
+        for rows in (self.rows1, self.rows2):
+            of_bucket = rows.join(buckets, bucket == F.col("bucket"), "left_semi")
+            theirs = of_bucket.withColumnRenamed("key", "of")
+            found = found.join(theirs, F.col("unequal") & (F.col("key") == F.col("of")), "left").drop("of")
         tests = {
             "missing_from_src1": F.col("n1") == 0,
             "missing_from_src2": F.col("n2") == 0,
             "duplicate_keys_src1": F.col("n1") > 1,
             "duplicate_keys_src2": F.col("n2") > 1,
         }
-        once = F.col("number") == 1  # every key has a first row, on one side at least
-        return [F.count_if(once & test).alias(name) for name, test in tests.items()]
+        for i, dtype in enumerate(self.types1):
+            differing = differs(F.col(f"row1.c{i}"), F.col(f"row2.c{i}"), dtype, self.nan_differs)
+            tests[f"m{i}"] = F.col("unequal") & differing
+        return found.agg(*[F.count_if(test).alias(name) for name, test in tests.items()])
 
     @property
-    def _mismatch_counts(self) -> list[Column]:
-        counts = []
-        for i, dtype in enumerate(self.types1):
-            unequal = differs(F.col(f"row1.c{i}"), F.col(f"row2.c{i}"), dtype, self.nan_differs)
-            counts.append(F.count_if(self._both & unequal).alias(f"m{i}"))
-        return counts
+    def pairs(self) -> DataFrame:
+        """(key, number, row1, row2): every row of either side once, with its number there."""
+        one, two = (
+            number_rows(df, "key", [row], "number", self.crowded_rows)
+            for df, row in ((self.rows1, "row1"), (self.rows2, "row2"))
+        )
+        return one.join(two, ["key", "number"], "full_outer")
 
     def _by_column(self, totals: DataFrame, *others: str) -> DataFrame:
         cells = [
@@ -190,14 +226,13 @@ class Reconciliation:
     @property
     def mismatch(self) -> DataFrame:
         """(column_name, mismatch): keys on both sides whose values differ."""
-        return self._by_column(self.pairs.agg(*self._mismatch_counts))
+        return self._by_column(self._totals)
 
     @property
     def audit(self) -> DataFrame:
         """Mismatch per column beside the missing and duplicate key counts, in one pass."""
-        totals = self.pairs.agg(*self._mismatch_counts, *self._side_counts)
         return self._by_column(
-            totals,
+            self._totals,
             "missing_from_src1",
             "missing_from_src2",
             "duplicate_keys_src1",
@@ -216,12 +251,13 @@ def reconcile(
     names = [key] if isinstance(key, str) else list(key)
     _check_sources(source1, source2)
     positions = _key_positions(source1, source2, names)
-    one, two = _rows(source1, positions, "row1"), _rows(source2, positions, "row2")
-    counts = _key_counts(one, two)
+    types = _key_types(source1, source2, positions)
+    one, two = (_rows(df, positions, types, row) for df, row in ((source1, "row1"), (source2, "row2")))
     columns = source1.columns
     return Reconciliation(
-        pairs=_paired(one, two, counts),
-        counts=counts,
+        rows1=one,
+        rows2=two,
+        counts=_key_counts(one, two, nan_differs),
         key=tuple(columns[i] for i in positions),
         columns=tuple(columns),
         types1=tuple(f.dataType for f in source1.schema),

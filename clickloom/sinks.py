@@ -69,7 +69,7 @@ def write_report(reports: Mapping[str, Reconciliation], path: str) -> None:
     spark = None
     for name, result in reports.items():
         staged = result.staged()
-        spark = staged.pairs.sparkSession
+        spark = staged.counts.sparkSession
         for table in REPORT:
             getattr(staged, table).write.mode("overwrite").parquet(f"{path}/{table}/dataset={name}")
     if spark:

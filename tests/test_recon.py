@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import datetime
+from dataclasses import replace
 
 import pytest
 from helpers import plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from clickloom.operators.ordering import with_ranges
 from clickloom.operators.recon import duplicate_keys, reconcile
 from clickloom.plans.reconciliation import reconcile_datasets
 from clickloom.sinks import read_audit, write_report
@@ -134,6 +137,60 @@ def test_plans(spark):
     assert text.count("Exchange") == 1 and "Join" not in text
 
 
+def test_values_that_hash_alike_differ(spark):
+    schema = "a bigint, b bigint, c bigint, d array<int>, e array<string>, f struct<x:int,y:int>"
+    same = (1, [1], ["x"], (1, 1))
+    one, two = pair(
+        spark,
+        [(1, None, *same), (2, 5, 1, [None, 1], ["x"], (1, 1)), (3, 5, 1, [1], [None], (1, 1)),
+         (4, 5, 1, [1], ["x"], (None, 1)), (5, None, None, None, None, None)],
+        [(1, 1, None, *same[1:]), (2, 5, 1, [1, None], ["x"], (1, 1)), (3, 5, 1, [1], ["null"], (1, 1)),
+         (4, 5, 1, [1], ["x"], (1, None)), (5, None, None, None, None, None)],
+        schema,
+    )
+    assert mismatches(reconcile(one, two, "a")) == {"a": 0, "b": 1, "c": 1, "d": 1, "e": 1, "f": 1}
+
+
+def test_keys_and_values_of_different_widths(spark):
+    one = spark.createDataFrame([(1, 2, 0.0), (3, 4, 1.0)], "a int, b int, c double")
+    two = spark.createDataFrame([(1, 2, -0.0), (3, 5, 1.0), (5, 6, 1.0)], "a bigint, b bigint, c float")
+    for x, y, lacking in ((one, two, (1, 0)), (two, one, (0, 1))):
+        found = rows(reconcile(x, y, "a").audit)
+        assert [r[1] for r in found] == [0, 1, 0] and found[0][2:4] == lacking
+
+
+def test_equal_rows_are_not_joined(spark, tmp_path):
+    df = spark.range(2000).selectExpr("id as a", "id % 7 as b", "cast(id as string) as c")
+    df.write.parquet(str(tmp_path / "one"))
+    df.selectExpr("a", "if(a = 77, -1, b) as b", "c").write.parquet(str(tmp_path / "two"))
+    one, two = (spark.read.parquet(str(tmp_path / name)) for name in ("one", "two"))
+    for other, differing in ((one, 0), (two, 1)):
+        audit = reconcile(one, other, "a").audit
+        assert rows(audit) == [("a", 0, 0, 0, 0, 0), ("b", differing, 0, 0, 0, 0), ("c", 0, 0, 0, 0, 0)]
+        final = plan(audit).split("Initial Plan")[0]
+        # Counts and digests of both, then, if a key differs, the rows of both.
+        assert final.count("Scan parquet") <= (4 if differing else 2)
+    metrics = reconcile(one, two, "a")
+    buckets = metrics.counts.where("not (d1 <=> d2 and e1 <=> e2)").count()
+    assert buckets == 1
+
+
+def test_large_repeated_keys_are_spread(spark):
+    n = 3000
+    one = spark.range(n).selectExpr("if(id % 3 < 2, 0, id) as a", "md5(string(id)) as b")
+    two = spark.range(n).selectExpr("if(id % 3 < 2, 0, id) as a", "md5(string(id * 2)) as b")
+    result = replace(reconcile(one, two, "a"), crowded_rows=100)
+    fields = [tuple(r) for r in result.field_to_field.collect()]
+    assert len(fields) == n
+    for place, df in ((0, one), (1, two)):
+        assert sorted(f[place::2] for f in fields) == sorted(map(tuple, df.collect()))
+    hot = sorted((f[2], f[3]) for f in fields if f[0] == 0)
+    assert hot == list(zip(sorted(h[0] for h in hot), sorted(h[1] for h in hot)))
+    cut = with_ranges(result.rows1, ["key"], ["row1"], 100)
+    sizes = cut.groupBy("key", "_range").count().agg(F.max("count")).first()[0]
+    assert sizes <= 200
+
+
 def test_configured_datasets_and_report(spark, tmp_path):
     spark.range(10).selectExpr("id as user_id", "id % 3 as v").createOrReplaceTempView("recon_users")
     config = {
