@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from clickloom.catalog.queries import (
+    CHUNK_TERMS,
     DAY,
     FULL_FILTER,
     LARGE_SAMPLE,
@@ -289,6 +290,30 @@ CLICKS_BY_DAY = """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') A
 FROM events WHERE event_type = 'click'"""
 
 
+def _report_rows() -> str:
+    """Rows of the report tables but the audit, and the same with the sides exchanged."""
+
+    def text(*columns: str) -> str:
+        return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+
+    parts = []
+    for dataset, one, two in (("orders", 1, 2), ("swapped", 2, 1)):
+        missing = text(f"CASE WHEN n{one} = 0 THEN 'source1' ELSE 'source2' END", "o_orderkey")
+        sides = [f"{c}_source{n}" for c in ("o_orderkey", "o_orderstatus", "o_orderdate") for n in (one, two)]
+        parts += [
+            f"""SELECT '{dataset}' AS dataset, 'missing_keys' AS report, {missing} AS row
+  FROM sizes WHERE n1 = 0 OR n2 = 0""",
+            f"""SELECT '{dataset}', 'duplicate_keys', {text('o_orderkey', f'n{one}', f'n{two}')}
+  FROM sizes WHERE n1 > 1 OR n2 > 1""",
+            f"SELECT '{dataset}', 'field_to_field', {text(*sides)} FROM fields",
+        ]
+    return f"""{_with(ORDERS_FIELDS)},
+sizes AS (
+  SELECT o_orderkey, count(*) FILTER (side = 1) AS n1, count(*) FILTER (side = 2) AS n2
+  FROM (SELECT 1 AS side, o_orderkey FROM s1 UNION ALL SELECT 2, o_orderkey FROM s2) GROUP BY 1)
+""" + "\nUNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     counts = f"{_with(_actions(), CATEGORY_EVENTS)}SELECT category_id, {CATEGORY_SUMS}"
     recon = _with(ORDERS_PAIRS)
@@ -319,6 +344,17 @@ SELECT session_id, 'click_categories', CAST(click_category_id AS VARCHAR),
 FROM actions WHERE click_category_id <> -1 GROUP BY session_id, click_category_id""",
         "session_keywords": f"{_with(_actions(), TERMS)}SELECT * FROM keyword_lists",
         "session_categories": f"{_with(_actions(), TERMS)}SELECT * FROM category_lists",
+        "session_term_chunks": f"""{_with(_actions(MIXED_KEY))},
+used AS (
+  SELECT session_id, 'search_keywords' AS list, search_keyword AS term,
+    min(row(action_time, action_id)) AS used FROM actions WHERE search_keyword <> '' GROUP BY ALL
+  UNION ALL
+  SELECT session_id, 'click_categories', CAST(click_category_id AS VARCHAR),
+    min(row(action_time, action_id)) FROM actions WHERE click_category_id <> -1 GROUP BY ALL),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY session_id, list ORDER BY used, term) - 1 AS place FROM used)
+SELECT session_id, list, place // {CHUNK_TERMS} AS chunk, count(*) AS n_terms,
+  string_agg(term, ',' ORDER BY place) AS terms FROM placed GROUP BY 1, 2, 3""",
         "session_user_join": f"""{_with(_actions(), USERS, SUMMARY, JOINED)}
 SELECT {SESSION_COLUMNS}, {USER_COLUMNS} FROM joined""",
         "session_filter_age": f"{_filtered()}SELECT {SESSION_COLUMNS}, {USER_COLUMNS} FROM filtered",
@@ -332,6 +368,7 @@ FROM filtered LEFT JOIN keyword_lists USING (session_id)
         "session_totals": f"""{_filtered()}
 SELECT count(*) AS sum_visit, count(*) AS sum_step FROM filtered""",
         "session_counters": _counters(),
+        "session_info_counters": _counters(),
         "visit_histogram": f"""{_filtered()}SELECT {_bucket(VISIT, 'visit_length')} AS bucket,
   count(*) AS sessions FROM filtered GROUP BY 1""",
         "step_histogram": f"""{_filtered(MIXED_KEY)}SELECT {_bucket(STEP, 'step_length')} AS bucket,
@@ -401,6 +438,10 @@ FROM summary""",
         "sink_append": f"""{_ratio(VISIT, "visit_length", DAY_KEY)}
 UNION ALL SELECT * REPLACE ('task-2' AS task_id)
   FROM ({_ratio(VISIT, "visit_length", DAY_KEY)})""",
+        "sink_ratio_text": f"""{_ratio(VISIT, "visit_length", DAY_KEY)}
+UNION ALL SELECT * REPLACE ('task-2' AS task_id)
+  FROM ({_ratio(VISIT, "visit_length", DAY_KEY)})""",
+        "sink_report_rows": _report_rows(),
         "sink_report": f"""{_with(ORDERS_PAIRS, MISMATCHES)}
 SELECT *, 'orders' AS dataset FROM ({AUDIT})
 UNION ALL SELECT column_name, mismatch, missing_from_src2, missing_from_src1,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +23,20 @@ from clickloom.operators import (
 )
 from clickloom.plans.mock_load import load_tables
 from clickloom.plans.reconciliation import reconcile_dataset, reconcile_datasets
-from clickloom.plans.session_analysis import session_full_info
+from clickloom.plans.session_analysis import counted_full_info, session_full_info
 from clickloom.session_filter import SessionFilter
-from clickloom.sinks import append_result, read_audit, replace_table, write_report
+from clickloom.sinks import (
+    append_result,
+    append_result_text,
+    read_audit,
+    read_files,
+    read_report,
+    replace_table,
+    write_report,
+)
 from clickloom.sources import generator, warehouse
 from clickloom.sources.shared import fresh_folder
-from clickloom.sources.tables import ACTION_TABLE, PRODUCT_TABLE, USER_TABLE, fetch
+from clickloom.sources.tables import ACTION_TABLE, PRODUCT_TABLE, USER_TABLE, fetch, read_ratio_text
 from clickloom.streaming import traffic
 
 TASK_ID = "task-1"
@@ -35,6 +44,7 @@ BACKLOG_FILES, BACKLOG_BATCH = 8, 3
 SEED = 7
 DAY = "2024-01-01"
 LARGE_SAMPLE = 1500
+CHUNK_TERMS = 3
 
 # Events that the actions of a kind are made of.
 SEARCHES, CLICKS = ("view",), ("click",)
@@ -143,6 +153,12 @@ def session_categories(spark: SparkSession, folder: str) -> DataFrame:
     return sessions.session_term_lists(_actions(spark, folder, kinds=CLICKS), "click_categories")
 
 
+def session_term_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Lists of long sessions, a few terms a row."""
+    actions = _actions(spark, folder, "mixed", SEARCHES + CLICKS)
+    return sessions.session_term_chunks(actions, size=CHUNK_TERMS)
+
+
 def session_user_join(spark: SparkSession, folder: str) -> DataFrame:
     summary = sessions.session_summary(_actions(spark, folder))
     return _stored_text(sessions.join_users(summary, _users(spark, folder)))
@@ -169,6 +185,13 @@ def session_counters(spark: SparkSession, folder: str) -> DataFrame:
     return distribution.session_counters(_filtered(spark, folder))
 
 
+def session_info_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters that fall off while the full info is written."""
+    info, observation = counted_full_info(_actions(spark, folder), _users(spark, folder))
+    info.write.format("noop").mode("overwrite").save()
+    return distribution.observed_counters(spark, observation)
+
+
 def visit_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return distribution.histogram(_filtered(spark, folder), VISIT)
 
@@ -360,13 +383,21 @@ def _own_table(spark: SparkSession, purpose: str) -> tuple[str, str]:
     return path.rsplit("/", 1)[1].replace("-", "_"), f"{path}/table"
 
 
+def _stored(spark: SparkSession, name: str) -> DataFrame:
+    """Rows of a table from its files; the table itself leaves the catalog."""
+    stored = read_files(spark, name)
+    spark.sql(f"drop table {name}")
+    return stored
+
+
 def sink_replace(spark: SparkSession, folder: str) -> DataFrame:
-    """Users stored twice; the second time replaces the first."""
+    """Users stored three times; each time replaces the one before, once with other columns."""
     name, path = _own_table(spark, "replace")
     users = _users(spark, folder)
-    replace_table(users.where("age < 30"), name, path=path)
+    replace_table(users.where("age < 30").drop("city"), name, path=path)
+    replace_table(users.where("age < 40"), name, path=path)
     replace_table(users, name, "sex", path)
-    return spark.table(name).select(*users.columns)
+    return _stored(spark, name).select(*users.columns)
 
 
 def sink_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -375,11 +406,20 @@ def sink_append(spark: SparkSession, folder: str) -> DataFrame:
     passing = _filtered(spark, folder)
     for task in (TASK_ID, "task-2", TASK_ID):
         append_result(distribution.visit_length_ratio(passing, task), name, path)
-    return spark.table(name)
+    return _stored(spark, name)
 
 
-def sink_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Audits of two datasets from the stored report."""
+def sink_ratio_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in the text layout of the recorded results, read back."""
+    path = fresh_folder(spark, "ratio-text")
+    passing = _filtered(spark, folder)
+    for task in (TASK_ID, "task-2", TASK_ID):
+        append_result_text(distribution.visit_length_ratio(passing, task), path)
+    return read_ratio_text(spark, path, VISIT.ratio_columns())
+
+
+def _report(spark: SparkSession, folder: str) -> str:
+    """Folder of a report on two datasets."""
     swapped = {
         "source1_sql": ORDERS_DATASET["source2_sql"],
         "source2_sql": ORDERS_DATASET["source1_sql"],
@@ -389,7 +429,33 @@ def sink_report(spark: SparkSession, folder: str) -> DataFrame:
     datasets = {"orders": ORDERS_DATASET, "swapped": swapped}
     path = fresh_folder(spark, "report")
     write_report(reconcile_datasets(spark, {"datasets": datasets}, orders=orders), path)
-    return read_audit(spark, path)
+    return path
+
+
+def sink_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Audits of two datasets from the stored report."""
+    return read_audit(spark, _report(spark, folder))
+
+
+def sink_report_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """All other tables of the stored report, their rows as text."""
+    path = _report(spark, folder)
+    key, sides = "o_orderkey", recon.SIDES
+    columns = {
+        "missing_keys": ["missing_from", key],
+        "duplicate_keys": [key, *[f"rows_{side}" for side in sides]],
+        "field_to_field": [f"{c}_{side}" for c in (key, "o_orderstatus", "o_orderdate") for side in sides],
+    }
+    parts = [
+        read_report(spark, path, table, dataset).select(
+            F.lit(dataset).alias("dataset"),
+            F.lit(table).alias("report"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in names]).alias("row"),
+        )
+        for dataset in ("orders", "swapped")
+        for table, names in columns.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def load_generated(spark: SparkSession, folder: str) -> DataFrame:
@@ -403,10 +469,10 @@ def load_generated(spark: SparkSession, folder: str) -> DataFrame:
     prefix = path.rsplit("/", 1)[1].replace("-", "_") + "_"
     load_tables(generated, path, prefix)
     counts = [
-        spark.table(prefix + name).agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
+        _stored(spark, prefix + name).agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
         for name in generated
     ]
-    return counts[0].unionAll(counts[1]).unionAll(counts[2])
+    return reduce(DataFrame.unionAll, counts)
 
 
 def gen_today(spark: SparkSession, folder: str) -> DataFrame:
@@ -431,11 +497,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         session_terms,
         session_keywords,
         session_categories,
+        session_term_chunks,
         session_user_join,
         session_filter_age,
         session_filter_full,
         session_totals,
         session_counters,
+        session_info_counters,
         visit_histogram,
         step_histogram,
         visit_length_ratio,
@@ -467,7 +535,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         counters_decoded,
         sink_replace,
         sink_append,
+        sink_ratio_text,
         sink_report,
+        sink_report_rows,
         load_generated,
         gen_today,
     ]

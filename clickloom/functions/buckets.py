@@ -35,6 +35,17 @@ class Buckets:
             label = F.when(value <= 0, F.lit(f"{self.prefix}_{self.top}_0")).otherwise(label)
         return label
 
+    def tests(self, value: Column, compat_zero_bucket: bool = False) -> dict[str, Column]:
+        """For every label the condition that a length has it."""
+        bounds = [(hi - self.width, hi) for hi in range(self.width, self.top + 1, self.width)]
+        found = {
+            f"{self.prefix}_{lo}_{hi}": self.contains(value, lo, hi, compat_zero_bucket) for lo, hi in bounds
+        }
+        found[self.overflow] = value > self.top
+        if compat_zero_bucket:
+            found[f"{self.prefix}_{self.top}_0"] = value <= 0
+        return found
+
     def ratio_bounds(self) -> list[tuple[int, int]]:
         return [(hi - self.width, hi) for hi in range(self.width, self.ratio_top + 1, self.width)]
 

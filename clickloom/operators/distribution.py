@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.buckets import STEP, VISIT, Buckets
@@ -40,6 +40,29 @@ def session_counters(sessions: DataFrame, *, compat_zero_bucket: bool = False) -
     return counters.groupBy("counter").agg(F.sum("count").alias("sessions"))
 
 
+def observe_counters(
+    sessions: DataFrame, *, compat_zero_bucket: bool = False
+) -> tuple[DataFrame, Observation]:
+    """The same sessions, and an observation of all their counters.
+
+    Whatever action runs on the sessions fills the observation on the way, so counting
+    costs no pass of its own. Work that is repeated in the last stage counts once; so use
+    the sessions as they are, a shuffle behind them could repeat the stage that counts.
+    """
+    observation = Observation()
+    tests = {}
+    for buckets, length in _LENGTHS.items():
+        tests |= buckets.tests(F.col(length), compat_zero_bucket)
+    totals = [F.count("*").alias(name) for name in ("sum_visit", "sum_step")]
+    return sessions.observe(observation, *totals, *[F.count_if(t).alias(n) for n, t in tests.items()]), observation
+
+
+def observed_counters(spark: SparkSession, observation: Observation) -> DataFrame:
+    """(counter, sessions) as ``session_counters`` gives them; waits for the first action."""
+    found = [(name, count) for name, count in observation.get.items() if count]
+    return spark.createDataFrame(found, "counter string, sessions bigint")
+
+
 def counters_json(counters: DataFrame) -> DataFrame:
     """All counters as one JSON text with sorted names; there are at most 70."""
     entries = F.collect_list(F.struct("counter", "sessions"))

@@ -17,6 +17,9 @@ from clickloom.session_filter import SessionFilter, parse_list
 # List columns of a session and the action column each is made of.
 TERM_LISTS = {"search_keywords": "search_keyword", "click_categories": "click_category_id"}
 
+# Terms of a chunk of a list.
+CHUNK_TERMS = 10_000
+
 
 def has_search() -> Column:
     return F.col("search_keyword").isNotNull()
@@ -170,6 +173,24 @@ def session_term_lists(
     )
 
 
+def session_term_chunks(
+    actions: DataFrame, *lists: str, size: int = CHUNK_TERMS, crowded_rows: int = CROWDED_ROWS
+) -> DataFrame:
+    """Lists of ``session_term_lists`` in chunks of ``size`` terms, numbered from 0.
+
+    One row per (session, list, chunk), so no cell grows with the session, and a session
+    with very many terms is numbered by several tasks. Chunks joined in order are the list.
+    """
+    numbered = number_rows(
+        _terms(actions, *lists), ["session_id", "list"], ["first_use", "term"], "place", crowded_rows
+    )
+    chunk = F.floor((F.col("place") - 1) / size).alias("chunk")
+    in_order = F.array_sort(F.collect_list(F.struct("place", "term")))
+    return numbered.groupBy("session_id", "list", chunk).agg(
+        F.count("*").alias("n_terms"), join_values(in_order["term"]).alias("terms")
+    )
+
+
 def with_term_lists(sessions: DataFrame, actions: DataFrame) -> DataFrame:
     """Add both lists to session rows; a session without a term gets an empty list.
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import format_action_time
+from clickloom.operators.distribution import observe_counters
 from clickloom.operators.sessions import filtered_sessions, with_term_lists
 from clickloom.session_filter import SessionFilter
 
@@ -40,4 +41,20 @@ def session_full_info(
     return full.withColumn("start_time", format_action_time(F.col("start_time"))).select(*FULL_INFO)
 
 
-__all__ = ["FULL_INFO", "filtered_sessions", "session_full_info"]
+def counted_full_info(
+    actions: DataFrame,
+    users: DataFrame,
+    params: SessionFilter | None = None,
+    *,
+    wrap_day: bool = False,
+    compat_zero_bucket: bool = False,
+) -> tuple[DataFrame, Observation]:
+    """``session_full_info``, and an observation that its first action fills with all counters.
+
+    ``distribution.observed_counters`` reads it: totals and both histograms.
+    """
+    info = session_full_info(actions, users, params, wrap_day=wrap_day)
+    return observe_counters(info, compat_zero_bucket=compat_zero_bucket)
+
+
+__all__ = ["FULL_INFO", "counted_full_info", "filtered_sessions", "session_full_info"]

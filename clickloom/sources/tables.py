@@ -43,5 +43,9 @@ def fetch(
 
 
 def read_ratio_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Ratio rows kept in the Hive default text layout (fields parted by ``\\x01``)."""
-    return spark.read.schema(ratio_schema(columns)).option("sep", "\u0001").csv(path)
+    """Ratio rows kept in the Hive default text layout (fields parted by ``\\x01``).
+
+    Files may lie in the folder or in folders of tasks below it.
+    """
+    reader = spark.read.schema(ratio_schema(columns)).option("recursiveFileLookup", "true")
+    return reader.option("sep", "\u0001").option("nullValue", "\\N").option("quote", "").csv(path)

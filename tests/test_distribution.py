@@ -1,6 +1,10 @@
 from __future__ import annotations
 
 import json
+import pathlib
+import subprocess
+import sys
+import textwrap
 
 import pytest
 from helpers import rows
@@ -67,3 +71,45 @@ def test_counters_agree_with_histograms(spark):
     parsed = json.loads(text)
     assert list(parsed) == sorted(parsed)
     assert parsed == {**counters, "sum_visit": 4, "sum_step": 4}
+
+
+@pytest.mark.parametrize("compat", [False, True])
+def test_counters_are_observed_on_the_way(spark, compat):
+    data = [(0, 1), (10, 6), (301, 6), (7200, 200), (7201, 201), (8000, 500)]
+    df = spark.createDataFrame(data, "visit_length bigint, step_length bigint")
+    for rows_in in (df, df.limit(0)):
+        seen, observation = distribution.observe_counters(rows_in, compat_zero_bucket=compat)
+        assert rows(seen) == rows(rows_in)
+        counters = distribution.session_counters(rows_in, compat_zero_bucket=compat)
+        assert rows(distribution.observed_counters(spark, observation)) == rows(counters)
+
+
+def test_repeated_tasks_are_counted_once(tmp_path):
+    """Every task of the last stage fails at first, after it has passed its rows."""
+    script = f"""
+        import sys
+        sys.path.insert(0, {str(pathlib.Path(distribution.__file__).parents[2])!r})
+        from pyspark import TaskContext
+        from pyspark.sql import SparkSession
+        from clickloom.operators import distribution
+
+        spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("OFF")
+        df = spark.range(100, numPartitions=4).selectExpr("id as visit_length", "id as step_length")
+        seen, observation = distribution.observe_counters(df)
+
+        def fail_at_first(batches):
+            for batch in batches:
+                yield batch
+            if TaskContext.get().attemptNumber() == 0:
+                raise RuntimeError("lost")
+
+        seen.mapInArrow(fail_at_first, seen.schema).write.format("noop").mode("overwrite").save()
+        found = dict(map(tuple, distribution.observed_counters(spark, observation).collect()))
+        assert found == dict(map(tuple, distribution.session_counters(df).collect())), found
+        print("counted", found["sum_visit"])
+    """
+    path = tmp_path / "script.py"
+    path.write_text(textwrap.dedent(script))
+    done = subprocess.run([sys.executable, str(path)], capture_output=True, text=True, timeout=120)
+    assert "counted 100" in done.stdout, done.stderr[-2000:]

@@ -258,3 +258,22 @@ def test_stored_actions_are_typed(spark):
     stored = spark.createDataFrame([("2021-01-27", "2021-01-27 4:34:30")], schema)
     row = typed_actions(stored).first()
     assert (str(row["date"]), row["action_time"]) == ("2021-01-27", at(4, 34, 30))
+
+
+def test_chunks_join_to_the_lists(spark):
+    data = [(f"s{n % 3}", at(3, n % 60), n, f"k{n % 17}", -1) for n in range(90)]
+    data += [("crawler", at(4), n, None, n % 500) for n in range(1500)]
+    schema = "session_id string, action_time timestamp_ntz, action_id bigint, search_keyword string, "
+    schema += "click_category_id bigint"
+    df = spark.createDataFrame(data, schema)
+    lists = {r.session_id: (r.search_keywords, r.click_categories) for r in sessions.session_term_lists(df).collect()}
+    for size, crowded in ((7, 10**9), (7, 30), (10_000, 10**9)):
+        chunks = sessions.session_term_chunks(df, size=size, crowded_rows=crowded).collect()
+        assert max(r.n_terms for r in chunks) <= size
+        joined = {}
+        for row in sorted(chunks, key=lambda r: (r.session_id, r.list, r.chunk)):
+            assert row.chunk == len(joined.setdefault((row.session_id, row.list), []))
+            joined[row.session_id, row.list].append(row.terms)
+        for session, (keywords, categories) in lists.items():
+            assert ",".join(joined.get((session, "search_keywords"), [""])) == keywords
+            assert ",".join(joined.get((session, "click_categories"), [""])) == categories
