@@ -330,6 +330,11 @@ LEFT JOIN events e ON e.event_type = k.event_type GROUP BY k.kind""",
         "session_actions": f"""{_with(_actions())}SELECT session_id,
   row_number() OVER (PARTITION BY session_id ORDER BY action_time, action_id) AS step,
   {_time('action_time')} AS action_time, action_id, page_id FROM actions""",
+        "session_store_steps": f"""{_with(_actions())}SELECT session_id,
+  row_number() OVER (PARTITION BY session_id ORDER BY action_time, action_id) AS step,
+  {_time('action_time')} AS action_time, action_id, page_id FROM actions""",
+        "session_store_summary": f"""{_with(_actions(), SUMMARY, TERMS)}
+SELECT {SESSION_COLUMNS}, search_keywords FROM summary LEFT JOIN keyword_lists USING (session_id)""",
         "session_summary": f"{_with(_actions(), SUMMARY)}SELECT {SESSION_COLUMNS} FROM summary",
         "session_user_check": f"""{_with(_actions())}
 SELECT count(*) AS sessions, count(*) FILTER (WHERE users > 1) AS mixed_user_sessions

@@ -34,7 +34,7 @@ from clickloom.sinks import (
     replace_table,
     write_report,
 )
-from clickloom.sources import generator, warehouse
+from clickloom.sources import generator, layout, warehouse
 from clickloom.sources.shared import fresh_folder
 from clickloom.sources.tables import ACTION_TABLE, PRODUCT_TABLE, USER_TABLE, fetch, read_ratio_text
 from clickloom.streaming import traffic
@@ -45,6 +45,7 @@ SEED = 7
 DAY = "2024-01-01"
 LARGE_SAMPLE = 1500
 CHUNK_TERMS = 3
+STORE_BUCKETS, STORE_LARGE = 8, 5
 
 # Events that the actions of a kind are made of.
 SEARCHES, CLICKS = ("view",), ("click",)
@@ -132,6 +133,25 @@ def session_actions(spark: SparkSession, folder: str) -> DataFrame:
     return _stored_text(steps.select("session_id", "step", "action_time", "action_id", "page_id"))
 
 
+def _session_store(spark: SparkSession, folder: str) -> layout.SessionStore:
+    """Actions stored by session; those with several actions a day count as large here."""
+    name, path = _own_table(spark, "sessions")
+    layout.store_by_session(_actions(spark, folder), name, STORE_BUCKETS, STORE_LARGE, path)
+    return layout.read_by_session(spark, name)
+
+
+def session_store_steps(spark: SparkSession, folder: str) -> DataFrame:
+    steps = _session_store(spark, folder).steps()
+    return _stored_text(steps.select("session_id", "step", "action_time", "action_id", "page_id"))
+
+
+def session_store_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Summaries with keyword lists from stored actions."""
+    store = _session_store(spark, folder)
+    lists = store.term_lists("search_keywords")
+    return _stored_text(store.summary().join(lists, "session_id", "left"))
+
+
 def session_summary(spark: SparkSession, folder: str) -> DataFrame:
     return _stored_text(sessions.session_summary(_actions(spark, folder)))
 
@@ -492,6 +512,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sql_source,
         action_kinds,
         session_actions,
+        session_store_steps,
+        session_store_summary,
         session_summary,
         session_user_check,
         session_terms,

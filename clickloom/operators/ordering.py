@@ -103,6 +103,12 @@ def number_rows(
     )
 
 
+def number_in_place(df: DataFrame, key: str, order: Sequence[str], name: str) -> DataFrame:
+    """As ``number_rows``, for rows whose keys each lie in one partition and are not large."""
+    position = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return df.withColumn(name, position.cast("bigint"))
+
+
 def with_next(
     df: DataFrame,
     key: str | Sequence[str],

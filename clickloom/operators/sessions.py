@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.text import join_values
 from clickloom.functions.times import elapsed_seconds, use_order
-from clickloom.operators.ordering import CROWDED_ROWS, number_rows
+from clickloom.operators.ordering import CROWDED_ROWS, number_in_place, number_rows
 from clickloom.session_filter import SessionFilter, parse_list
 
 # List columns of a session and the action column each is made of.
@@ -61,8 +61,15 @@ def action_order(actions: DataFrame) -> list[str]:
     return ["action_time", *rest]
 
 
-def session_actions(actions: DataFrame, crowded_rows: int = CROWDED_ROWS) -> DataFrame:
-    """Every action with its step number within the session."""
+def session_actions(
+    actions: DataFrame, crowded_rows: int = CROWDED_ROWS, *, in_place: bool = False
+) -> DataFrame:
+    """Every action with its step number within the session.
+
+    ``in_place`` is for actions stored by session, without large ones: no row moves.
+    """
+    if in_place:
+        return number_in_place(actions, "session_id", action_order(actions), "step")
     return number_rows(actions, "session_id", action_order(actions), "step", crowded_rows)
 
 

@@ -44,7 +44,7 @@ def no_broadcast(spark):
 @needs_data
 def test_no_python_in_any_query(spark):
     for name, query in registered.queries().items():
-        if not name.startswith(("sink_", "load_", "ad_click_", "session_info_")):  # these run jobs
+        if not name.startswith(("sink_", "load_", "ad_click_", "session_info_", "session_store_")):  # these run jobs
             text = plan(query(spark, DATA))
             assert "Python" not in text and "Pandas" not in text, name
             assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
