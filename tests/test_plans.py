@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import re
+import time
+from types import SimpleNamespace
 
 import pytest
 from helpers import plan
@@ -16,7 +19,7 @@ from clickloom.operators.sampling import pick_sessions
 from clickloom.operators.sessions import filtered_sessions, join_users, session_summary
 from clickloom.plans.session_analysis import session_full_info
 from clickloom.schemas import ACTIONS, PRODUCTS, USERS
-from clickloom.sources.shared import shared_folder
+from clickloom.sources.shared import discard, shared_folder, stage
 
 DATA = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
@@ -139,12 +142,43 @@ def test_hot_session_is_counted_before_the_join(spark, tables, no_broadcast):
 class NoSetting:
     """A session without a shared folder of its own."""
 
-    class conf:
-        @staticmethod
-        def get(name, default=None):
-            return {"spark.sql.warehouse.dir": "file:/warehouse"}.get(name, default)
+    def __init__(self, warehouse, master):
+        self.conf = {"spark.sql.warehouse.dir": warehouse}
+        self.sparkContext = SimpleNamespace(master=master)
 
 
 def test_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert shared_folder(NoSetting) == "file:/warehouse/_stages"
+    assert shared_folder(NoSetting("file:/warehouse", "local[4]")) == "file:/warehouse/_stages"
+    assert shared_folder(NoSetting("hdfs://a/warehouse/", "yarn")) == "hdfs://a/warehouse/_stages"
+    for warehouse in ("file:/warehouse", "/warehouse"):
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            shared_folder(NoSetting(warehouse, "spark://host:7077"))
+
+
+def test_staged_rows(spark):
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    staged = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "test")
+    assert spark.conf.get(setting) == before
+    assert sorted(map(tuple, staged.collect())) == [(k, 143 if k < 6 else 142) for k in range(7)]
+    assert list(folder.glob("test-*/part-*"))
+    discard(staged)
+    assert not list(folder.glob("test-*"))
+
+
+def test_shuffles_of_staged_rows_go(spark):
+    """Files of a shuffle are gone once its result is written."""
+    local = pathlib.Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+                         .localDirs()[0].getPath()).parent
+
+    def shuffles():
+        return {f.name for f in local.rglob("shuffle_*.data")}
+
+    known = shuffles()
+    staged = stage(spark.range(100_000).groupBy((F.col("id") % 5000).alias("k")).count(), "test")
+    time.sleep(2)  # they go in the background
+    assert not shuffles() - known
+    assert staged.count() == 5000
+    discard(staged)
