@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.sources.shared import stage
+from clickloom.sources.shared import discard, stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,14 +13,16 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round gives every node the smallest label among its neighbours, then the label
     of its label. Rounds are written to the shared folder, so a lost executor costs one
-    round at most; only the number of changes comes to the driver. Nulls, self links and
-    repeated links are allowed; no links give no rows.
+    round at most; a round's files go when the next one is there. Only whether something
+    changed comes to the driver. Nulls, self links and repeated links are allowed; no links
+    give no rows. The result is staged and may be discarded.
     """
     links = links.where("a is not null and b is not null and a <> b")
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = stage(both.distinct(), "links")
-    labels = stage(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")), "labels")
+    held = stage(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")), "labels")
     while True:
+        labels = held.select("a", "root")
         near = (
             edges.join(labels.select(F.col("a").alias("b"), "root"), "b")
             .groupBy("a")
@@ -36,7 +38,10 @@ def components(links: DataFrame) -> DataFrame:
             ),
             "labels",
         )
-        done = labels_next.where("root < old").isEmpty()
-        labels = labels_next.select("a", "root")
-        if done:
-            return labels.select(F.col("a").alias("node"), "root")
+        discard(held)
+        held = labels_next
+        if held.where("root < old").isEmpty():
+            discard(edges)
+            found = held.select(F.col("a").alias("node"), "root")
+            found.staged_at = held.staged_at
+            return found

@@ -10,11 +10,15 @@ within its budget, so they share the hash of that segment or of a one-deletion
 neighbour of it. Which kinds a band uses is settled by a cost model: one for each
 signature written plus the expected number of chance candidates.
 
+A segment without shingles, which all sets of a band could have in common, is no signature.
+Two linked sets that agree in nothing else both have such a segment, and sets that have one
+(or a one-deletion segment of one shingle, whose neighbour is empty) get a second kind of
+signature: their first shingles in one order of all shingles, as many as a linked set may
+lack and one more. Two sets that link share one of those, whatever the order.
+
 Below ``PREFIX_BELOW`` per cent the difference is so large that segments get short or
-each set gets several times as many signatures as it has shingles. There the signatures
-are the set's first shingles in one order of all shingles, as many as a linked set may
-lack and one more: two sets that link share one of those, whatever the order. Shingles
-that are common in a sample of the documents come last in the order, so that few sets
+each set gets several times as many signatures as it has shingles. There all signatures
+are first shingles. Shingles that are common in a sample of the documents come last in the order, so that few sets
 meet by chance; the sample changes the cost, not the result.
 
 Candidates are then verified exactly on their whole shingle sets, but not all pairs of
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import int_lists, mix, sliced, words_of
 from clickloom.llm.components import components
-from clickloom.sources.shared import stage
+from clickloom.sources.shared import discard, stage
 
 SHINGLE_WORDS = 3
 SIMILARITY = 90
@@ -111,14 +115,20 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[bytes, np.ndarra
             yield digest, words
 
 
+NONE_COMMON = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+
 def signatures(shingles: np.ndarray, similarity: int) -> np.ndarray:
-    """Hashes of the set's segments and of their one-deletion neighbours, for both bands."""
+    """Hashes of the set's filled segments and their one-deletion neighbours, for both bands.
+
+    A set with an empty one among them has its first shingles, too.
+    """
     size = len(shingles)
     if not size:
         return np.zeros(0, np.int64)
     table = band_table(similarity, 1 << (100 * size // similarity + 1).bit_length())
     own = next(i for i, (_, high, _, _) in enumerate(table) if size <= high)
-    made = []
+    made, empty = [], False
     for number in (own, own + 1):
         low, _, exact, deletions = table[number]
         if 100 * size < similarity * low:
@@ -133,10 +143,14 @@ def signatures(shingles: np.ndarray, similarity: int) -> np.ndarray:
         edges = np.searchsorted(segment, np.arange(parts + 1))
         total = sums[edges[1:]] - sums[edges[:-1]]
         label = mix(np.arange(parts, dtype=np.uint64) + salt)
-        made.append(mix(total ^ label))
+        sizes = np.diff(edges)
+        made.append(mix(total ^ label)[sizes > 0])
         if deletions:
-            near = segment >= exact
+            near = (segment >= exact) & (sizes[segment] > 1)
             made.append(mix((total[segment[near]] - token[near]) ^ label[segment[near]]))
+        empty |= bool((sizes[:exact] == 0).any() or (sizes[exact:] < 2).any())
+    if empty:
+        made.append(first_shingles(shingles, similarity, NONE_COMMON).view(np.uint64))
     return np.unique(np.concatenate(made)).view(np.int64)
 
 
@@ -285,7 +299,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, s
 
     Sets are made again for documents in a pair only; a filter of fixed size over their
     ids keeps other texts out of the shuffle. A document is found by its id and the
-    digest of its words, so repeated ids cannot be confused.
+    digest of its words, so repeated ids cannot be confused; rows that are repeated whole
+    give one set.
     """
     pairs = stage(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -295,6 +310,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, s
         functools.partial(_set_batches, width=width, wanted=bits),
         "doc_id bigint, digest binary, shingles binary",
     )
+    sets = sets.dropDuplicates(["digest", "doc_id"])
     same = sets["digest"].eqNullSafe(named["digest"]) & sets["doc_id"].eqNullSafe(named["doc_id"])
     sets = stage(named.join(sets, same).select("node", "shingles"), "sets")
     joined = (
@@ -302,10 +318,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, s
         .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
         .select("a", "b", "left", "right")
     )
-    return stage(
+    links = stage(
         joined.mapInArrow(functools.partial(_verify_batches, similarity=similarity), "a bigint, b bigint"),
         "links",
     )
+    discard(pairs, sets)
+    return links
 
 
 def text_hash(text):
@@ -338,18 +356,19 @@ def jaccard_components(
     filled = profiles.where("n_shingles > 0")
     # Equal word sequences are one node; copies meet nobody but their first row.
     first = filled.groupBy("digest").agg(F.min("node").alias("node"), F.min("doc_id").alias("low"))
-    nodes = stage(
-        filled.drop("signatures", "text_hash").join(first.select("node", "low"), "node"), "nodes"
-    )
-    spread = filled.join(first.select("node"), "node", "left_semi").select(
-        "node", F.explode("signatures").alias("signature")
-    )
-    shared = (
+    signed = stage(filled.drop("text_hash").join(first.select("node", "low"), "node"), "signed")
+    rows = stage(profiles.select("doc_id", "text_hash", "digest", "n_shingles"), "rows")
+    nodes = stage(signed.drop("signatures"), "nodes")
+    discard(profiles)
+    spread = signed.select("node", F.explode("signatures").alias("signature"))
+    shared = stage(
         spread.groupBy("signature")
         .agg(F.min("node").alias("pivot"), F.count("*").alias("sharers"))
-        .where("sharers > 1")
+        .where("sharers > 1"),
+        "shared",
     )
     members = stage(spread.join(shared, "signature"), "members")
+    discard(signed, shared)
 
     traits = nodes.select("node", "n_shingles", "p0", "p1", "p2", "p3")
     star = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
@@ -379,6 +398,7 @@ def jaccard_components(
     # Written first, so that the join is between plain shuffles, which Spark splits if skewed.
     mixed = stage(mixed, "mixed")
     crowd = stage(crowd.join(mixed, "signature").join(traits, "node"), "crowd")
+    discard(members, roots, mixed)
     meeting = (
         (F.col("x.signature") == F.col("y.signature"))
         & (F.col("x.root") != F.col("y.root"))
@@ -393,16 +413,15 @@ def jaccard_components(
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         .distinct()
     )
-    links = links.unionAll(_verified(rest, docs, nodes, width, similarity))
-
-    roots = components(links)
+    more = _verified(rest, docs, nodes, width, similarity)
+    roots = components(links.unionAll(more))
+    discard(crowd, links, more)
     placed = nodes.join(roots, "node", "left").select(
         "digest", F.coalesce("root", "node").alias("root"), "low"
     )
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     by_digest = placed.join(lowest, "root").select("digest", "component_id")
-    found = profiles.select("doc_id", "text_hash", "digest", "n_shingles").join(by_digest, "digest", "left")
-    return found.select(
+    return rows.join(by_digest, "digest", "left").select(
         "doc_id",
         *(["text_hash"] if by_row else []),
         "n_shingles",

@@ -141,3 +141,49 @@ def test_query_against_all_pairs(spark):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     found = queries.op9_ngram_jaccard_join(spark, folder).collect()
     assert sorted(map(tuple, found)) == plain_components(sorted(texts), 3, 90)
+
+
+def test_unrelated_sets_share_nothing():
+    """Segments that are empty in many sets bring no sets together."""
+    rng = np.random.default_rng(5)
+    for count in (5_000, 20_000):
+        seen, shared = set(), 0
+        for _ in range(count):
+            own = set(set_join.signatures(np.unique(rng.integers(0, 1 << 63, 200).astype(np.uint64)), 90).tolist())
+            shared += len(own & seen)
+            seen |= own
+        assert shared == 0
+
+
+@pytest.mark.parametrize("similarity", [85, 90, 95])
+def test_sets_that_agree_in_empty_segments_only_share_a_signature(similarity):
+    rng = np.random.default_rng(6)
+    for size in (3, 10, 11, 25, 60, 200):
+        for _ in range(300):
+            one = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            changes = int(rng.integers(0, 2 * size * (100 - similarity) // (100 + similarity) // 2 + 1))
+            other = np.unique(np.concatenate([one[changes:], rng.integers(0, 1 << 63, changes).astype(np.uint64)]))
+            both = len(np.intersect1d(one, other))
+            if 100 * both >= similarity * (len(one) + len(other) - both):
+                x, y = (set_join.signatures(s, similarity) for s in (one, other))
+                assert len(np.intersect1d(x, y)), (size, changes)
+
+
+def test_repeated_rows_make_one_set(spark, monkeypatch):
+    a = " ".join(f"w{n}" for n in range(100))
+    b = a + " more"
+    data = [(1, a)] * 60 + [(2, b)] * 60 + [(3, a + " else")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(4)
+    seen = []
+    stage = set_join.stage
+
+    def counted(df, purpose):
+        made = stage(df, purpose)
+        if purpose == "sets":
+            seen.append(made.count())
+        return made
+
+    monkeypatch.setattr(set_join, "stage", counted)
+    found = set_join.jaccard_components(docs)
+    assert {r.component_id for r in found.collect()} == {1} and found.count() == 121
+    assert seen[0] == 3
