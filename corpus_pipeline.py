@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import line_dedup, packing, quality, set_join, toxicity
 from clickloom.llm.common import table
-from clickloom.sources.shared import stage
+from clickloom.sources.shared import discard, stage
 
 # Near copies: shingles of so many words, at least so similar in per cent.
 NEAR_WORDS = 5
@@ -68,7 +68,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
-    docs = table(spark, sf_dir, "documents")
+    docs, held = table(spark, sf_dir, "documents"), []
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(*held)
+        held = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
