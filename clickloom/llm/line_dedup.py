@@ -34,7 +34,7 @@ SHARD_ENTRIES = 1 << 20
 LEVELS = 48
 NO_ID = np.iinfo(np.int64).min
 
-REQUESTS = "block bigint, shard int, keys binary, documents binary, owners binary"
+REQUESTS = "block bigint, shard int, keys binary, documents binary, listed binary, owners binary"
 INDEX = "shard int, sizes array<bigint>, levels binary, fingerprints binary, counts binary, owners binary"
 ANSWERS = "block bigint, keys binary, owners binary"
 
@@ -107,59 +107,60 @@ def _rows_to_blocks(batches):
 
 
 def _parts(blob: bytes):
-    """Batches of a block, each with its lines and ids; null ids rank below all others."""
+    """Batches of a block, each with its lines and ids; NO_ID for a null id."""
     with pa.ipc.open_stream(zstandard.decompress(blob)) as reader:
         for batch in reader:
             ids = batch.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             yield batch, lines_of(batch.column("text")), ids
 
 
-def _request_batches(batches, shards: int, min_points: int):
+def _request_batches(batches, shards: int, min_points: int, min_documents: int):
     for batch in batches:
         for row in rows_of(batch):
             firsts, seconds, ids = [], [], []
             for _, lines, doc_ids in _parts(row["rows"]):
-                long = lines.length >= min_points
-                keys = np.stack([lines.doc[long].astype(np.uint64), lines.hash[long], lines.second[long]])
-                keys = keys[:, np.lexsort(keys)]
-                fresh = np.ones(keys.shape[1], bool)
-                fresh[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
-                doc, first, second = keys[:, fresh]
-                firsts.append(first)
-                seconds.append(second)
-                ids.append(doc_ids[doc.astype(np.int64)])
-            keys, documents, owners = combine(*(np.concatenate(x) for x in (firsts, seconds, ids)))
+                wanted = (lines.length >= min_points) & (doc_ids[lines.doc] != NO_ID)
+                firsts.append(lines.hash[wanted])
+                seconds.append(lines.second[wanted])
+                ids.append(doc_ids[lines.doc[wanted]])
+            keys, documents, listed, owners = combine(
+                *(np.concatenate(x) for x in (firsts, seconds, ids)), min_documents
+            )
             shard = (keys[0] >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
             edges = np.searchsorted(shard, np.arange(shards + 1))
             filled = np.flatnonzero(np.diff(edges))
             cuts = [slice(edges[s], edges[s + 1]) for s in filled]
+            ends = np.concatenate([[0], np.cumsum(listed)])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(cuts), row["block"])),
                     pa.array(filled, pa.int32()),
                     pa.array([keys[:, c].tobytes() for c in cuts], pa.binary()),
                     pa.array([documents[c].astype(np.uint32).tobytes() for c in cuts], pa.binary()),
-                    pa.array([owners[c].tobytes() for c in cuts], pa.binary()),
+                    pa.array([listed[c].astype(np.uint8).tobytes() for c in cuts], pa.binary()),
+                    pa.array([owners[ends[c.start] : ends[c.stop]].tobytes() for c in cuts], pa.binary()),
                 ],
-                names=["block", "shard", "keys", "documents", "owners"],
+                names=["block", "shard", "keys", "documents", "listed", "owners"],
             )
 
 
-def combine(first, second, owners, documents=None):
-    """Distinct keys in order, the documents of each and the largest id."""
-    order = np.lexsort((second, first))
-    first, second, owners = first[order], second[order], owners[order]
-    documents = np.ones(len(first), np.int64) if documents is None else documents[order].astype(np.int64)
-    if not len(first):
-        return np.stack([first, second]), documents, owners
-    fresh = np.ones(len(first), bool)
-    fresh[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
-    at = np.flatnonzero(fresh)
-    return (
-        np.stack([first[at], second[at]]),
-        np.add.reduceat(documents, at),
-        np.maximum.reduceat(owners, at),
-    )
+def combine(first, second, ids, limit: int):
+    """Distinct keys in order; of each, the number of ids, and its ``limit`` largest ids.
+
+    Given for each key and id once or more; as (keys, ids of each, listed of each, listed
+    ids). Of lists that were cut so, the union has ``limit`` ids if all ids were so many.
+    """
+    order = np.lexsort((~ids, second, first))
+    first, second, ids = first[order], second[order], ids[order]
+    new_key = np.ones(len(first), bool)
+    new_key[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    fresh = new_key.copy()
+    fresh[1:] |= ids[1:] != ids[:-1]
+    first, second, ids, new_key = first[fresh], second[fresh], ids[fresh], new_key[fresh]
+    at = np.flatnonzero(new_key)
+    documents = np.diff(np.append(at, len(first)))
+    rank = np.arange(len(first)) - np.repeat(at, documents)
+    return np.stack([first[at], second[at]]), documents, np.minimum(documents, limit), ids[rank < limit]
 
 
 def _keys(blobs) -> np.ndarray:
@@ -171,13 +172,18 @@ def _fingerprint(keys: np.ndarray) -> np.ndarray:
 
 
 def _build_shard(requests, min_documents: int):
-    """Arrays of one shard."""
-    keys, documents, owners = combine(
-        *_keys(requests["keys"]),
-        np.concatenate([np.frombuffer(b, np.int64) for b in requests["owners"]]),
-        np.concatenate([np.frombuffer(b, np.uint32) for b in requests["documents"]]),
+    """Arrays of one shard. Counts are of ids by block, so one in several blocks adds to each."""
+    sent = _keys(requests["keys"])
+    documents, listed, ids = (
+        np.concatenate([np.frombuffer(b, kind) for b in requests[name]])
+        for name, kind in (("documents", np.uint32), ("listed", np.uint8), ("owners", np.int64))
     )
-    often = documents >= min_documents
+    keys, _, listed, ids = combine(*np.repeat(sent, listed, axis=1), ids, min_documents)
+    order = np.lexsort(sent[::-1])
+    first = np.flatnonzero(np.append(True, (sent[:, order[1:]] != sent[:, order[:-1]]).any(axis=0))[: len(order)])
+    documents = np.add.reduceat(documents[order].astype(np.int64), first) if len(first) else documents
+    owners = ids[np.cumsum(listed) - listed]
+    often = listed >= min_documents
     keys, documents, owners = keys[:, often], documents[often], owners[often]
     hashed = MinimalPerfectHash.build(*keys)
     slots = hashed.slots(*keys)
@@ -250,7 +256,8 @@ def _kept_batches(batches, schema: pa.Schema, min_points: int):
                     while (open_ := at < ends).any():  # more than one turn only if first hashes collide
                         long, at, ends = long[open_], at[open_], ends[open_]
                         same = keys[1][at] == lines.second[long]
-                        drop[long] |= same & (owners[at] != ids[lines.doc[long]])
+                        own = ids[lines.doc[long]]
+                        drop[long] |= same & (owners[at] != own) & (own != NO_ID)
                         at = at + 1
                 texts = batch.column("text").to_pylist()
                 dropped = np.bincount(lines.doc[drop], minlength=len(texts))
@@ -282,10 +289,11 @@ def dedup_lines(
 
     Texts are split at \\n; a null or empty text is one empty line, and a null text stays
     null. A line's key is the line without white space at both ends, A-Z lower-cased.
-    Keys of ``min_points`` code points, found in ``min_documents`` rows, lose all their
-    lines except in the largest doc_id that holds them (in all rows of that id, if it is
-    repeated; null ids rank last). n_lines counts the lines before. An empty table gives
-    no rows. Columns named n_lines or n_dropped are replaced.
+    Keys of ``min_points`` code points, found in ``min_documents`` different doc_ids, lose
+    all their lines except in the largest doc_id that holds them (in all rows of that id,
+    if it is repeated). A row without an id is no document: it does not count and keeps its
+    lines. n_lines counts the lines before. An empty table gives no rows. Columns named
+    n_lines or n_dropped are replaced.
     """
     docs = documents.drop("n_lines", "n_dropped").withColumn("text", F.col("text").cast("string"))
     added = [StructField("n_lines", LongType()), StructField("n_dropped", LongType())]
@@ -296,7 +304,10 @@ def dedup_lines(
     # A long line and its key take more than 40 bytes of a block, compressed or not.
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sizes // (MIN_POINTS * SHARD_ENTRIES)))
     requests = blocks.mapInArrow(
-        functools.partial(_request_batches, shards=shards, min_points=min_points), REQUESTS
+        functools.partial(
+            _request_batches, shards=shards, min_points=min_points, min_documents=min_documents
+        ),
+        REQUESTS,
     )
     index = stage(
         requests.groupBy("shard").applyInPandas(

@@ -60,10 +60,47 @@ def test_odd_rows(spark):
 
 def test_null_and_repeated_ids(spark):
     line = "a line of more than forty characters in all of them"
-    data = [(None, line)] * 2 + [(1, line)] * 2 + [(2, line)] * 2
-    docs = spark.createDataFrame(data, "doc_id bigint, text string")
-    found = sorted((r.doc_id or 0, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect())
-    assert found == [(0, 1), (0, 1), (1, 1), (1, 1), (2, 0), (2, 0)]
+    for ids, dropped in (
+        ([9, 9, 9, 9, 2], []),  # two documents
+        ([1, 1, 2, 2, 3, 3, 4, 4, None, None], []),  # four, and rows that are none
+        ([5, 5, 4, 3, 2, 1, None], [1, 2, 3, 4]),
+        ([5] * 30 + [4, 3, 2, 1], [1, 2, 3, 4]),
+    ):
+        docs = spark.createDataFrame([(i, line) for i in ids], "doc_id bigint, text string").repartition(3)
+        found = line_dedup.dedup_lines(docs).collect()
+        assert sorted(r.doc_id for r in found if r.n_dropped) == dropped, ids
+
+
+def test_repeated_rows_in_several_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 50, (2, 4000)).astype(np.uint64)
+    ids = rng.integers(0, 12, 4000)
+    whole = line_dedup.combine(*keys, ids, 5)
+    parts = [line_dedup.combine(*keys[:, c], ids[c], 5) for c in np.array_split(np.arange(4000), 9)]
+    joined = line_dedup.combine(
+        *np.concatenate([np.repeat(p[0], p[2], axis=1) for p in parts], axis=1), np.concatenate([p[3] for p in parts]), 5
+    )
+    assert all((a == b).all() for a, b in zip((whole[0], whole[2], whole[3]), (joined[0], joined[2], joined[3])))
+
+
+def test_repeated_ids_against_sql(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    lines = [f"line number {n} that is longer than forty characters" for n in range(30)]
+    data = [
+        (int(rng.integers(0, 40)) if rng.random() > 0.1 else None, "\n".join(rng.choice(lines, 4)) + f"\nown {n}")
+        for n in range(200)
+    ]
+    # One row of each id and text: the SQL gives one row a document.
+    data = [(i, t) for n, (i, t) in enumerate(data) if i is not None and i not in [j for j, _ in data[:n]]]
+    data += [(i, t) for i, t in data[:10]]
+    spark.createDataFrame(data, "doc_id bigint, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select distinct * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(queries.oracle_sql()["op3_line_dedup"]).fetchall()
+    found = queries.op3_line_dedup(spark, str(tmp_path)).distinct().collect()
+    assert sorted(map(tuple, found)) == sorted(want)
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
