@@ -30,11 +30,13 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many share; n_chars follows the text."""
-    kept = line_dedup.dedup_lines(docs)
-    if "n_chars" in docs.columns:
+    inside = {c: f"c{n}" for n, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    kept = line_dedup.dedup_lines(docs.toDF(*[inside.get(c, c) for c in docs.columns]))
+    columns = {c: F.col(inside.get(c, c)) for c in docs.columns}
+    if "n_chars" in inside:
         size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, size).otherwise(F.col("n_chars")))
-    return kept.select(*docs.columns)
+        columns["n_chars"] = F.when(F.col("n_dropped") > 0, size).otherwise(columns["n_chars"])
+    return kept.select(*[column.alias(name) for name, column in columns.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
