@@ -105,3 +105,15 @@ def test_rows_of_a_repeated_id_are_judged_by_their_texts(spark):
     docs = spark.createDataFrame(data, "doc_id bigint, text string")
     kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([data[0], data[2], data[4], data[5]], key=str)
+
+
+def test_line_dedup_keeps_columns_that_it_uses_itself(spark):
+    line = "a line of more than forty characters in all of them"
+    docs = spark.createDataFrame(
+        [(n, f"{line}\nown {n}", 77, 88, "x", 500) for n in range(6)],
+        "doc_id bigint, text string, n_lines int, n_dropped int, c2 string, n_chars int",
+    )
+    kept = corpus_pipeline.shared_lines(spark, docs, FOLDER)
+    assert kept.schema == docs.schema
+    found = sorted(map(tuple, kept.collect()))
+    assert found == [(n, f"own {n}", 77, 88, "x", 5) for n in range(5)] + [(5, f"{line}\nown 5", 77, 88, "x", 500)]
