@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -11,8 +12,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Text handled at once; a longer text is handled alone, so memory follows the longest text.
+# Text handled at once; a longer text is handled alone. Of it, arrays with a few bytes for
+# each byte are made at once, larger ones in pieces.
 SLICE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 20
 
 MULTIPLIER = 0x9E3779B97F4A7C15
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
@@ -66,18 +69,77 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+@functools.cache
+def _power_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse, for places within a piece."""
+    tables = []
+    for base in (MULTIPLIER, INVERSE):
+        steps = np.full(PIECE_BYTES + 1, base, np.uint64)
+        steps[0] = 1
+        tables.append(np.cumprod(steps))
+    return tuple(tables)
 
 
-def _power_tables(size: int) -> list[np.ndarray]:
-    """Powers of the multiplier and of its inverse, kept for the next call."""
-    if len(_powers[0]) < size:
-        size = max(size, SLICE_BYTES)
-        for i, base in enumerate((MULTIPLIER, INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps)
-    return _powers
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, values) -> np.ndarray:
+    """Polynomial hash of the bytes of each span; spans ascend and do not overlap.
+
+    ``values`` gives 64-bit numbers for bytes. The hash does not depend on where a span
+    stands. Bytes are taken in pieces; a span that goes on in the next piece is carried.
+    """
+    power, inverse = _power_tables()
+    found = np.zeros(len(start), np.uint64)
+    for low in range(0, len(data), PIECE_BYTES):
+        high = min(low + PIECE_BYTES, len(data))
+        at = slice(np.searchsorted(end, low, "right"), np.searchsorted(start, high))
+        if at.start >= at.stop:
+            continue
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(values(data[low:high]) * power[: high - low], out=sums[1:])
+        first, last = np.maximum(start[at], low) - low, np.minimum(end[at], high) - low
+        part = (sums[last] - sums[first]) * inverse[first]
+        if start[at.start] < low:  # only the first span can have begun before
+            part[:1] *= np.uint64(pow(MULTIPLIER, int(low - start[at.start]), 1 << 64))
+        found[at] += part
+    return mix(found)
+
+
+def span_counts(marked: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Number of marked places in each span; spans ascend and do not overlap."""
+    found = np.zeros(len(start), np.int64)
+    for low in range(0, len(marked), PIECE_BYTES):
+        high = min(low + PIECE_BYTES, len(marked))
+        at = slice(np.searchsorted(end, low, "right"), np.searchsorted(start, high))
+        if at.start < at.stop:
+            sums = np.zeros(high - low + 1, np.int32)
+            np.cumsum(marked[low:high], out=sums[1:])
+            found[at] += sums[np.minimum(end[at], high) - low] - sums[np.maximum(start[at], low) - low]
+    return found
+
+
+def _byte_values(data: np.ndarray) -> np.ndarray:
+    return data.astype(np.uint64) + np.uint64(1)
+
+
+def _lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z lower-cased."""
+    return data + ((data >= 65) & (data <= 90)).view(np.uint8) * np.uint8(32)
+
+
+def _text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts and where each begins and the last one ends."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets - offsets[0]
+
+
+def _runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the runs of places that are inside, none over two texts."""
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[offsets] = True
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1] | edge[1:-1]
+    ends[:-1] &= ~inside[1:] | edge[1:-1]
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
 class Words(NamedTuple):
@@ -110,30 +172,19 @@ def words_of(
     word stands. Different words share a hash with a chance of about 2**-64 a pair.
     """
     texts = plain(texts)
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
-    size = len(data)
+    data, offsets = _text_bytes(texts)
     if lower:
-        data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
+        data = _lowered(data)
     if letters:
         inside = (data >= 128) | (((data | 32) >= 97) & ((data | 32) <= 122))
         if digits:
             inside |= (data >= 48) & (data <= 57)
     else:
         inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    edge = np.zeros(size + 1, bool)
-    edge[offsets] = True
-    before = np.concatenate([[False], inside])[:size] & ~edge[:size]
-    after = np.concatenate([inside[1:], [False]])[:size] & ~edge[1:]
-    start = np.flatnonzero(inside & ~before)
-    end = np.flatnonzero(inside & ~after) + 1
+    start, end = _runs(inside, offsets)
     doc = np.searchsorted(offsets, start, "right") - 1
-    power, inverse = _power_tables(size + 1)
-    sums = np.zeros(size + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:size], out=sums[1:])
-    hashed = mix((sums[end] - sums[start]) * inverse[start])
-    leading = [mix((sums[np.minimum(end, start + n)] - sums[start]) * inverse[start]) for n in stems]
+    hashed = span_hashes(data, start, end, _byte_values)
+    leading = [span_hashes(data, start, np.minimum(end, start + n), _byte_values) for n in stems]
     return Words(data, start, end, doc, hashed, np.bincount(doc, minlength=len(texts)), np.array(leading))
 
 
@@ -164,10 +215,7 @@ def lines_of(texts: pa.Array) -> Lines:
     independent 64-bit hashes of it.
     """
     texts = plain(texts)
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
-    size = len(data)
+    data, offsets = _text_bytes(texts)
     breaks = np.flatnonzero(data == 10)
     owner = np.searchsorted(offsets, breaks, "right") - 1
     count = np.bincount(owner, minlength=len(texts)) + 1
@@ -177,28 +225,23 @@ def lines_of(texts: pa.Array) -> Lines:
     start[first], start[at + 1] = offsets[:-1], breaks + 1
     end[first + count - 1], end[at] = offsets[1:], breaks
 
-    solid = np.flatnonzero(~((data == 32) | ((data >= 9) & (data <= 13))))
-    low, high = np.searchsorted(solid, start), np.searchsorted(solid, end)
+    begins, ends = _runs(~((data == 32) | ((data >= 9) & (data <= 13))), offsets)
+    low, high = np.searchsorted(begins, start), np.searchsorted(ends, end, "right")
     filled = high > low
-    solid = np.append(solid, 0)
-    key_start = np.where(filled, solid[low], 0)
-    key_end = np.where(filled, solid[high - 1] + 1, 0)
-
-    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    lowered = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
-    value = lowered.astype(np.uint64) + np.uint64(1)
-    power, inverse = _power_tables(size + 1)
-    hashes = []
-    for values in (value, mix(value)):
-        sums = np.zeros(size + 1, np.uint64)
-        np.cumsum(values * power[:size], out=sums[1:])
-        hashes.append(mix((sums[key_end] - sums[key_start]) * inverse[key_start]))
+    key_start, key_end = start.copy(), start.copy()  # of a blank line: nothing, where it begins
+    key_start[filled], key_end[filled] = begins[low[filled]], ends[high[filled] - 1]
+
+    lowered = _lowered(data)
+    hashes = [
+        span_hashes(lowered, key_start, key_end, values)
+        for values in (_byte_values, lambda piece: mix(_byte_values(piece)))
+    ]
     return Lines(
         data,
         start,
         end,
         np.repeat(np.arange(len(texts)), count),
-        points[key_end] - points[key_start],
+        span_counts((data & 0xC0) != 0x80, key_start, key_end),
         *hashes,
         count,
     )

@@ -11,14 +11,16 @@ neighbour of it. Which kinds a band uses is settled by a cost model: one for eac
 signature written plus the expected number of chance candidates.
 
 A segment without shingles, which all sets of a band could have in common, is no signature.
-Two linked sets that agree in nothing else both have such a segment, and sets that have one
-(or a one-deletion segment of one shingle, whose neighbour is empty) get a second kind of
-signature: their first shingles in one order of all shingles, as many as a linked set may
-lack and one more. Two sets that link share one of those, whatever the order.
+Instead there is a segment more than the budgets need (one that spends two units, if any
+does): then linked sets have two segments within their budgets, and if the sets share
+neither hash, both segments are thin in both sets, that is empty, or of one shingle if a
+deletion is allowed. So each pair of thin segments is a signature.
 
 Below ``PREFIX_BELOW`` per cent the difference is so large that segments get short or
-each set gets several times as many signatures as it has shingles. There all signatures
-are first shingles. Shingles that are common in a sample of the documents come last in the order, so that few sets
+each set gets several times as many signatures as it has shingles. There the signatures
+are the set's first shingles in one order of all shingles, as many as a linked set may
+lack and one more: two sets that link share one of those, whatever the order. Shingles
+that are common in a sample of the documents come last in the order, so that few sets
 meet by chance; the sample changes the cost, not the result.
 
 Candidates are then verified exactly on their whole shingle sets, but not all pairs of
@@ -82,16 +84,21 @@ def band_table(similarity: int, largest: int) -> list[tuple[int, int, int, int]]
 
 
 def allocate(differences: int, size: int) -> tuple[int, int]:
-    """Cheapest (exact, one-deletion) numbers of segments that spend differences + 1 units."""
+    """Cheapest (exact, one-deletion) numbers of segments.
+
+    They spend differences + 1 units, and those of one segment more.
+    """
+
+    def exact(deletions: int) -> int:
+        return max(0, differences + (3 if deletions else 2) - 2 * deletions)
 
     def cost(deletions: int) -> float:
-        exact = max(0, differences + 1 - 2 * deletions)
-        parts = exact + deletions
+        parts = exact(deletions) + deletions
         written = parts + size * deletions / parts
         return written + CROWD * parts * SHARED ** (size / parts)
 
-    best = min(range((differences + 2) // 2 + 1), key=cost)
-    return max(0, differences + 1 - 2 * best), best
+    best = min(range((differences + 2) // 2 + 2), key=cost)
+    return exact(best), best
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[bytes, np.ndarray]]:
@@ -115,20 +122,16 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[bytes, np.ndarra
             yield digest, words
 
 
-NONE_COMMON = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-
-
 def signatures(shingles: np.ndarray, similarity: int) -> np.ndarray:
-    """Hashes of the set's filled segments and their one-deletion neighbours, for both bands.
-
-    A set with an empty one among them has its first shingles, too.
+    """Hashes of the set's filled segments, of their one-deletion neighbours and of pairs of
+    thin segments, for both bands.
     """
     size = len(shingles)
     if not size:
         return np.zeros(0, np.int64)
     table = band_table(similarity, 1 << (100 * size // similarity + 1).bit_length())
     own = next(i for i, (_, high, _, _) in enumerate(table) if size <= high)
-    made, empty = [], False
+    made = []
     for number in (own, own + 1):
         low, _, exact, deletions = table[number]
         if 100 * size < similarity * low:
@@ -148,9 +151,9 @@ def signatures(shingles: np.ndarray, similarity: int) -> np.ndarray:
         if deletions:
             near = (segment >= exact) & (sizes[segment] > 1)
             made.append(mix((total[segment[near]] - token[near]) ^ label[segment[near]]))
-        empty |= bool((sizes[:exact] == 0).any() or (sizes[exact:] < 2).any())
-    if empty:
-        made.append(first_shingles(shingles, similarity, NONE_COMMON).view(np.uint64))
+        thin = np.flatnonzero(sizes < np.where(np.arange(parts) < exact, 1, 2))
+        one, other = np.triu_indices(len(thin), 1)
+        made.append(mix(mix(label[thin[one]]) + label[thin[other]]))
     return np.unique(np.concatenate(made)).view(np.int64)
 
 
