@@ -180,9 +180,26 @@ def parities(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Number of shingles in each of about a quarter as many buckets, 255 at most."""
+    buckets = 1 << max(3, (len(shingles) // 4).bit_length() - 1)
+    place = (shingles & np.uint64(buckets - 1)).astype(np.int64)
+    return np.minimum(np.bincount(place, minlength=buckets), 255).astype(np.uint8).tobytes()
+
+
+def least_difference(one: np.ndarray, other: np.ndarray) -> int:
+    """The least symmetric difference that sets with two sketches can have."""
+    one, other = one.astype(np.int64), other.astype(np.int64)
+    while len(one) > len(other):
+        one = one.reshape(2, -1).sum(axis=0)
+    while len(other) > len(one):
+        other = other.reshape(2, -1).sum(axis=0)
+    return int(np.abs(one - other).sum())
+
+
 PROFILE = (
     "doc_id bigint, text_hash bigint, digest binary, n_shingles bigint, p0 bigint, p1 bigint, p2 bigint, p3 bigint, "
-    "signatures array<bigint>"
+    "sketch binary, signatures array<bigint>"
 )
 
 
@@ -215,11 +232,12 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
 def _profile_batches(batches, width: int, similarity: int, common):
     for batch in batches:
         for part in sliced(batch, "text"):
-            digests, sizes, bits, made = [], [], [], []
+            digests, sizes, bits, sketches, made = [], [], [], [], []
             for digest, shingles in shingle_sets(part.column("text"), width):
                 digests.append(digest)
                 sizes.append(len(shingles))
                 bits.append(parities(shingles))
+                sketches.append(sketch(shingles))
                 if common is None:
                     made.append(signatures(shingles, similarity))
                 else:
@@ -232,9 +250,10 @@ def _profile_batches(batches, width: int, similarity: int, common):
                     pa.array(digests, pa.binary()),
                     pa.array(sizes, pa.int64()),
                     *[pa.array(bits[:, i]) for i in range(4)],
+                    pa.array(sketches, pa.binary()),
                     int_lists(np.concatenate(made), [len(x) for x in made]),
                 ],
-                names=["doc_id", "text_hash", "digest", "n_shingles", "p0", "p1", "p2", "p3", "signatures"],
+                names=["doc_id", "text_hash", "digest", "n_shingles", "p0", "p1", "p2", "p3", "sketch", "signatures"],
             )
 
 
@@ -273,6 +292,19 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return bits.reshape(-1)
 
 
+def _sketch_batches(batches, similarity: int):
+    """Pairs whose sketches leave it open whether they link."""
+    for batch in batches:
+        left, right = batch.column("left"), batch.column("right")
+        total = batch.column("total").to_numpy()
+        least = [
+            least_difference(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8))
+            for x, y in zip(left, right)
+        ]
+        keep = np.array(least, np.int64) * (100 + similarity) <= (100 - similarity) * total
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+
 def _verify_batches(batches, similarity: int):
     for batch in batches:
         left, right = batch.column("left"), batch.column("right")
@@ -300,12 +332,25 @@ def _can_link(one: str, two: str, similarity: int):
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, similarity: int) -> DataFrame:
     """Those of the pairs (a, b) that link, written to the shared folder.
 
-    Sets are made again for documents in a pair only; a filter of fixed size over their
+    Pairs whose sketches differ by more than linked sets may are dropped first, so that
+    whole sets travel for few others. Sets are made again for documents in a pair only; a filter of fixed size over their
     ids keeps other texts out of the shuffle. A document is found by its id and the
     digest of its words, so repeated ids cannot be confused; rows that are repeated whole
     give one set.
     """
-    pairs = stage(pairs, "pairs")
+    met = stage(pairs, "met")
+    x, y = (nodes.select(F.col("node").alias(c), "sketch", "n_shingles").alias(c) for c in ("a", "b"))
+    sketched = met.join(x, "a").join(y, "b").select(
+        "a",
+        "b",
+        F.col("a.sketch").alias("left"),
+        F.col("b.sketch").alias("right"),
+        (F.col("a.n_shingles") + F.col("b.n_shingles")).alias("total"),
+    )
+    pairs = stage(
+        sketched.mapInArrow(functools.partial(_sketch_batches, similarity=similarity), "a bigint, b bigint"), "pairs"
+    )
+    discard(met)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     named = nodes.join(wanted, "node").select("node", "doc_id", "digest")
     bits = docs.sparkSession.sparkContext.broadcast(id_filter(named))

@@ -187,3 +187,26 @@ def test_repeated_rows_make_one_set(spark, monkeypatch):
     found = set_join.jaccard_components(docs)
     assert {r.component_id for r in found.collect()} == {1} and found.count() == 121
     assert seen[0] == 3
+
+
+@pytest.mark.parametrize("similarity", [60, 80, 90])
+def test_sketches_leave_out_unlinked_sets_only(similarity):
+    rng = np.random.default_rng(similarity)
+    dropped = kept = 0
+    for size in [*range(1, 40), 150, 400, 3000, 9000]:
+        for _ in range(20):
+            one = rng.integers(0, 1 << 62, size).astype(np.uint64)
+            one[: size // 3] &= np.uint64(0xFFFF)  # some buckets are full
+            one = np.unique(one)
+            keep = rng.random(len(one)) > rng.choice([0, 0.05, 0.2, 0.9])
+            added = rng.integers(0, 1 << 62, rng.integers(0, 1 + size // 3)).astype(np.uint64)
+            two = np.unique(np.concatenate([one[keep], added]))
+            x, y = (np.frombuffer(set_join.sketch(s), np.uint8) for s in (one, two))
+            least = set_join.least_difference(x, y)
+            both = len(np.intersect1d(one, two))
+            assert least <= len(one) + len(two) - 2 * both
+            linked = 100 * both >= similarity * (len(one) + len(two) - both)
+            possible = least * (100 + similarity) <= (100 - similarity) * (len(one) + len(two))
+            assert possible or not linked
+            dropped, kept = dropped + (not possible), kept + (possible and not linked)
+    assert dropped > kept
