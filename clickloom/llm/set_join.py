@@ -25,7 +25,8 @@ meet by chance; the sample changes the cost, not the result.
 
 Candidates are then verified exactly on their whole shingle sets, but not all pairs of
 a group of signature sharers are made: a star around the group's first member is
-verified first, and after that only members of different components meet.
+verified first, and after that only members of different components meet, and those of
+first shingles only where the shared shingle can be the first that they share.
 """
 
 from __future__ import annotations
@@ -158,7 +159,7 @@ def signatures(shingles: np.ndarray, similarity: int) -> np.ndarray:
 
 
 def first_shingles(shingles: np.ndarray, similarity: int, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The set's first shingles, rare ones first: one more than a linked set may lack.
+    """The set's first shingles in order, rare ones first: one more than a linked set may lack.
 
     A linked set has at least similarity per cent of them. ``common`` is (sorted shingles,
     how often each was seen); all others come before them, in the order of their hashes.
@@ -171,7 +172,7 @@ def first_shingles(shingles: np.ndarray, similarity: int, common: tuple[np.ndarr
     token = mix(shingles)
     needed = -(-similarity * len(shingles) // 100)
     order = np.lexsort((token, rank))[: len(shingles) - needed + 1]
-    return np.sort(token[order]).view(np.int64)
+    return token[order].view(np.int64)
 
 
 def parities(shingles: np.ndarray) -> np.ndarray:
@@ -329,6 +330,20 @@ def _can_link(one: str, two: str, similarity: int):
     )
 
 
+def _may_meet(one: str, two: str, similarity: int):
+    """Tests that a linked pair passes at the first of the signatures that it shares.
+
+    There, no earlier shingle is shared. So the sets share no more than either has from
+    there on, and if both have a shingle before, these differ.
+    """
+    x, y = F.col(f"{one}.n_shingles"), F.col(f"{two}.n_shingles")
+    needed = similarity * (x + y)
+    enough = [
+        (size - F.col(f"{side}.at")) * (100 + similarity) >= needed for side, size in ((one, x), (two, y))
+    ]
+    return enough[0] & enough[1] & F.coalesce(F.col(f"{one}.before") != F.col(f"{two}.before"), F.lit(True))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, similarity: int) -> DataFrame:
     """Those of the pairs (a, b) that link, written to the shared folder.
 
@@ -408,7 +423,12 @@ def jaccard_components(
     rows = stage(profiles.select("doc_id", "text_hash", "digest", "n_shingles"), "rows")
     nodes = stage(signed.drop("signatures"), "nodes")
     discard(profiles)
-    spread = signed.select("node", F.explode("signatures").alias("signature"))
+    spread = signed.select("node", "signatures", F.posexplode("signatures").alias("at", "signature"))
+    if common is None:  # segments have no order
+        place = [F.lit(0).alias("at"), F.lit(None).cast("bigint").alias("before")]
+    else:
+        place = ["at", F.get("signatures", F.col("at") - 1).alias("before")]
+    spread = spread.select("node", "signature", *place)
     shared = stage(
         spread.groupBy("signature")
         .agg(F.min("node").alias("pivot"), F.count("*").alias("sharers"))
@@ -453,6 +473,7 @@ def jaccard_components(
         & (F.col("x.node") != F.col("x.pivot"))
         & (F.col("y.node") != F.col("y.pivot"))
         & _can_link("x", "y", similarity)
+        & _may_meet("x", "y", similarity)
     )
     rest = (
         crowd.where("root <> main")
