@@ -1,11 +1,19 @@
 """Hashed maximum-entropy language model with class-factored softmax.
 
 The chance of a token is that of its class in its context, times that of the token in
-its class. The class part is a maximum-entropy model over hashed features: the word
-before, the two words before and the classes of three words before (n-grams), the
-second word before and the classes of the second and third (skips), each a row of a
-weight table of fixed size. The token part uses corpus counts. A word's class follows
-from its ending, so it needs no table.
+its class, and a feature for each pair of neighbouring words that the corpus holds.
+
+* The class part is a maximum-entropy model over hashed features: the word before, the
+  two words before and the classes of three words before (n-grams), the second word
+  before and the classes of the second and third (skips), each a row of a weight table
+  of fixed size. A word's class follows from its ending, so it needs no table.
+* Without the pair, a token has its corpus share in its class. A pair (v, w) that occurs
+  n(v, w) times has the weight log(1 + g n(v, w) / ((1 - g) n(v) m(w))), where m(w) is
+  the chance by class and share. Then the softmax over all words of all classes has
+  1 / (1 - g) as its sum, so the chance is (1 - g) m(w) + g n(v, w) / n(v): no sum over
+  the vocabulary is made. Pairs are as many as the corpus has.
+* How far pairs of v are trusted, g, depends on n(v) by powers of two. It is the best for
+  all training tokens, each of which is left out of the counts that foretell it.
 
 Texts are cut into blocks of about ``BLOCK_BYTES``. A block is written once: its sorted
 distinct token hashes, and its texts as positions in that list. Everything else reads
@@ -13,11 +21,12 @@ blocks, so texts are split only once:
 
 * Counts. A block sends its hashes, with their training counts, to shards by hash range.
   A shard adds up over all blocks and answers each block with the corpus counts of its
-  hashes. A word costs one entry per block, however often it occurs.
+  hashes. A word or pair costs one entry per block, however often it occurs there.
 * Training. Tasks start a round from the same weights, take AdaGrad steps over their
   blocks, and return the change of each touched row. Spark adds the changes, weighted by
   how often a row was used, and the next round starts from the mean.
-* Scoring. Blocks meet their counts and are scored in numpy.
+* Scoring. Blocks meet their counts; the chances of each token by the class model and by
+  pairs are written, with sums from which the trust in pairs is found, then added up.
 """
 
 from __future__ import annotations
@@ -32,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import fold, mix, rows_of, sliced, words_of
-from clickloom.sources.shared import stage
+from clickloom.sources.shared import discard, stage
 
 BLOCK_BYTES = 4 << 20
 SHARD_ENTRIES = 2 << 20
@@ -45,12 +54,26 @@ DAMPING = 400.0
 STEP_TOKENS = 1 << 16
 
 END = np.uint64(0x2545F4914F6CDD1D)
+PAIR = np.uint64(0xD6E8FEB86659FD93)
+
+# Trust in pairs: a level for each power of two of the first word's count. Tokens are
+# summed by half powers of two of how much more likely the pair makes them; 0 is "no pair".
+LEVELS = 64
+RATIOS = 130
+RATIO_ONE = 41
+HALVINGS = 50
 
 BLOCKS = (
     "doc_id array<bigint>, held_out array<boolean>, n_tokens array<int>, entries bigint, "
     "vocabulary binary, classes binary, counts binary, tokens binary"
 )
-ANSWERS = "block bigint, shard int, known binary, class_tokens array<bigint>, class_words array<bigint>"
+ANSWERS = (
+    "block bigint, shard int, words int, known binary, class_tokens array<bigint>, class_words array<bigint>"
+)
+CHANCES = (
+    "doc_id array<bigint>, held_out array<boolean>, n_tokens array<int>, n_known array<bigint>, "
+    "base_score array<double>, model binary, pair binary, level binary, tally binary"
+)
 SCORES = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
     "base_score double, score double"
@@ -91,7 +114,7 @@ def _block(parts: list, ids: list, held: list) -> list:
         ids,
         held,
         sizes.tolist(),
-        len(vocabulary),
+        len(vocabulary) + len(tokens),  # pairs are as many as tokens at most
         vocabulary.tobytes(),
         classes[first].tobytes(),
         pack(counts.astype(np.uint32)),
@@ -129,48 +152,73 @@ def _block_batches(batches):
         yield one(parts, ids, held)
 
 
+def pairs_of(vocabulary: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Hash of each token of a block with the token before it, an end before a text."""
+    words = vocabulary[tokens]
+    return mix(mix(np.roll(words, 1) ^ PAIR) ^ words)  # a block's last token is an end
+
+
+def _shard_edges(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """Where the hashes of each shard begin in sorted hashes."""
+    shard = (hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+    return np.searchsorted(shard, np.arange(shards + 1))
+
+
 def _request_batches(batches, shards: int):
-    """One row for each shard that holds hashes of the block."""
+    """One row for each shard that holds hashes of the block: its words, then its pairs."""
     for batch in batches:
         for row in rows_of(batch):
             vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
             counts, classes = unpack(row["counts"], np.uint32), np.frombuffer(row["classes"], np.uint8)
-            shard = (vocabulary >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
-            edges = np.searchsorted(shard, np.arange(shards + 1))
-            filled = np.flatnonzero(np.diff(edges))
-            cuts = [slice(edges[s], edges[s + 1]) for s in filled]
+            tokens = unpack(row["tokens"], np.uint32)
+            learn = np.repeat(~np.array(row["held_out"], bool), row["n_tokens"])
+            pairs, where = np.unique(pairs_of(vocabulary, tokens), return_inverse=True)
+            pair_counts = np.bincount(where[learn], minlength=len(pairs)).astype(np.uint32)
+            word_edges, pair_edges = _shard_edges(vocabulary, shards), _shard_edges(pairs, shards)
+            filled = np.flatnonzero(np.diff(word_edges) + np.diff(pair_edges))
+            own_words = [slice(word_edges[s], word_edges[s + 1]) for s in filled]
+            own_pairs = [slice(pair_edges[s], pair_edges[s + 1]) for s in filled]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(cuts), row["block"])),
+                    pa.array(np.full(len(filled), row["block"])),
                     pa.array(filled, pa.int32()),
-                    pa.array([vocabulary[c].tobytes() for c in cuts], pa.binary()),
-                    pa.array([counts[c].tobytes() for c in cuts], pa.binary()),
-                    pa.array([classes[c].tobytes() for c in cuts], pa.binary()),
+                    pa.array([vocabulary[c].tobytes() for c in own_words], pa.binary()),
+                    pa.array([counts[c].tobytes() for c in own_words], pa.binary()),
+                    pa.array([classes[c].tobytes() for c in own_words], pa.binary()),
+                    pa.array([pairs[c].tobytes() for c in own_pairs], pa.binary()),
+                    pa.array([pair_counts[c].tobytes() for c in own_pairs], pa.binary()),
                 ],
-                names=["block", "shard", "vocabulary", "counts", "classes"],
+                names=["block", "shard", "vocabulary", "counts", "classes", "pairs", "pair_counts"],
             )
 
 
+def _totals(hashes, counts) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of the hashes of several requests: the sum of each different one, where it is first
+    met, and the sums by request."""
+    parts = [np.frombuffer(v, np.uint64) for v in hashes]
+    given = np.concatenate([np.frombuffer(v, np.uint32) for v in counts])
+    distinct, first, where = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
+    total = np.zeros(len(distinct), np.int64)
+    np.add.at(total, where, given.astype(np.int64))
+    return total, first, np.split(total[where], np.cumsum([len(p) for p in parts])[:-1])
+
+
 def _answer(requests):
     """Corpus counts for the requests of one shard, and the shard's totals by class."""
     import pandas as pd
 
-    parts = [np.frombuffer(v, np.uint64) for v in requests["vocabulary"]]
-    counts = np.concatenate([np.frombuffer(v, np.uint32) for v in requests["counts"]])
-    classes = np.concatenate([np.frombuffer(v, np.uint8) for v in requests["classes"]])
-    distinct, first, where = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, where, counts.astype(np.int64))
-    kind = classes[first]
+    total, first, words = _totals(requests["vocabulary"], requests["counts"])
+    _, _, pairs = _totals(requests["pairs"], requests["pair_counts"])
+    kind = np.concatenate([np.frombuffer(v, np.uint8) for v in requests["classes"]])[first]
     class_tokens = np.zeros(CLASSES, np.int64)
     np.add.at(class_tokens, kind, total)
     class_words = np.bincount(kind[total > 0], minlength=CLASSES)
-    known = np.split(total[where], np.cumsum([len(p) for p in parts])[:-1])
     answers = pd.DataFrame(
         {
             "block": requests["block"],
             "shard": requests["shard"],
-            "known": [k.tobytes() for k in known],
+            "words": [len(w) for w in words],
+            "known": [pack(np.concatenate([w, p])) for w, p in zip(words, pairs)],
             "class_tokens": None,
             "class_words": None,
         }
@@ -179,6 +227,7 @@ def _answer(requests):
         {
             "block": [-1],
             "shard": requests["shard"].iloc[:1].tolist(),
+            "words": [0],
             "known": [b""],
             "class_tokens": [class_tokens.tolist()],
             "class_words": [class_words.tolist()],
@@ -300,36 +349,138 @@ def train(blocks: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
     return weights
 
 
-def _score_batches(batches, weights, class_tokens, class_words):
-    total, words = int(class_tokens.sum()), int(class_words.sum())
+def levels(counts: np.ndarray) -> np.ndarray:
+    """Level of trust for words that occur so often: 0 for none, then one more for each doubling."""
+    return np.minimum(np.frexp(counts.astype(np.float64))[1], LEVELS - 1)
+
+
+def ratio_bins(pair: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """Bin of how much more likely pairs make tokens than the model (natural log) does."""
+    bins = np.zeros(len(pair), np.int64)
+    met = pair > 0
+    ratio = np.log2(pair[met]) - model[met] / np.log(2)
+    bins[met] = np.clip(np.rint(2 * ratio) + RATIO_ONE, 1, RATIOS - 1)
+    return bins
+
+
+def best_trust(tally: np.ndarray) -> np.ndarray:
+    """Share g of pairs by level that gives the tokens of a tally (level, bin) the highest chance.
+
+    The chance is concave in g, so its slope is halved in on. Each level counts one token more
+    that no pair foretells, so g stays below 1. A level without tokens has the share of the one
+    below it; after a word that does not occur (level 0) there are no pairs.
+    """
+    ratio = 2.0 ** ((np.arange(RATIOS) - RATIO_ONE) / 2)
+    ratio[0] = 0
+    seen = tally.sum(axis=1)
+    weighed = tally.astype(np.float64)
+    weighed[:, 0] += 1
+    low, high = np.zeros(LEVELS), np.ones(LEVELS)
+    for _ in range(HALVINGS):
+        share = (low + high) / 2
+        slope = (weighed * (ratio - 1) / (1 - share[:, None] + share[:, None] * ratio)).sum(axis=1)
+        low, high = np.where(slope > 0, share, low), np.where(slope > 0, high, share)
+    low[0] = 0
+    for level in range(1, LEVELS):
+        if not seen[level]:
+            low[level] = low[level - 1]
+    return low
+
+
+def token_chances(row: dict, weights: np.ndarray, class_tokens: np.ndarray, class_words: np.ndarray) -> dict:
+    """A block's tokens by the class model (natural log), by pairs, and their levels of trust.
+
+    The tally counts training tokens by level and ratio, each left out of the counts.
+    """
+    answers = sorted(row["answers"], key=lambda a: a["shard"])
+    counts = [unpack(a["known"], np.int64) for a in answers]
+    known = np.concatenate([c[: a["words"]] for a, c in zip(answers, counts)])
+    pair_counts = np.concatenate([c[a["words"] :] for a, c in zip(answers, counts)])
+    vocabulary, classes = np.frombuffer(row["vocabulary"], np.uint64), np.frombuffer(row["classes"], np.uint8)
+    tokens = unpack(row["tokens"], np.uint32)
+    sizes = np.array(row["n_tokens"], np.int64)
+    first = np.cumsum(sizes) - sizes
+
+    log_count = np.log10(known + 0.5)
     by_class = np.log10(class_tokens + 0.5 * (class_words + 1))
+    in_class = (log_count - by_class[classes]) * np.log(10)
+    model, at = in_class[tokens], 0
+    for buckets, kind, _ in _steps(row):
+        logits = class_logits(weights, buckets)
+        own = logits[kind, np.arange(len(kind))]
+        top = logits.max(axis=0)
+        model[at : at + len(kind)] += own - np.log(np.exp(logits - top).sum(axis=0)) - top
+        at += len(kind)
+
+    met = pair_counts[np.unique(pairs_of(vocabulary, tokens), return_inverse=True)[1]]
+    before = known[np.roll(tokens, 1)]
+    learn = np.repeat(~np.array(row["held_out"], bool), sizes)
+    others, others_before = met[learn] - 1, before[learn] - 1
+    bins = ratio_bins(others / np.maximum(others_before, 1), model[learn])
+    total, words = int(class_tokens.sum()), int(class_words.sum())
+    return {
+        "n_known": np.add.reduceat((known > 0)[tokens].astype(np.int64), first),
+        "base_score": np.add.reduceat(log_count[tokens], first) - sizes * np.log10(total + 0.5 * (words + 1)),
+        "model": model.astype(np.float32),
+        "pair": (met / np.maximum(before, 1)).astype(np.float32),
+        "level": levels(before).astype(np.uint8),
+        "tally": np.bincount(levels(others_before) * RATIOS + bins, minlength=LEVELS * RATIOS),
+    }
+
+
+def _chance_batches(batches, weights, class_tokens, class_words):
+    names = [x.split()[0] for x in CHANCES.split(", ")]
     for batch in batches:
         for row in rows_of(batch):
-            answers = sorted(row["answers"], key=lambda a: a["shard"])
-            known = np.concatenate([np.frombuffer(a["known"], np.int64) for a in answers])
-            classes = np.frombuffer(row["classes"], np.uint8)
-            tokens = unpack(row["tokens"], np.uint32)
-            log_count = np.log10(known + 0.5)
-            in_class = log_count - by_class[classes]
+            made = token_chances(row, weights.value, class_tokens, class_words)
+            for name in ("model", "pair", "level", "tally"):
+                made[name] = pack(made[name])
+            values = {**{name: row[name] for name in ("doc_id", "held_out", "n_tokens")}, **made}
+            types = [pa.list_(t) for t in (pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.float64())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([values[n]], t) for n, t in zip(names, types + [pa.binary()] * 4)], names=names
+            )
+
+
+def _tally_batches(batches):
+    """Sum of the tallies that a task sees, cells that are not 0."""
+    total = np.zeros(LEVELS * RATIOS, np.int64)
+    for batch in batches:
+        for blob in batch.column("tally"):
+            total += unpack(blob.as_py(), np.int64)
+    cells = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "tokens"])
+
+
+def fit_trust(chances: DataFrame) -> np.ndarray:
+    """Trust in pairs by level, from the tallies of all blocks."""
+    cells = chances.select("tally").mapInArrow(_tally_batches, "cell bigint, tokens bigint")
+    tally = np.zeros(LEVELS * RATIOS)
+    for row in cells.groupBy("cell").agg(F.sum("tokens").alias("tokens")).collect():  # 8,320 at most
+        tally[row["cell"]] = row["tokens"]
+    return best_trust(tally.reshape(LEVELS, RATIOS))
+
+
+def log_chances(model: np.ndarray, pair: np.ndarray, level: np.ndarray, trust: np.ndarray) -> np.ndarray:
+    """Log10 chance of tokens."""
+    share = trust[level]
+    return np.log10((1 - share) * np.exp(model.astype(np.float64)) + share * pair)
+
+
+def _score_batches(batches, trust: np.ndarray, total: int):
+    for batch in batches:
+        for row in rows_of(batch):
+            kept = {n: unpack(row[n], t) for n, t in (("model", "f4"), ("pair", "f4"), ("level", "u1"))}
             sizes = np.array(row["n_tokens"], np.int64)
-            first = np.cumsum(sizes) - sizes
-            model = np.zeros(len(sizes))
-            for buckets, kind, text in _steps(row):
-                logits = class_logits(weights.value, buckets)
-                own = logits[kind, np.arange(len(kind))]
-                top = logits.max(axis=0)
-                spread = np.log(np.exp(logits - top).sum(axis=0)) + top
-                model += np.bincount(text, weights=(own - spread).astype(np.float64), minlength=len(sizes))
-            base = np.add.reduceat(log_count[tokens], first) - sizes * np.log10(total + 0.5 * (words + 1))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(row["doc_id"], pa.int64()),
                     pa.array(row["held_out"], pa.bool_()),
                     pa.array(sizes),
-                    pa.array(np.add.reduceat((known > 0)[tokens].astype(np.int64), first)),
+                    pa.array(row["n_known"], pa.int64()),
                     pa.array(np.full(len(sizes), total)),
-                    pa.array(base),
-                    pa.array(model / np.log(10) + np.add.reduceat(in_class[tokens], first)),
+                    pa.array(row["base_score"], pa.float64()),
+                    pa.array(np.add.reduceat(log_chances(**kept, trust=trust), np.cumsum(sizes) - sizes)),
                 ],
                 names=[x.split()[0] for x in SCORES.split(", ")],
             )
@@ -355,9 +506,10 @@ def score_documents(documents: DataFrame, held_fold: int = 1, folds: int = 5, ro
     spark = blocks.sparkSession
     entries = blocks.agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0]
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // SHARD_ENTRIES))
-    requests = blocks.select("block", "vocabulary", "counts", "classes").mapInArrow(
+    requests = blocks.drop("doc_id", "entries").mapInArrow(
         functools.partial(_request_batches, shards=shards),
-        "block bigint, shard int, vocabulary binary, counts binary, classes binary",
+        "block bigint, shard int, vocabulary binary, counts binary, classes binary, "
+        "pairs binary, pair_counts binary",
     )
     answers = stage(requests.groupBy("shard").applyInPandas(_answer, ANSWERS), "answers")
     sums = [
@@ -367,13 +519,20 @@ def score_documents(documents: DataFrame, held_fold: int = 1, folds: int = 5, ro
     ]
     totals = np.array(answers.where("block < 0").agg(*sums).first(), np.int64)
     weights = spark.sparkContext.broadcast(train(blocks, rounds))
-    replies = (
-        answers.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "known")).alias("answers"))
-    )
-    scored = blocks.drop("counts", "entries").join(replies, "block")
-    return scored.mapInArrow(
-        functools.partial(
-            _score_batches, weights=weights, class_tokens=totals[:CLASSES], class_words=totals[CLASSES:]
+    replies = answers.where("block >= 0").groupBy("block")
+    replies = replies.agg(F.collect_list(F.struct("shard", "words", "known")).alias("answers"))
+    class_tokens, class_words = totals[:CLASSES], totals[CLASSES:]
+    met = blocks.drop("counts", "entries").join(replies, "block")
+    chances = stage(
+        met.mapInArrow(
+            functools.partial(
+                _chance_batches, weights=weights, class_tokens=class_tokens, class_words=class_words
+            ),
+            CHANCES,
         ),
-        SCORES,
+        "chances",
+    )
+    discard(blocks, answers)
+    return chances.drop("tally").mapInArrow(
+        functools.partial(_score_batches, trust=fit_trust(chances), total=int(class_tokens.sum())), SCORES
     )

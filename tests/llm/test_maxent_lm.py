@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from text_cases import ODD, documents, no_documents, odd_documents, words
 
@@ -52,12 +53,104 @@ def test_contexts_stay_within_texts():
         assert (own == together[:, starts[n] : starts[n] + size[0]]).all()
 
 
-def test_token_chances_sum_to_one(spark):
-    """Classes by softmax, tokens within a class by counts and one unknown token."""
-    class_tokens, class_words = np.array([7, 0, 5]), np.array([2, 0, 1])
-    for tokens, kinds in zip(class_tokens, class_words):
-        known = tokens + 0.5 * kinds
-        assert math.isclose((known + 0.5) / (tokens + 0.5 * (kinds + 1)), 1)
+def met_block(texts, held, shards=3):
+    """One block of texts that has met its counts, and the totals by class."""
+    block = maxent_lm._block([maxent_lm.token_stream(pa.array(texts))], list(range(len(texts))), held)
+    names = [x.split()[0] for x in maxent_lm.BLOCKS.split(", ")]
+    row = {**dict(zip(names, block)), "block": 0}
+    (requests,) = maxent_lm._request_batches([pa.RecordBatch.from_pylist([row])], shards)
+    made = pd.concat(maxent_lm._answer(own) for _, own in requests.to_pandas().groupby("shard"))
+    totals = made[made["block"] < 0]
+    row["answers"] = made[made["block"] >= 0].to_dict("records")
+    return row, np.sum(totals["class_tokens"].tolist(), axis=0), np.sum(totals["class_words"].tolist(), axis=0)
+
+
+def class_of(word):
+    return int(maxent_lm.token_stream(pa.array([word]))[1][0])
+
+
+def test_token_chances_sum_to_one():
+    """Over all words of the corpus, the end and one unknown word a class, after a known word."""
+    learned = ["a b c d", "a b b", "a c", "b a b a", "d a c a b"]
+    unknown, n = {}, 0
+    while len(unknown) < maxent_lm.CLASSES - 1:
+        unknown.setdefault(class_of(f"w{n}"), f"w{n}")
+        n += 1
+    probes = [f"a {w}" for w in ("a", "b", "c", "d", *unknown.values())]
+    row, class_tokens, class_words = met_block([*learned, *probes], [False] * len(learned) + [True] * len(probes))
+    weights = np.random.default_rng(1).normal(size=(maxent_lm.BUCKETS, maxent_lm.CLASSES)).astype(np.float32)
+    made = maxent_lm.token_chances(row, weights, class_tokens, class_words)
+    trust = np.full(maxent_lm.LEVELS, 0.4)
+    chance = 10 ** maxent_lm.log_chances(made["model"], made["pair"], made["level"], trust)
+    starts = np.cumsum(row["n_tokens"]) - row["n_tokens"]
+    after_a = chance[starts[len(learned) :] + 1]
+    # The end after "a": only its pair and its class part depend on the text's context.
+    ending = [*learned, "a"]
+    row, class_tokens, class_words = met_block(ending, [False] * len(learned) + [True])
+    made = maxent_lm.token_chances(row, weights, class_tokens, class_words)
+    end = 10 ** maxent_lm.log_chances(made["model"], made["pair"], made["level"], trust)[-1]
+    # The class of the end has an unknown word's share, too, that no word takes.
+    unmet = 0.6 * np.exp(made["model"][-1]) * 0.5 / (len(learned) + 0.5)
+    assert math.isclose(after_a.sum() + end + unmet, 1, rel_tol=1e-5)
+
+
+def plain_scores(texts):
+    """Scores by definition with a class model of zero weights, for {doc_id: text}."""
+    tokens = {i: [*words(t), "\n"] for i, t in texts.items()}
+    learned = {i: own for i, own in tokens.items() if zlib.crc32(str(i).encode()) % 5 != 1}
+    counts = Counter(w for own in learned.values() for w in own)
+    pairs = Counter(p for own in learned.values() for p in zip(["\n", *own], own))
+    kinds = {w: class_of(w) if w != "\n" else 0 for own in tokens.values() for w in own}
+    mass = Counter()
+    for w, c in counts.items():
+        mass[kinds[w]] += c + 0.5
+
+    def model(w):
+        return (counts[w] + 0.5) / (mass[kinds[w]] + 0.5) / maxent_lm.CLASSES
+
+    ratios = {}
+    for own in learned.values():
+        for v, w in zip(["\n", *own], own):
+            pair = (pairs[v, w] - 1) / (counts[v] - 1) if counts[v] > 1 else 0
+            ratio = 2 ** (round(2 * math.log2(pair / model(w))) / 2) if pair else 0
+            ratios.setdefault((counts[v] - 1).bit_length(), [0]).append(ratio)
+    shares, best = {0: 0}, 0
+    for level in range(1, max(ratios, default=0) + 3):
+        if level in ratios:
+            grid = [n / 20_000 for n in range(20_000)]
+            best = max(grid, key=lambda g: sum(math.log(1 - g + g * r) for r in ratios[level]))
+        shares[level] = best
+    found = {}
+    for i, own in tokens.items():
+        found[i] = 0
+        for v, w in zip(["\n", *own], own):
+            g = shares[counts[v].bit_length()]
+            found[i] += math.log10((1 - g) * model(w) + (g * pairs[v, w] / counts[v] if g else 0))
+    return found
+
+
+def test_scores_by_definition(spark):
+    rng = np.random.default_rng(3)
+    made = {n: " ".join(rng.choice(list("abcdefgh") + ["ab", "cd"], rng.integers(0, 30))) for n in range(40)}
+    made |= {50: "a b c d e f g h", 51: "a b c d e f g h", 52: "", 53: "never met"}
+    rows = maxent_lm.score_documents(
+        spark.createDataFrame(list(made.items()), "doc_id bigint, text string").repartition(3), rounds=0
+    ).collect()
+    want = plain_scores(made)
+    assert len(rows) == len(want)
+    for row in rows:
+        assert math.isclose(row.score, want[row.doc_id], rel_tol=1e-3), row
+
+
+def test_pairs_tell_words_of_a_class_apart(spark):
+    """Words with equal endings are of one class; only pairs know which of them follows."""
+    learned = ["red cat", "blue rat"] * 40
+    spots = [n for n in range(400) if zlib.crc32(str(n).encode()) % 5 != 1][: len(learned)]
+    held = [n for n in range(400) if zlib.crc32(str(n).encode()) % 5 == 1][:2]
+    texts = list(zip(spots, learned)) + list(zip(held, ["red cat", "red rat"]))
+    rows = maxent_lm.score_documents(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()
+    score = {r.doc_id: r.score for r in rows}
+    assert class_of("cat") == class_of("rat") and score[held[0]] > score[held[1]] + 1
 
 
 def test_model_beats_base_on_held_out_texts(spark):
