@@ -63,6 +63,10 @@ RATIOS = 130
 RATIO_ONE = 41
 HALVINGS = 50
 
+# Blocks meet their counts in so many portions, one after the other, each of which frees
+# its shuffle: less disk at once.
+PORTIONS = 2
+
 BLOCKS = (
     "doc_id array<bigint>, held_out array<boolean>, n_tokens array<int>, entries bigint, "
     "vocabulary binary, classes binary, counts binary, tokens binary"
@@ -91,6 +95,15 @@ def unpack(blob: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
 
 
+def pack_sorted(hashes: np.ndarray) -> bytes:
+    """Sorted hashes by their distances, whose leading bytes are mostly 0."""
+    return pack(np.diff(hashes, prepend=np.uint64(0)))
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack(blob, np.uint64))
+
+
 def token_stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, class, tokens per text): the words of each text, then one end."""
     words = words_of(texts)
@@ -115,8 +128,8 @@ def _block(parts: list, ids: list, held: list) -> list:
         held,
         sizes.tolist(),
         len(vocabulary) + len(tokens),  # pairs are as many as tokens at most
-        vocabulary.tobytes(),
-        classes[first].tobytes(),
+        pack_sorted(vocabulary),
+        pack(classes[first]),
         pack(counts.astype(np.uint32)),
         pack(tokens.astype(np.uint32)),
     ]
@@ -168,8 +181,8 @@ def _request_batches(batches, shards: int):
     """One row for each shard that holds hashes of the block: its words, then its pairs."""
     for batch in batches:
         for row in rows_of(batch):
-            vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
-            counts, classes = unpack(row["counts"], np.uint32), np.frombuffer(row["classes"], np.uint8)
+            vocabulary = unpack_sorted(row["vocabulary"])
+            counts, classes = unpack(row["counts"], np.uint32), unpack(row["classes"], np.uint8)
             tokens = unpack(row["tokens"], np.uint32)
             learn = np.repeat(~np.array(row["held_out"], bool), row["n_tokens"])
             pairs, where = np.unique(pairs_of(vocabulary, tokens), return_inverse=True)
@@ -276,8 +289,8 @@ def class_logits(weights: np.ndarray, buckets: np.ndarray) -> np.ndarray:
 
 def _steps(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(buckets, class, text number) of the block's tokens, some texts at a time."""
-    vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
-    classes = np.frombuffer(row["classes"], np.uint8)
+    vocabulary = unpack_sorted(row["vocabulary"])
+    classes = unpack(row["classes"], np.uint8)
     tokens = unpack(row["tokens"], np.uint32)
     sizes = np.array(row["n_tokens"], np.int64)
     ends = np.cumsum(sizes)
@@ -396,7 +409,7 @@ def token_chances(row: dict, weights: np.ndarray, class_tokens: np.ndarray, clas
     counts = [unpack(a["known"], np.int64) for a in answers]
     known = np.concatenate([c[: a["words"]] for a, c in zip(answers, counts)])
     pair_counts = np.concatenate([c[a["words"] :] for a, c in zip(answers, counts)])
-    vocabulary, classes = np.frombuffer(row["vocabulary"], np.uint64), np.frombuffer(row["classes"], np.uint8)
+    vocabulary, classes = unpack_sorted(row["vocabulary"]), unpack(row["classes"], np.uint8)
     tokens = unpack(row["tokens"], np.uint32)
     sizes = np.array(row["n_tokens"], np.int64)
     first = np.cumsum(sizes) - sizes
@@ -522,16 +535,13 @@ def score_documents(documents: DataFrame, held_fold: int = 1, folds: int = 5, ro
     replies = answers.where("block >= 0").groupBy("block")
     replies = replies.agg(F.collect_list(F.struct("shard", "words", "known")).alias("answers"))
     class_tokens, class_words = totals[:CLASSES], totals[CLASSES:]
-    met = blocks.drop("counts", "entries").join(replies, "block")
-    chances = stage(
-        met.mapInArrow(
-            functools.partial(
-                _chance_batches, weights=weights, class_tokens=class_tokens, class_words=class_words
-            ),
-            CHANCES,
-        ),
-        "chances",
-    )
+    count = functools.partial(_chance_batches, weights=weights, class_tokens=class_tokens, class_words=class_words)
+    portions = []
+    for portion in range(PORTIONS):
+        own = F.col("block") % PORTIONS == portion
+        met = blocks.drop("counts", "entries").where(own).join(replies.where(own), "block")
+        portions.append(stage(met.mapInArrow(count, CHANCES), "chances"))
+    chances = functools.reduce(DataFrame.unionAll, portions)
     discard(blocks, answers)
     return chances.drop("tally").mapInArrow(
         functools.partial(_score_batches, trust=fit_trust(chances), total=int(class_tokens.sum())), SCORES

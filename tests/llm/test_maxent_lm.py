@@ -41,6 +41,8 @@ def test_nothing_to_learn_from(spark):
 def test_packing_of_numbers():
     values = np.array([0, 1, 300, 70_000, 2**32 - 1], np.uint32)
     assert (maxent_lm.unpack(maxent_lm.pack(values), np.uint32) == values).all()
+    for hashes in (np.zeros(0, np.uint64), np.array([0, 5, 2**63, 2**64 - 1], np.uint64)):
+        assert (maxent_lm.unpack_sorted(maxent_lm.pack_sorted(hashes)) == hashes).all()
 
 
 def test_contexts_stay_within_texts():
