@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ from clickloom.llm.common import fold, mix, rows_of, sliced, words_of
 from clickloom.sources.shared import discard, stage
 
 BLOCK_BYTES = 4 << 20
-SHARD_ENTRIES = 2 << 20
+SHARD_ENTRIES = 1 << 20
 CLASSES = 16
 BUCKETS = 1 << 14
 ROUNDS = 2
@@ -205,48 +206,53 @@ def _request_batches(batches, shards: int):
             )
 
 
-def _totals(hashes, counts) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of the hashes of several requests: the sum of each different one, where it is first
-    met, and the sums by request."""
-    parts = [np.frombuffer(v, np.uint64) for v in hashes]
-    given = np.concatenate([np.frombuffer(v, np.uint32) for v in counts])
-    distinct, first, where = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, where, given.astype(np.int64))
-    return total, first, np.split(total[where], np.cumsum([len(p) for p in parts])[:-1])
+def _numbers(column: pa.ChunkedArray, dtype) -> np.ndarray:
+    """All numbers in a column of blobs, in the order of its rows."""
+    parts = [np.zeros(0, dtype)]
+    for chunk in column.chunks:
+        offsets = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset :][: len(chunk) + 1]
+        if offsets[-1] > offsets[0]:
+            parts.append(np.frombuffer(chunk.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(dtype))
+    return np.concatenate(parts)
 
 
-def _answer(requests):
-    """Corpus counts for the requests of one shard, and the shard's totals by class."""
-    import pandas as pd
+def _totals(requests: pa.Table, hashes: str, counts: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sum of the counts of each different hash, a place where it is met, and its sum at all places."""
+    given, every = _numbers(requests[counts], np.uint32), _numbers(requests[hashes], np.uint64)
+    order = np.argsort(every)
+    every = every[order]
+    new = np.ones(len(every), bool)
+    new[1:] = every[1:] != every[:-1]
+    del every
+    total = np.add.reduceat(given[order], np.flatnonzero(new), dtype=np.int64)
+    known = np.empty(len(order), np.int64)
+    known[order] = np.repeat(total, np.diff(np.flatnonzero(np.append(new, True))))
+    return total, order[new], known
+
 
-    total, first, words = _totals(requests["vocabulary"], requests["counts"])
-    _, _, pairs = _totals(requests["pairs"], requests["pair_counts"])
-    kind = np.concatenate([np.frombuffer(v, np.uint8) for v in requests["classes"]])[first]
+def _answer(requests: pa.Table) -> pa.Table:
+    """Corpus counts for the requests of one shard, and the shard's totals by class."""
+    total, first, words = _totals(requests, "vocabulary", "counts")
+    kind = _numbers(requests["classes"], np.uint8)[first]
     class_tokens = np.zeros(CLASSES, np.int64)
     np.add.at(class_tokens, kind, total)
     class_words = np.bincount(kind[total > 0], minlength=CLASSES)
-    answers = pd.DataFrame(
-        {
-            "block": requests["block"],
-            "shard": requests["shard"],
-            "words": [len(w) for w in words],
-            "known": [pack(np.concatenate([w, p])) for w, p in zip(words, pairs)],
-            "class_tokens": None,
-            "class_words": None,
-        }
+    pairs = _totals(requests, "pairs", "pair_counts")[2]
+    n_words, n_pairs = (
+        pc.binary_length(requests[name]).to_numpy().astype(np.int64) // 8 for name in ("vocabulary", "pairs")
     )
-    totals = pd.DataFrame(
+    parts = zip(np.split(words, np.cumsum(n_words)[:-1]), np.split(pairs, np.cumsum(n_pairs)[:-1]))
+    rows, shard = len(n_words), requests["shard"][0].as_py()
+    return pa.table(
         {
-            "block": [-1],
-            "shard": requests["shard"].iloc[:1].tolist(),
-            "words": [0],
-            "known": [b""],
-            "class_tokens": [class_tokens.tolist()],
-            "class_words": [class_words.tolist()],
+            "block": pa.array([*requests["block"].to_pylist(), -1], pa.int64()),
+            "shard": pa.array([shard] * (rows + 1), pa.int32()),
+            "words": pa.array([*n_words.tolist(), 0], pa.int32()),
+            "known": pa.array([*(pack(np.concatenate(own)) for own in parts), b""], pa.binary()),
+            "class_tokens": pa.array([None] * rows + [class_tokens.tolist()], pa.list_(pa.int64())),
+            "class_words": pa.array([None] * rows + [class_words.tolist()], pa.list_(pa.int64())),
         }
     )
-    return pd.concat([answers, totals], ignore_index=True)
 
 
 def contexts(tokens: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -524,7 +530,7 @@ def score_documents(documents: DataFrame, held_fold: int = 1, folds: int = 5, ro
         "block bigint, shard int, vocabulary binary, counts binary, classes binary, "
         "pairs binary, pair_counts binary",
     )
-    answers = stage(requests.groupBy("shard").applyInPandas(_answer, ANSWERS), "answers")
+    answers = stage(requests.groupBy("shard").applyInArrow(_answer, ANSWERS), "answers")
     sums = [
         F.coalesce(F.sum(F.col(name)[c]), F.lit(0)).alias(f"{name}{c}")
         for name in ("class_tokens", "class_words")

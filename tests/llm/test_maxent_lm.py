@@ -5,7 +5,6 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from text_cases import ODD, documents, no_documents, odd_documents, words
 
@@ -61,10 +60,11 @@ def met_block(texts, held, shards=3):
     names = [x.split()[0] for x in maxent_lm.BLOCKS.split(", ")]
     row = {**dict(zip(names, block)), "block": 0}
     (requests,) = maxent_lm._request_batches([pa.RecordBatch.from_pylist([row])], shards)
-    made = pd.concat(maxent_lm._answer(own) for _, own in requests.to_pandas().groupby("shard"))
-    totals = made[made["block"] < 0]
-    row["answers"] = made[made["block"] >= 0].to_dict("records")
-    return row, np.sum(totals["class_tokens"].tolist(), axis=0), np.sum(totals["class_words"].tolist(), axis=0)
+    own = [pa.Table.from_batches([requests.slice(n, 1)]) for n in range(requests.num_rows)]
+    made = [r for part in own for r in maxent_lm._answer(part).to_pylist()]
+    row["answers"] = [r for r in made if r["block"] >= 0]
+    totals = [r for r in made if r["block"] < 0]
+    return row, *(np.sum([r[n] for r in totals], axis=0) for n in ("class_tokens", "class_words"))
 
 
 def class_of(word):
