@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm import set_join
 from clickloom.llm.common import sliced, words_of
 from clickloom.sources.shared import stage
 
@@ -154,8 +155,26 @@ def _measure_batches(batches):
             )
 
 
+def _near_measured(docs: DataFrame, width: int, similarity: int) -> DataFrame:
+    """Sizes of texts with their components of near copies; texts stay where they are read."""
+    found = set_join.jaccard_components(docs, width, similarity, by_row=True).where("n_shingles > 0")
+    found = found.select(
+        F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), F.col("component_id").cast("string")
+    ).distinct()
+    words = F.coalesce(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0))
+    sizes = docs.select(
+        "doc_id", "source", (words + 1).cast("bigint").alias("n_tokens"), set_join.text_hash(F.col("text")).alias("hash")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("hash") == F.col("own_hash"))
+    return sizes.join(found, same, "left").select("doc_id", "source", "n_tokens", F.col("component_id").alias("cluster"))
+
+
 def pack_documents(
-    documents: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, cluster: str | None = None
+    documents: DataFrame,
+    capacity: int = CAPACITY,
+    shard_rows: int = SHARD_ROWS,
+    cluster: str | None = None,
+    near: tuple[int, int] | None = None,
 ) -> DataFrame:
     """One row for each document, or each chunk of one, with its place in a pack.
 
@@ -165,6 +184,8 @@ def pack_documents(
     (tokens before it in the pack), doc_id, source, chunk, first_token (in the text),
     n_tokens. ``cluster`` names a column with duplicate clusters; without it, texts with
     the same words, A-Z lower-cased, are a cluster, and texts without words are in none.
+    ``near`` (words a shingle, similarity in per cent) makes clusters of near copies instead:
+    the components that the Jaccard join finds. A component of rows without an id is none.
     Null sources and clusters conflict with nothing. Repeated rows are packed each; no
     rows give no rows; further columns are ignored.
     """
@@ -175,7 +196,9 @@ def pack_documents(
         F.col("text").cast("string").alias("text"),
         own.alias("given"),
     )
-    if cluster is None:
+    if near is not None:
+        measured = _near_measured(docs, *near)
+    elif cluster is None:
         measured = docs.drop("given").mapInArrow(
             _measure_batches, "doc_id bigint, source string, n_tokens bigint, cluster string"
         )

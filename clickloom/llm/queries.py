@@ -67,7 +67,7 @@ def op5_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_documents(table(spark, folder, "documents"))
+    return packing.pack_documents(table(spark, folder, "documents"), near=(5, 80))
 
 
 def op7_convolutional_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 from text_cases import ODD, documents, no_documents, odd_documents, words
 
-from clickloom.llm import packing
+from clickloom.llm import packing, set_join
 
 
 def plain_best_fit(items, capacity):
@@ -72,3 +72,23 @@ def test_odd_rows(spark):
         seen[r.doc_id] += r.n_tokens
     assert seen == sizes
     assert packing.pack_documents(no_documents(spark)).count() == 0
+
+
+def test_near_copies_are_a_cluster(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(200)}" for _ in range(60)]
+    texts = [" ".join(base[:n] + ["other"] + base[n + 1 :]) for n in (0, 1, 58, 59)] * 6 + ["", None, "", "short"]
+    texts += [" ".join(f"v{rng.randrange(200)}" for _ in range(30)) for _ in range(40)]
+    docs = documents(spark, texts)
+    rows = packing.pack_documents(docs, capacity=400, near=(5, 80)).collect()
+    sizes = Counter({n: len(words(t)) + 1 for n, t in enumerate(texts)})
+    component = {r.doc_id: r.component_id for r in set_join.jaccard_components(docs, 5, 80).collect()}
+    assert len({component[n] for n in range(24)}) == 1
+    check_packs(rows, sizes, 400, {n: (component[n],) if words(t) else () for n, t in enumerate(texts)})
+    seen, expected = Counter(), Counter()
+    for r in packing.pack_documents(odd_documents(spark), near=(5, 80)).collect():
+        seen[r.doc_id] += r.n_tokens
+    for i, t in ODD:
+        expected[i] += len(words(t)) + 1
+    assert seen == expected
+    assert packing.pack_documents(no_documents(spark), near=(5, 80)).count() == 0
