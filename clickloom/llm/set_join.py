@@ -275,14 +275,15 @@ def _set_batches(batches, width: int, wanted):
             )
 
 
-def _place(column: str):
+def id_place(column: str):
+    """Place of an id in the bits of ``id_filter``."""
     return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
     """Bits of the places that the ids fall on, of fixed size; others may share them."""
     rows = (
-        ids.select(_place("doc_id").alias("place"))
+        ids.select(id_place("doc_id").alias("place"))
         .groupBy(F.shiftright("place", 15).alias("chunk"))
         .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
         .toPandas()  # FILTER_BITS in all
@@ -369,7 +370,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, s
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     named = nodes.join(wanted, "node").select("node", "doc_id", "digest")
     bits = docs.sparkSession.sparkContext.broadcast(id_filter(named))
-    sets = docs.withColumn("place", _place("doc_id")).mapInArrow(
+    sets = docs.withColumn("place", id_place("doc_id")).mapInArrow(
         functools.partial(_set_batches, width=width, wanted=bits),
         "doc_id bigint, digest binary, shingles binary",
     )

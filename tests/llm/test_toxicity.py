@@ -73,3 +73,32 @@ def test_odd_rows(spark):
     assert toxicity.score_toxicity(no_documents(spark), marks).count() == 0
     kept = toxicity.drop_toxic(odd_documents(spark), labels(spark))
     assert kept.columns == odd_documents(spark).columns and kept.count() == 10
+
+
+def test_all_labelled_rows_are_learned(spark):
+    """A word that only labelled rows beyond the first thousands have, in any order of hashes, is learned."""
+    rng = random.Random(9)
+    ids = spark.range(9000).select("id", F.xxhash64("id").alias("hash"))
+    learned = [r.id for r in ids.where("crc32(cast(id as string)) % 5 <> 0").orderBy("hash").collect()]
+    held = [r.id for r in ids.where("crc32(cast(id as string)) % 5 = 0").collect()]
+    toxic = learned[::3] + held[::2]
+    late = set(learned[::3][2000:]) | set(held[::2])
+    mark = {n: ("zkwual" if n in late else "vopeen") for n in toxic}
+    assert len(late & set(learned)) > 200
+    rows = [(n, " ".join([*rng.choices("abcdefgh", k=5), mark.get(n, "plain")])) for n in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = toxicity.score_toxicity(docs, labels(spark, [(n, 1, int(n in mark)) for n in range(9000)]))
+    assert all(r.predicted == (r.doc_id in mark) for r in found.where("held_out").collect())
+
+
+def test_shards_learn_together(corpus):
+    docs, marks, truth = corpus
+    texts = docs.select("doc_id", "text")
+    one, again = (toxicity.fit_classifier(d, marks, shard_bytes=4096) for d in (texts, texts.repartition(7)))
+    assert len(one.nets) == 2
+    for x, y in zip(one.nets, again.nets):
+        assert np.array_equal(x.weights(), y.weights())
+    assert np.array_equal(one.thresholds, again.thresholds)
+    held = [r for r in texts.where("crc32(cast(doc_id as string)) % 5 = 0").collect()]
+    scores = one.scores(toxicity.Texts.of(pa.array([r.text for r in held])))
+    assert np.mean([(s >= 0.5) == truth[r.doc_id] for s, r in zip(scores, held)]) > 0.95
