@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm import set_join
-from clickloom.llm.common import Words, fold, plain, rows_of, sliced, words_of
+from clickloom.llm.common import Words, fold, plain, rows_of, runs, sliced, words_of
 from clickloom.sources.shared import discard, stage
 
 BUCKETS = 1 << 16
@@ -38,7 +38,7 @@ COLUMNS = 8
 WIDTHS = {1: 16, 2: 8, 3: 8}
 
 # Labelled text of a shard, about. A shard's weights go on from those of the round before.
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 2 << 20
 HALVES = 2
 ROUNDS = 4
 # Changes of weights are added as whole numbers of this size, so their order does not matter.
@@ -48,6 +48,7 @@ STEP = 1 / 256
 LIMIT = 64
 # Text scored at once: the responses to its words fit a processor's cache.
 SCORED_BYTES = 1 << 18
+SCORED_WORDS = 1 << 16
 BATCH = 32
 RATE = 0.05
 WORD_DROPOUT = 0.2
@@ -79,6 +80,13 @@ class Texts(NamedTuple):
     def first(self) -> np.ndarray:
         return np.cumsum(self.count) - self.count
 
+    def parts(self, words: int) -> Iterator[Texts]:
+        """Consecutive texts with about so many words."""
+        first = self.first
+        for a, b in runs(self.count, words):
+            own = self.count[a:b]
+            yield Texts(self.rows[:, first[a] : first[a] + own.sum()], own, self.language[a:b])
+
 
 def hashed_words(texts: pa.Array) -> tuple[Words, np.ndarray]:
     """Words of lower-cased texts, and the table rows of each (one line a table)."""
@@ -341,7 +349,8 @@ def _output_batches(batches, nets):
     """Numbers of labelled texts by the output of the network that did not learn from them."""
     for half, _, texts, toxic in _shards_of(batches):
         net = (half + 1) % len(nets.value)
-        logits = np.clip(nets.value[net].logits(texts), -LIMIT, LIMIT)
+        logits = np.concatenate([nets.value[net].logits(part) for part in texts.parts(SCORED_WORDS)])
+        logits = np.clip(logits, -LIMIT, LIMIT)
         cells = np.stack([texts.language, toxic, np.rint(logits / STEP)], axis=1).astype(np.int64)
         cells, rows = np.unique(cells, axis=0, return_counts=True)
         yield pa.RecordBatch.from_arrays(

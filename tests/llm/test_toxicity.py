@@ -102,3 +102,10 @@ def test_shards_learn_together(corpus):
     held = [r for r in texts.where("crc32(cast(doc_id as string)) % 5 = 0").collect()]
     scores = one.scores(toxicity.Texts.of(pa.array([r.text for r in held])))
     assert np.mean([(s >= 0.5) == truth[r.doc_id] for s, r in zip(scores, held)]) > 0.95
+
+
+def test_parts_of_texts_have_the_same_outputs():
+    net = toxicity.Network()
+    texts = toxicity.Texts.of(pa.array(["one two three", "", "four", "five six", ""]))
+    parts = [net.logits(part) for part in texts.parts(2)]
+    assert len(parts) > 1 and np.allclose(np.concatenate(parts), net.logits(texts))
