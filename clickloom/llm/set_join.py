@@ -16,9 +16,12 @@ does): then linked sets have two segments within their budgets, and if the sets
 neither hash, both segments are thin in both sets, that is empty, or of one shingle if a
 deletion is allowed. So each pair of thin segments is a signature.
 
-Below ``PREFIX_BELOW`` per cent the difference is so large that segments get short or
-each set gets several times as many signatures as it has shingles. There the signatures
-are the set's first shingles in one order of all shingles, as many as a linked set may
+Below ``WIDE_BELOW`` per cent the difference is so large that one-deletion segments alone
+would give each set several times as many signatures as it has shingles. There the cost
+model counts fewer chance candidates for a signature written, so more segments are exact.
+
+If asked, the signatures are not those of segments but
+the set's first shingles in one order of all shingles, as many as a linked set may
 lack and one more: two sets that link share one of those, whatever the order. Shingles
 that are common in a sample of the documents come last in the order, so that few sets
 meet by chance; the sample changes the cost, not the result.
@@ -40,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import int_lists, mix, sliced, words_of
+from clickloom.llm.common import Words, int_lists, mix, sliced, words_of
 from clickloom.llm.components import components
 from clickloom.sources.shared import discard, stage
 
@@ -51,8 +54,11 @@ SIMILARITY = 90
 CROWD = 50
 SHARED = 0.7
 
-# Similarities under this take the first shingles as signatures.
-PREFIX_BELOW = 85
+# Similarities under this count so many sets a segment instead; their signatures are dealt to
+# the first rows of equal texts in so many portions, each of which is shuffled alone.
+WIDE_BELOW = 85
+WIDE_CROWD = 8
+WIDE_PORTIONS = 3
 # Documents looked at for common shingles, how often one is seen there, and how many are kept.
 SAMPLE_DOCUMENTS = 10_000
 COMMON = 3
@@ -79,12 +85,12 @@ def band_table(similarity: int, largest: int) -> list[tuple[int, int, int, int]]
     table = []
     for low, high in bands(similarity):
         differences = 2 * high * (100 - similarity) // (100 + similarity)
-        table.append((low, high, *allocate(differences, high)))
+        table.append((low, high, *allocate(differences, high, CROWD if similarity >= WIDE_BELOW else WIDE_CROWD)))
         if low > largest:
             return table
 
 
-def allocate(differences: int, size: int) -> tuple[int, int]:
+def allocate(differences: int, size: int, crowd: float = CROWD) -> tuple[int, int]:
     """Cheapest (exact, one-deletion) numbers of segments.
 
     They spend differences + 1 units, and those of one segment more.
@@ -96,7 +102,7 @@ def allocate(differences: int, size: int) -> tuple[int, int]:
     def cost(deletions: int) -> float:
         parts = exact(deletions) + deletions
         written = parts + size * deletions / parts
-        return written + CROWD * parts * SHARED ** (size / parts)
+        return written + crowd * parts * SHARED ** (size / parts)
 
     best = min(range((differences + 2) // 2 + 2), key=cost)
     return exact(best), best
@@ -104,7 +110,10 @@ def allocate(differences: int, size: int) -> tuple[int, int]:
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[bytes, np.ndarray]]:
     """(digest of the word sequence, sorted distinct shingle hashes) of each text."""
-    found = words_of(texts)
+    return _word_shingles(words_of(texts), width)
+
+
+def _word_shingles(found: Words, width: int) -> Iterator[tuple[bytes, np.ndarray]]:
     first, hashes = found.first, found.hash
     factors = mix(np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     span = max(0, len(hashes) - width + 1)
@@ -199,7 +208,7 @@ def least_difference(one: np.ndarray, other: np.ndarray) -> int:
 
 
 PROFILE = (
-    "doc_id bigint, text_hash bigint, digest binary, n_shingles bigint, p0 bigint, p1 bigint, p2 bigint, p3 bigint, "
+    "doc_id bigint, text_hash bigint, source string, n_words bigint, digest binary, n_shingles bigint, p0 bigint, p1 bigint, p2 bigint, p3 bigint, "
     "sketch binary, signatures array<bigint>"
 )
 
@@ -234,7 +243,8 @@ def _profile_batches(batches, width: int, similarity: int, common):
     for batch in batches:
         for part in sliced(batch, "text"):
             digests, sizes, bits, sketches, made = [], [], [], [], []
-            for digest, shingles in shingle_sets(part.column("text"), width):
+            words = words_of(part.column("text"))
+            for digest, shingles in _word_shingles(words, width):
                 digests.append(digest)
                 sizes.append(len(shingles))
                 bits.append(parities(shingles))
@@ -248,13 +258,15 @@ def _profile_batches(batches, width: int, similarity: int, common):
                 [
                     part.column("doc_id").cast(pa.int64()),
                     part.column("text_hash"),
+                    part.column("source"),
+                    pa.array(words.count, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(sizes, pa.int64()),
                     *[pa.array(bits[:, i]) for i in range(4)],
                     pa.array(sketches, pa.binary()),
                     int_lists(np.concatenate(made), [len(x) for x in made]),
                 ],
-                names=["doc_id", "text_hash", "digest", "n_shingles", "p0", "p1", "p2", "p3", "sketch", "signatures"],
+                names=[field.split()[0] for field in PROFILE.split(", ")],
             )
 
 
@@ -396,7 +408,12 @@ def text_hash(text):
 
 
 def jaccard_components(
-    documents: DataFrame, width: int = SHINGLE_WORDS, similarity: int = SIMILARITY, by_row: bool = False
+    documents: DataFrame,
+    width: int = SHINGLE_WORDS,
+    similarity: int = SIMILARITY,
+    by_row: bool = False,
+    sized: bool = False,
+    by_first: bool = False,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id): components of documents with similar shingle sets.
 
@@ -404,24 +421,46 @@ def jaccard_components(
     distinct shingles of ``width`` words; a text with fewer words is one shingle. Texts
     that are null or without words have no shingles and link with nothing. The component
     id is the smallest doc_id of the component, null if it has none. Rows that repeat a
-    doc_id are texts of their own; ``by_row`` adds the column text_hash to find them by. An
-    empty table gives no rows; further columns are ignored.
+    doc_id are texts of their own; ``by_row`` adds the column text_hash to find them by,
+    ``sized`` the columns source and n_words. ``by_first`` takes first shingles instead of
+    segments as signatures, with the same result. An empty table gives no rows; further
+    columns are ignored.
     """
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if sized:
+        docs = documents.select(*docs.columns, "source").withColumns(
+            {c: F.col(c).cast(t) for c, t in (("doc_id", "bigint"), ("text", "string"), ("source", "string"))}
+        )
     hashed = text_hash(F.col("text")) if by_row else F.lit(None).cast("bigint")
+    given = docs.withColumn("text_hash", hashed)
+    if not sized:
+        given = given.withColumn("source", F.lit(None).cast("string"))
+    docs = docs.select("doc_id", "text")
     common = None
-    if similarity < PREFIX_BELOW:
+    if by_first:
         common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
-    profiles = docs.withColumn("text_hash", hashed).mapInArrow(
+    profiles = given.mapInArrow(
         functools.partial(_profile_batches, width=width, similarity=similarity, common=common), PROFILE
     )
     # Numbers given before the write are fixed by it.
     profiles = stage(profiles.withColumn("node", F.monotonically_increasing_id()), "profiles")
-    filled = profiles.where("n_shingles > 0")
+    kept = ["doc_id", *(["text_hash"] if by_row else []), *(["source", "n_words"] if sized else []), "n_shingles"]
+    filled = profiles.where("n_shingles > 0").drop("text_hash", "source", "n_words")
     # Equal word sequences are one node; copies meet nobody but their first row.
     first = filled.groupBy("digest").agg(F.min("node").alias("node"), F.min("doc_id").alias("low"))
-    signed = stage(filled.drop("text_hash").join(first.select("node", "low"), "node"), "signed")
-    rows = stage(profiles.select("doc_id", "text_hash", "digest", "n_shingles"), "rows")
+    first = first.select("node", "low")
+    if by_first or similarity >= WIDE_BELOW:
+        dealt = [stage(filled.join(first, "node"), "signed")]
+    else:
+        first = stage(first, "first")
+        portion = F.pmod(F.xxhash64("node"), F.lit(WIDE_PORTIONS))
+        dealt = [
+            stage(filled.where(portion == n).join(first.where(portion == n), "node"), "signed")
+            for n in range(WIDE_PORTIONS)
+        ]
+        discard(first)
+    signed = functools.reduce(DataFrame.unionAll, dealt)
+    rows = stage(profiles.select("digest", *kept), "rows")
     nodes = stage(signed.drop("signatures"), "nodes")
     discard(profiles)
     spread = signed.select("node", "signatures", F.posexplode("signatures").alias("at", "signature"))
@@ -437,7 +476,7 @@ def jaccard_components(
         "shared",
     )
     members = stage(spread.join(shared, "signature"), "members")
-    discard(signed, shared)
+    discard(*dealt, shared)
 
     traits = nodes.select("node", "n_shingles", "p0", "p1", "p2", "p3")
     star = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
@@ -492,8 +531,6 @@ def jaccard_components(
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     by_digest = placed.join(lowest, "root").select("digest", "component_id")
     return rows.join(by_digest, "digest", "left").select(
-        "doc_id",
-        *(["text_hash"] if by_row else []),
-        "n_shingles",
+        *kept,
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )

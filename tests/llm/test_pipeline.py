@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from test_line_dedup import plain_dedup
 from test_set_join import plain_components
 from text_cases import documents, labels, no_documents, odd_documents
 
 import corpus_pipeline
-from clickloom.llm import quality, toxicity
+from clickloom.llm import quality, set_join, toxicity
 from clickloom.llm.common import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -117,3 +118,22 @@ def test_line_dedup_keeps_columns_that_it_uses_itself(spark):
     assert kept.schema == docs.schema
     found = sorted(map(tuple, kept.collect()))
     assert found == [(n, f"own {n}", 77, 88, "x", 5) for n in range(5)] + [(5, f"{line}\nown 5", 77, 88, "x", 500)]
+
+
+def test_near_copies_meet_by_segments(spark, monkeypatch):
+    """The join stage partitions the universe; it has no other signatures."""
+    seen = []
+    stage = set_join.stage
+
+    def noted(df, purpose):
+        made = stage(df, purpose)
+        if purpose == "profiles":
+            seen.extend(made.select("n_shingles", "signatures").collect())
+        return made
+
+    monkeypatch.setattr(set_join, "stage", noted)
+    text = " ".join(f"w{n}" for n in range(64))
+    assert ids(corpus_pipeline.near_duplicates(spark, documents(spark, [text, text + " more"]), FOLDER)) == [0]
+    (_, shingles), *_ = set_join.shingle_sets(pa.array([text]), corpus_pipeline.NEAR_WORDS)
+    want = set_join.signatures(shingles, corpus_pipeline.NEAR_SIMILARITY).tolist()
+    assert [r.signatures for r in seen if r.n_shingles == 60] == [want]

@@ -210,3 +210,17 @@ def test_sketches_leave_out_unlinked_sets_only(similarity):
             assert possible or not linked
             dropped, kept = dropped + (not possible), kept + (possible and not linked)
     assert dropped > kept
+
+
+@pytest.mark.parametrize("width, similarity, seed", [(5, 80, 3), (2, 60, 4)])
+def test_first_shingles_against_all_pairs(spark, width, similarity, seed):
+    texts = near_texts(seed)
+    found = set_join.jaccard_components(documents(spark, texts), width, similarity, by_first=True).collect()
+    assert sorted(map(tuple, found)) == plain_components(list(enumerate(texts)), width, similarity)
+
+
+def test_wide_bands_have_segments_of_both_kinds():
+    table = set_join.band_table(80, 3000)
+    for low, high, exact, deletions in table:
+        assert exact + 2 * deletions >= 2 * high * 20 // 180 + 1
+    assert any(exact for _, _, exact, _ in table) and any(deletions for _, _, _, deletions in table)
