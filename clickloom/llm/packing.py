@@ -156,17 +156,10 @@ def _measure_batches(batches):
 
 
 def _near_measured(docs: DataFrame, width: int, similarity: int) -> DataFrame:
-    """Sizes of texts with their components of near copies; texts stay where they are read."""
-    found = set_join.jaccard_components(docs, width, similarity, by_row=True).where("n_shingles > 0")
-    found = found.select(
-        F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), F.col("component_id").cast("string")
-    ).distinct()
-    words = F.coalesce(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0))
-    sizes = docs.select(
-        "doc_id", "source", (words + 1).cast("bigint").alias("n_tokens"), set_join.text_hash(F.col("text")).alias("hash")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("hash") == F.col("own_hash"))
-    return sizes.join(found, same, "left").select("doc_id", "source", "n_tokens", F.col("component_id").alias("cluster"))
+    """Sizes of texts with their components of near copies; the join counts the words it reads."""
+    found = set_join.jaccard_components(docs, width, similarity, sized=True, by_first=True)
+    cluster = F.when(F.col("n_shingles") > 0, F.col("component_id").cast("string"))
+    return found.select("doc_id", "source", (F.col("n_words") + 1).alias("n_tokens"), cluster.alias("cluster"))
 
 
 def pack_documents(
