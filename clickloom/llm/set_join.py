@@ -18,13 +18,20 @@ deletion is allowed. So each pair of thin segments is a signature.
 
 Below ``WIDE_BELOW`` per cent the difference is so large that one-deletion segments alone
 would give each set several times as many signatures as it has shingles. There the cost
-model counts fewer chance candidates for a signature written, so more segments are exact.
+model counts fewer chance candidates for a signature written, so all but a few bands of
+small sets have exact segments only. Those bands get ``WIDE_SPARE`` times as many segments,
+of which a set sends its rarest only, as many as it and a linked set may differ in and one
+more. The first segment that linked sets share in one order of all segments, filled ones
+before empty ones, is among these for both, if they share a filled one. If they share none,
+each has at most as many filled segments as they differ in; a set with so few sends as many
+of its shingles, too, which are the segments of the finest partition. Segments that are
+common in a sample of the documents come last in the order, so that no signature is left to
+what many sets have; the sample changes the cost, not the result.
 
 If asked, the signatures are not those of segments but
 the set's first shingles in one order of all shingles, as many as a linked set may
 lack and one more: two sets that link share one of those, whatever the order. Shingles
-that are common in a sample of the documents come last in the order, so that few sets
-meet by chance; the sample changes the cost, not the result.
+that are common in such a sample come last in the order, so that few sets meet by chance.
 
 Candidates are then verified exactly on their whole shingle sets, but not all pairs of
 a group of signature sharers are made: a star around the group's first member is
@@ -40,7 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import Words, int_lists, mix, sliced, words_of
@@ -57,12 +64,16 @@ SHARED = 0.7
 # Similarities under this count so many sets a segment instead; their signatures are dealt to
 # the first rows of equal texts in so many portions, each of which is shuffled alone.
 WIDE_BELOW = 85
-WIDE_CROWD = 8
+WIDE_CROWD = 6
+WIDE_SPARE = 2
 WIDE_PORTIONS = 3
-# Documents looked at for common shingles, how often one is seen there, and how many are kept.
+# Pairs do not meet again at a signature if they share one of so many before it.
+WIDE_PRIOR = 8
+# Documents looked at for common shingles or segments, how often one is seen there, and how many are kept.
 SAMPLE_DOCUMENTS = 10_000
 COMMON = 3
 COMMON_SHINGLES = 1 << 17
+NOTHING_COMMON = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
 BITMAP_BITS = 256
 
@@ -132,26 +143,82 @@ def _word_shingles(found: Words, width: int) -> Iterator[tuple[bytes, np.ndarray
             yield digest, words
 
 
-def signatures(shingles: np.ndarray, similarity: int) -> np.ndarray:
+def _bands_of(size: int, similarity: int) -> Iterator[tuple[int, int, int, int]]:
+    """(number, high, exact segments, one-deletion segments) of the bands in which a set meets others."""
+    table = band_table(similarity, 1 << (100 * size // similarity + 1).bit_length())
+    own = next(i for i, (_, high, _, _) in enumerate(table) if size <= high)
+    for number in (own, own + 1):
+        low, *band = table[number]
+        if 100 * size >= similarity * low:  # else too small for any set of that band
+            yield number, *band
+
+
+def _seen(values: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How often each value was seen, 0 if it is not among the common ones."""
+    known, seen = common
+    if not len(known):
+        return np.zeros(len(values), np.int64)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return np.where(known[at] == values, seen[at], 0)
+
+
+def _salted(shingles: np.ndarray, number: int, parts: int) -> tuple[np.uint64, np.ndarray, np.ndarray]:
+    """A band's salt, and the set's hashes there by segment with the segment of each."""
+    salt = np.uint64((number + 1) * 0xD6E8FEB86659FD93 % (1 << 64))
+    token = mix(shingles ^ salt)
+    segment = ((token >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(segment, kind="stable")
+    return salt, mix(token[order]), segment[order]
+
+
+def spare_segments(shingles: np.ndarray, similarity: int) -> Iterator[tuple[np.ndarray, int]]:
+    """(hashes, how many of them are sent) in each wide band of exact segments only.
+
+    Of the filled segments, and, if they are too few, of the segments of one shingle.
+    """
+    size = len(shingles)
+    for number, high, exact, deletions in _bands_of(size, similarity):
+        if deletions:
+            continue
+        salt, token, segment = _salted(shingles, number, WIDE_SPARE * exact)
+        begins = np.concatenate([[0], np.flatnonzero(segment[1:] != segment[:-1]) + 1])
+        label = mix(segment[begins].astype(np.uint64) + salt)
+        filled = mix(np.add.reduceat(token, begins) ^ label)
+        largest = min(high, 100 * size // similarity)
+        sent = (100 - similarity) * (size + largest) // (100 + similarity) + 1
+        yield filled, sent
+        if len(filled) < sent:
+            yield mix(token + salt), sent
+
+
+def _wide_segments(shingles: np.ndarray, similarity: int) -> np.ndarray:
+    """All hashes that ``spare_segments`` chooses from."""
+    return np.concatenate([np.zeros(0, np.uint64), *(found for found, _ in spare_segments(shingles, similarity))])
+
+
+def signatures(
+    shingles: np.ndarray, similarity: int, common: tuple[np.ndarray, np.ndarray] = NOTHING_COMMON
+) -> np.ndarray:
     """Hashes of the set's filled segments, of their one-deletion neighbours and of pairs of
-    thin segments, for both bands.
+    thin segments, for both bands; in wide bands without deletions, of its rarest segments.
+
+    ``common`` is (sorted hashes of segments, how often each was seen) for these.
     """
     size = len(shingles)
     if not size:
         return np.zeros(0, np.int64)
-    table = band_table(similarity, 1 << (100 * size // similarity + 1).bit_length())
-    own = next(i for i, (_, high, _, _) in enumerate(table) if size <= high)
+    wide = similarity < WIDE_BELOW
     made = []
-    for number in (own, own + 1):
-        low, _, exact, deletions = table[number]
-        if 100 * size < similarity * low:
-            continue  # too small for any set of that band
+    if wide:
+        for found, sent in spare_segments(shingles, similarity):
+            if len(found) > sent:
+                found = found[np.lexsort((found, _seen(found, common)))[:sent]]
+            made.append(found)
+    for number, _, exact, deletions in _bands_of(size, similarity):
+        if wide and not deletions:
+            continue
         parts = exact + deletions
-        salt = np.uint64((number + 1) * 0xD6E8FEB86659FD93 % (1 << 64))
-        token = mix(shingles ^ salt)
-        segment = ((token >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(segment, kind="stable")
-        token, segment = mix(token[order]), segment[order]
+        salt, token, segment = _salted(shingles, number, parts)
         sums = np.concatenate([[np.uint64(0)], np.cumsum(token)])
         edges = np.searchsorted(segment, np.arange(parts + 1))
         total = sums[edges[1:]] - sums[edges[:-1]]
@@ -173,14 +240,9 @@ def first_shingles(shingles: np.ndarray, similarity: int, common: tuple[np.ndarr
     A linked set has at least similarity per cent of them. ``common`` is (sorted shingles,
     how often each was seen); all others come before them, in the order of their hashes.
     """
-    known, seen = common
-    rank = np.zeros(len(shingles), np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-        rank = np.where(known[at] == shingles, seen[at], 0)
     token = mix(shingles)
     needed = -(-similarity * len(shingles) // 100)
-    order = np.lexsort((token, rank))[: len(shingles) - needed + 1]
+    order = np.lexsort((token, _seen(shingles, common)))[: len(shingles) - needed + 1]
     return token[order].view(np.int64)
 
 
@@ -213,20 +275,26 @@ PROFILE = (
 )
 
 
-def _shingle_batches(batches, width: int):
+def _shingle_batches(batches, width: int, segments_at: int | None):
     for batch in batches:
         for part in sliced(batch, "text"):
-            for _, shingles in shingle_sets(part.column("text"), width):
-                yield pa.RecordBatch.from_arrays([pa.array(shingles.view(np.int64))], names=["shingle"])
+            made = [shingles for _, shingles in shingle_sets(part.column("text"), width)]
+            if segments_at is not None:
+                made = [_wide_segments(shingles, segments_at) for shingles in made if len(shingles)]
+            found = np.concatenate([np.zeros(0, np.uint64), *made])
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["shingle"])
+
 
+def common_shingles(docs: DataFrame, width: int, segments_at: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted shingles, how often seen) of those that a sample of the documents has often.
 
-def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted shingles, how often seen) of those that a sample of the documents has often."""
+    With ``segments_at``, a similarity, segments of wide bands instead of shingles.
+    """
     share = min(1.0, SAMPLE_DOCUMENTS / max(1, docs.count()))
     rows = (
         docs.select("text")
         .sample(share, seed=0)
-        .mapInArrow(functools.partial(_shingle_batches, width=width), "shingle bigint")
+        .mapInArrow(functools.partial(_shingle_batches, width=width, segments_at=segments_at), "shingle bigint")
         .groupBy("shingle")
         .agg(F.count("*").alias("seen"))
         .where(F.col("seen") >= COMMON)
@@ -239,7 +307,9 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
     return known[order], rows["seen"].to_numpy(np.int64)[order]
 
 
-def _profile_batches(batches, width: int, similarity: int, common):
+def _profile_batches(batches, width: int, similarity: int, common, by_first: bool):
+    signs = first_shingles if by_first else signatures
+    known = NOTHING_COMMON if common is None else common.value
     for batch in batches:
         for part in sliced(batch, "text"):
             digests, sizes, bits, sketches, made = [], [], [], [], []
@@ -249,10 +319,7 @@ def _profile_batches(batches, width: int, similarity: int, common):
                 sizes.append(len(shingles))
                 bits.append(parities(shingles))
                 sketches.append(sketch(shingles))
-                if common is None:
-                    made.append(signatures(shingles, similarity))
-                else:
-                    made.append(first_shingles(shingles, similarity, common.value))
+                made.append(signs(shingles, similarity, known))
             bits = np.array(bits)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -437,10 +504,12 @@ def jaccard_components(
         given = given.withColumn("source", F.lit(None).cast("string"))
     docs = docs.select("doc_id", "text")
     common = None
-    if by_first:
-        common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
+    if by_first or similarity < WIDE_BELOW:
+        found = common_shingles(docs, width, None if by_first else similarity)
+        common = docs.sparkSession.sparkContext.broadcast(found)
     profiles = given.mapInArrow(
-        functools.partial(_profile_batches, width=width, similarity=similarity, common=common), PROFILE
+        functools.partial(_profile_batches, width=width, similarity=similarity, common=common, by_first=by_first),
+        PROFILE,
     )
     # Numbers given before the write are fixed by it.
     profiles = stage(profiles.withColumn("node", F.monotonically_increasing_id()), "profiles")
@@ -464,10 +533,7 @@ def jaccard_components(
     nodes = stage(signed.drop("signatures"), "nodes")
     discard(profiles)
     spread = signed.select("node", "signatures", F.posexplode("signatures").alias("at", "signature"))
-    if common is None:  # segments have no order
-        place = [F.lit(0).alias("at"), F.lit(None).cast("bigint").alias("before")]
-    else:
-        place = ["at", F.get("signatures", F.col("at") - 1).alias("before")]
+    place = ["at", F.get("signatures", F.col("at") - 1).alias("before")] if by_first else []
     spread = spread.select("node", "signature", *place)
     shared = stage(
         spread.groupBy("signature")
@@ -505,7 +571,11 @@ def jaccard_components(
     )
     # Written first, so that the join is between plain shuffles, which Spark splits if skewed.
     mixed = stage(mixed, "mixed")
-    crowd = stage(crowd.join(mixed, "signature").join(traits, "node"), "crowd")
+    crowd = crowd.join(mixed, "signature")
+    if similarity < WIDE_BELOW and not by_first:
+        earlier = Window.partitionBy("node").orderBy("signature").rowsBetween(-WIDE_PRIOR, -1)
+        crowd = crowd.withColumn("prior", F.collect_list("signature").over(earlier))
+    crowd = stage(crowd.join(traits, "node"), "crowd")
     discard(members, roots, mixed)
     meeting = (
         (F.col("x.signature") == F.col("y.signature"))
@@ -513,8 +583,13 @@ def jaccard_components(
         & (F.col("x.node") != F.col("x.pivot"))
         & (F.col("y.node") != F.col("y.pivot"))
         & _can_link("x", "y", similarity)
-        & _may_meet("x", "y", similarity)
     )
+    if by_first:
+        meeting &= _may_meet("x", "y", similarity)
+    elif similarity < WIDE_BELOW:
+        # Any signature that two members share is one of the crowd or was verified with the
+        # star, so the least one suffices; near copies share many.
+        meeting &= ~F.arrays_overlap("x.prior", "y.prior")
     rest = (
         crowd.where("root <> main")
         .alias("x")

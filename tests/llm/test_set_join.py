@@ -224,3 +224,51 @@ def test_wide_bands_have_segments_of_both_kinds():
     for low, high, exact, deletions in table:
         assert exact + 2 * deletions >= 2 * high * 20 // 180 + 1
     assert any(exact for _, _, exact, _ in table) and any(deletions for _, _, _, deletions in table)
+
+
+def doubled(rng, size, similarity):
+    """Two sets that share all but the most that linked sets of about this size may lack."""
+    one = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+    changes = int(rng.integers(0, 2 * size * (100 - similarity) // (100 + similarity) // 2 + 1))
+    kept = one[rng.permutation(len(one))[changes:]]
+    return one, np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, changes).astype(np.uint64)]))
+
+
+def test_linked_sets_share_a_segment_whatever_is_common():
+    rng = np.random.default_rng(8)
+    pairs = [doubled(rng, size, 80) for size in (1, 2, 3, 5, 7, 9, 12, 16, 25, 60, 200, 900) for _ in range(150)]
+    pairs += [(one, one[rng.random(len(one)) > 0.15]) for one, _ in pairs]
+    known = np.unique(np.concatenate([set_join._wide_segments(one, 80) for one, _ in pairs[::3]]))
+    common = known, rng.integers(3, 9, len(known))
+    linked = 0
+    for one, other in pairs:
+        both = len(np.intersect1d(one, other))
+        if both and 100 * both >= 80 * (len(one) + len(other) - both):
+            x, y = (set_join.signatures(s, 80, common) for s in (one, other))
+            assert len(np.intersect1d(x, y)), (len(one), len(other))
+            linked += 1
+    assert linked > 2000
+
+
+def test_common_segments_bring_no_sets_together():
+    """Long sets that have a sixth of their shingles in common, as from a frequent passage."""
+    rng = np.random.default_rng(9)
+    passage = rng.integers(0, 1 << 63, 200).astype(np.uint64)
+    sets = [np.unique(np.concatenate([passage, rng.integers(0, 1 << 63, 1000).astype(np.uint64)])) for _ in range(60)]
+    known, seen = np.unique(np.concatenate([set_join._wide_segments(s, 80) for s in sets]), return_counts=True)
+    common = known[seen >= set_join.COMMON], seen[seen >= set_join.COMMON]
+    assert len(common[0])
+    made = np.concatenate([set_join.signatures(s, 80, common) for s in sets])
+    assert len(np.unique(made)) == len(made)
+    # A set sends as many as it and a linked set may differ in and one more, in either band.
+    assert len(made) <= len(sets) * 2 * (20 * (1200 + 1500) // 180 + 1)
+
+
+def test_segments_of_documents_are_counted(spark):
+    rare = [" ".join(f"r{n}w{i}" for i in range(40)) for n in range(6)]
+    shared = " ".join(f"c{i}" for i in range(40))
+    docs = documents(spark, [f"{own} {shared}" for own in rare])
+    known, seen = set_join.common_shingles(docs, 5, 80)
+    assert set_join.COMMON <= min(seen) and max(seen) == 6
+    ((_, own),) = set_join.shingle_sets(docs.limit(1).toArrow()["text"].combine_chunks(), 5)
+    assert np.isin(known[seen == 6], set_join._wide_segments(own, 80)).all()
