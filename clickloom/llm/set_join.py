@@ -124,6 +124,12 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[bytes, np.ndarra
     return _word_shingles(words_of(texts), width)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, as ``np.unique``; on as few values as a text has, sorting is faster."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])[: len(values)]]
+
+
 def _word_shingles(found: Words, width: int) -> Iterator[tuple[bytes, np.ndarray]]:
     first, hashes = found.first, found.hash
     factors = mix(np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -136,7 +142,7 @@ def _word_shingles(found: Words, width: int) -> Iterator[tuple[bytes, np.ndarray
         words = hashes[a:b]
         digest = hashlib.blake2b(words.tobytes(), digest_size=16).digest()
         if b - a >= width:
-            yield digest, np.unique(rolled[a : b - width + 1])
+            yield digest, _distinct(rolled[a : b - width + 1])
         elif b > a:
             yield digest, mix((words * factors[: b - a]).sum(dtype=np.uint64, keepdims=True) + np.uint64(b - a))
         else:
@@ -231,7 +237,7 @@ def signatures(
         thin = np.flatnonzero(sizes < np.where(np.arange(parts) < exact, 1, 2))
         one, other = np.triu_indices(len(thin), 1)
         made.append(mix(mix(label[thin[one]]) + label[thin[other]]))
-    return np.unique(np.concatenate(made)).view(np.int64)
+    return _distinct(np.concatenate(made)).view(np.int64)
 
 
 def first_shingles(shingles: np.ndarray, similarity: int, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -519,12 +525,13 @@ def jaccard_components(
     first = filled.groupBy("digest").agg(F.min("node").alias("node"), F.min("doc_id").alias("low"))
     first = first.select("node", "low")
     if by_first or similarity >= WIDE_BELOW:
-        dealt = [stage(filled.join(first, "node"), "signed")]
+        # The long rows need no sorting: what they meet is narrow, one row a node.
+        dealt = [stage(filled.join(first.hint("shuffle_hash"), "node"), "signed")]
     else:
         first = stage(first, "first")
         portion = F.pmod(F.xxhash64("node"), F.lit(WIDE_PORTIONS))
         dealt = [
-            stage(filled.where(portion == n).join(first.where(portion == n), "node"), "signed")
+            stage(filled.where(portion == n).join(first.where(portion == n).hint("shuffle_hash"), "node"), "signed")
             for n in range(WIDE_PORTIONS)
         ]
         discard(first)
@@ -541,7 +548,7 @@ def jaccard_components(
         .where("sharers > 1"),
         "shared",
     )
-    members = stage(spread.join(shared, "signature"), "members")
+    members = stage(spread.join(shared.hint("shuffle_hash"), "signature"), "members")
     discard(*dealt, shared)
 
     traits = nodes.select("node", "n_shingles", "p0", "p1", "p2", "p3")

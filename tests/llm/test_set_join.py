@@ -272,3 +272,24 @@ def test_segments_of_documents_are_counted(spark):
     assert set_join.COMMON <= min(seen) and max(seen) == 6
     ((_, own),) = set_join.shingle_sets(docs.limit(1).toArrow()["text"].combine_chunks(), 5)
     assert np.isin(known[seen == 6], set_join._wide_segments(own, 80)).all()
+
+
+def test_distinct_values_as_by_numpy():
+    rng = np.random.default_rng(10)
+    for size in (0, 1, 2, 50, 3000):
+        values = rng.integers(0, 1 << 6, size).astype(np.uint64) << np.uint64(58)
+        assert set_join._distinct(values).tolist() == np.unique(values).tolist()
+
+
+def test_signatures_are_joined_without_sorting(spark, monkeypatch):
+    plans = {}
+    stage = set_join.stage
+
+    def noted(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, purpose)
+
+    monkeypatch.setattr(set_join, "stage", noted)
+    set_join.jaccard_components(documents(spark, near_texts(3)[:40]), 5, 80, by_first=True)
+    for purpose in ("signed", "members"):
+        assert "ShuffledHashJoin" in plans[purpose] and "SortMergeJoin" not in plans[purpose]
